@@ -31,8 +31,11 @@ def secret_to_null(c: Column) -> Column:
 
 
 def exact_round(c: Column, places: int) -> Column:
-    """Round half away from zero in decimal arithmetic, back to double."""
-    return F.round(c.cast("decimal(38,10)"), places).cast("double")
+    """Round half away from zero in decimal arithmetic, back to double.
+
+    Six decimals first: noise from the order of a floating sum cannot tip a tie.
+    """
+    return F.round(c.cast("decimal(38,6)"), places).cast("double")
 
 
 def ratio(a: Column, b: Column) -> Column:

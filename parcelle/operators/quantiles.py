@@ -1,11 +1,11 @@
 """Exact interpolated percentiles that survive very large groups.
 
-Spark's ``percentile`` holds every distinct value of a group in one task. That is
-the fastest way for ordinary groups, and fails for a group with a large share of
-all rows. Groups above ``HOT_ROWS`` therefore take another exact way: a sketch
-proposes cut points, every row is counted into the interval between two cuts,
-and only the interval that holds the wanted rank is sorted. The sketch decides
-how much is sorted, never the result.
+An ordinary group is sorted in one task: one shuffle of the few columns needed,
+a sort that can spill, and the two middle rows picked in the same pass that
+computes the other aggregates. Groups above ``HOT_ROWS`` take another exact way:
+a sketch proposes cut points, every row is counted into the interval between two
+cuts, and only the interval that holds the wanted rank is sorted. The sketch
+decides how much is sorted, never the result.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 5_000_000
 SKETCH_ACCURACY = 10_000
 
 Quantiles = Mapping[str, tuple[str, float]]  # result column -> (value column, fraction)
@@ -31,22 +31,23 @@ def group_stats(
 ) -> DataFrame:
     """``aggs`` and exact percentiles per group.
 
-    The set of groups above ``hot_rows`` is broadcast: there are at most
-    (rows / hot_rows) of them. When there is none, adaptive execution drops that
-    branch before it reads anything.
+    Group sizes are counted first, unless the whole frame is below ``hot_rows``.
+    The set of groups above it is broadcast: there are at most (rows / hot_rows).
     """
+    if df.count() <= hot_rows:
+        return _sorted_stats(df, keys, quantiles, aggs)
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
         .select(*(F.col(k).alias(f"_hot_{k}") for k in keys))
     )
+    if hot.isEmpty():
+        return _sorted_stats(df, keys, quantiles, aggs)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    ordinary = (
-        df.join(F.broadcast(hot), same, "left_anti").groupBy(*keys).agg(*aggs, *_builtin(quantiles))
-    )
-    large = df.join(F.broadcast(hot), same, "left_semi")
-    return ordinary.unionByName(_large_stats(large, keys, quantiles, aggs))
+    ordinary = _sorted_stats(df.join(F.broadcast(hot), same, "left_anti"), keys, quantiles, aggs)
+    large = _large_stats(df.join(F.broadcast(hot), same, "left_semi"), keys, quantiles, aggs)
+    return ordinary.unionByName(large)
 
 
 def overall_stats(df: DataFrame, quantiles: Quantiles, aggs: Sequence[Column] = ()) -> DataFrame:
@@ -54,8 +55,23 @@ def overall_stats(df: DataFrame, quantiles: Quantiles, aggs: Sequence[Column] =
     return _large_stats(df.withColumn("_all", F.lit(1)), ["_all"], quantiles, aggs).drop("_all")
 
 
-def _builtin(quantiles: Quantiles) -> list[Column]:
-    return [F.percentile(c, p).alias(name) for name, (c, p) in quantiles.items()]
+def _interpolated(low: Column, high: Column, position: Column) -> Column:
+    return low + (position - F.floor(position)) * (high - low)
+
+
+def _sorted_stats(df: DataFrame, keys: Sequence[str], quantiles: Quantiles, aggs: Sequence[Column]) -> DataFrame:
+    group, picks = Window.partitionBy(*keys), []
+    for i, value in enumerate(dict.fromkeys(c for c, _ in quantiles.values())):
+        rank, size = f"_rank{i}", f"_size{i}"
+        df = df.withColumns({
+            rank: F.row_number().over(group.orderBy(F.col(value).asc_nulls_last())) - 1,
+            size: F.count(value).over(group),
+        })
+        for name, (_, p) in ((n, q) for n, q in quantiles.items() if q[0] == value):
+            at = F.lit(float(p)) * (F.col(size) - 1)
+            low, high = (F.max(F.when(F.col(rank) == f(at), F.col(value))) for f in (F.floor, F.ceil))
+            picks.append(_interpolated(low, high, F.lit(float(p)) * (F.max(size) - 1)).alias(name))
+    return df.groupBy(*keys).agg(*aggs, *picks)
 
 
 def _large_stats(df, keys, quantiles: Quantiles, aggs) -> DataFrame:
@@ -133,7 +149,7 @@ def select_percentiles(
     return found.select(
         *keys,
         *(
-            (F.col(f"_low_{name}") + (x - F.floor(x)) * (F.col(f"_high_{name}") - F.col(f"_low_{name}"))).alias(name)
+            _interpolated(F.col(f"_low_{name}"), F.col(f"_high_{name}"), x).alias(name)
             for name, x in position.items()
         ),
     )

@@ -38,7 +38,7 @@ def pad(x: str, width: int) -> str:
 
 
 def rnd(x: str, places: int) -> str:
-    return f"round(({x})::DECIMAL(38,10), {places})::DOUBLE"
+    return f"round(({x})::DECIMAL(38,6), {places})::DOUBLE"
 
 
 def sid(x: str) -> str:

@@ -14,8 +14,10 @@ ENCODINGS = ("UTF-8", "ISO-8859-1", "windows-1252")
 REPLACEMENT = "�"
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """One Parquet table; with a known schema no file footer is read while planning."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def read_years(spark: SparkSession, path: str, years: Iterable[int] | None = None) -> DataFrame:

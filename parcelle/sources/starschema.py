@@ -26,6 +26,23 @@ ROOMS = {"1-URGENT": "1P", "2-HIGH": "2P", "3-MEDIUM": "3P", "4-NOT SPECIFIED":
 RAW_ROOMS = {**ROOMS, "4-NOT SPECIFIED": "4P et plus", "5-LOW": None}
 YEAR_FLOOR = 1997
 
+# Columns of the tables.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+                " l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+}
+
 
 def _mapped(c: Column, labels: dict, default=None) -> Column:
     chain = F
@@ -65,7 +82,7 @@ class Star:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        return read_table(self.spark, self.folder, name, SCHEMAS[name])
 
     # Cleaned tables.
 
