@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ("jobs",)
+SECTIONS = ("scans", "filters", "joins", "aggregates", "windows", "sets", "scalars", "quality", "jobs", "dashboards")
 
 
 def load() -> dict:
