@@ -168,7 +168,7 @@ def income_profiles(incomes: DataFrame, bridge: DataFrame, hot_rows: int = HOT_R
     )
 
 
-def _with_yearly_change(df: DataFrame, partition: list[str], value: str, prefix: str) -> DataFrame:
+def with_yearly_change(df: DataFrame, partition: list[str], value: str, prefix: str) -> DataFrame:
     """Previous value, and change unless a year is missing between the two."""
     years = Window.partitionBy(*partition).orderBy("annee")
     before = F.lag(value).over(years)
@@ -189,11 +189,11 @@ def inegalites(
     row per year in each partition. A rank partition holds one row per
     observatory and agglomeration of one year and type.
     """
-    income = _with_yearly_change(income_profiles(incomes, bridge, hot_rows), ["observatory_b"], "mean", "income")
+    income = with_yearly_change(income_profiles(incomes, bridge, hot_rows), ["observatory_b"], "mean", "income")
     means = rents.where((F.col("type_habitat") != ALL_HOUSING) & F.col("loyer_mensuel_median").isNotNull()).groupBy(
         "observatory_b", "id_agglomeration", "annee", "type_habitat"
     ).agg(F.avg("loyer_mensuel_median").alias("rent"))
-    rent = _with_yearly_change(means, ["observatory_b", "id_agglomeration", "type_habitat"], "rent", "rent")
+    rent = with_yearly_change(means, ["observatory_b", "id_agglomeration", "type_habitat"], "rent", "rent")
 
     joined = rent.join(income, ["observatory_b", "annee"]).join(agglomerations, "id_agglomeration")
     efforts = {

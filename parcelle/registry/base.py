@@ -61,6 +61,25 @@ def bare(x: str) -> str:
     return f"lower(trim(regexp_replace(regexp_replace({x}, '\\(.*?\\)', '', 'g'), '{opening}', '', 'gi')))"
 
 
+def scored(pairs: str) -> str:
+    """Best-window similarity of the pairs (a, b).
+
+    The row of unmatched letters is a bit set, one bit per letter of the shorter
+    name; names of equal length are tried both ways.
+    """
+    return f"""SELECT a, b, max(200.0 * (length(s) - bit_count(list_reduce(masks,
+            lambda r, x: ((r + (r & x)) | (r - (r & x))) & whole, whole))) / (length(s) + length(w))) AS score
+        FROM (SELECT a, b, s, w, (1::BIGINT << length(s)::INT) - 1 AS whole,
+              list_transform(string_split(w, ''), lambda c: list_sum(list_transform(range(1, length(s) + 1),
+              lambda i: CASE WHEN substr(s, i, 1) = c THEN 1::BIGINT << (i - 1)::INT ELSE 0::BIGINT END))::BIGINT) AS masks
+              FROM (SELECT a, b, s, substr(l, greatest(1, e - length(s) + 1)::INT,
+                    (least(e, length(l)) - greatest(1, e - length(s) + 1) + 1)::INT) AS w
+                    FROM (SELECT *, unnest(range(1, length(s) + length(l))) AS e FROM
+                          (SELECT a, b, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s,
+                                  CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l FROM ({pairs})
+                           UNION ALL SELECT a, b, b, a FROM ({pairs}) WHERE length(a) = length(b))))) GROUP BY a, b"""
+
+
 AGGLO = (
     "CASE c_mktsegment WHEN 'MACHINERY' THEN 'Zone rurale de ' || n_name"
     " WHEN 'BUILDING' THEN 'Eurométropole de ' || r_name || ' BUILDING ' || n_nationkey"
@@ -179,22 +198,8 @@ PARTS = {
         WHERE uu2020 <> '01000' AND nom_uu NOT ILIKE 'Communes hors%' GROUP BY ALL""",
     "g_towns": f"""SELECT DISTINCT observatory_b, id_agglomeration, nom_agglomeration, {bare('nom_agglomeration')} AS name
         FROM g_rents WHERE nom_agglomeration NOT ILIKE '%rural%' AND nom_agglomeration NOT ILIKE '%hors%'""",
-    # Every pair of compared names once, with its best window; the row of
-    # unmatched letters is a bit set, one bit per letter of the shorter name.
-    "g_pairs": f"""SELECT DISTINCT t.name AS a, u.uname AS b FROM g_towns t
-        CROSS JOIN (SELECT {bare('nom_uu')} AS uname FROM g_units) u""",
-    "g_sides": """SELECT a, b, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s,
-        CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l FROM g_pairs
-        UNION ALL SELECT a, b, b, a FROM g_pairs WHERE length(a) = length(b)""",
-    "g_windows": """SELECT a, b, s, substr(l, greatest(1, e - length(s) + 1)::INT,
-        (least(e, length(l)) - greatest(1, e - length(s) + 1) + 1)::INT) AS w
-        FROM (SELECT *, unnest(range(1, length(s) + length(l))) AS e FROM g_sides)""",
-    "g_scores": """SELECT a, b, max(200.0 * (length(s) - bit_count(list_reduce(masks,
-            lambda r, x: ((r + (r & x)) | (r - (r & x))) & whole, whole))) / (length(s) + length(w))) AS score
-        FROM (SELECT a, b, s, w, (1::BIGINT << length(s)::INT) - 1 AS whole,
-              list_transform(string_split(w, ''), lambda c: list_sum(list_transform(range(1, length(s) + 1),
-              lambda i: CASE WHEN substr(s, i, 1) = c THEN 1::BIGINT << (i - 1)::INT ELSE 0::BIGINT END))::BIGINT) AS masks
-              FROM g_windows) GROUP BY a, b""",
+    "g_scores": scored(f"""SELECT DISTINCT t.name AS a, u.uname AS b FROM g_towns t
+        CROSS JOIN (SELECT {bare('nom_uu')} AS uname FROM g_units) u"""),
 }
 
 

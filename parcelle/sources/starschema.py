@@ -41,6 +41,7 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
 }
 
 
