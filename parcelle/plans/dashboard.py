@@ -151,7 +151,7 @@ def city_pair(tension: DataFrame, cities: dict[str, str], type_local: str = "App
 def _rooms(nombre_pieces: str) -> Column:
     if nombre_pieces == ALL_ROOMS:
         return F.col("nombre_pieces") == ALL_ROOMS
-    return F.col("nombre_pieces").ilike(F.lit(f"%{nombre_pieces}%"))
+    return F.col("nombre_pieces").ilike(f"%{nombre_pieces}%")
 
 
 def search(

@@ -200,6 +200,20 @@ PARTS = {
         FROM g_rents WHERE nom_agglomeration NOT ILIKE '%rural%' AND nom_agglomeration NOT ILIKE '%hors%'""",
     "g_scores": scored(f"""SELECT DISTINCT t.name AS a, u.uname AS b FROM g_towns t
         CROSS JOIN (SELECT {bare('nom_uu')} AS uname FROM g_units) u"""),
+    "g_mapping": f"""SELECT CASE WHEN wide THEN f_uu ELSE v_uu END AS uu2020, CASE WHEN wide THEN f_nom ELSE v_nom END AS nom_uu,
+        observatory_b, id_agglomeration, nom_agglomeration,
+        round_even(CASE WHEN wide THEN f_score ELSE coalesce(v_score, 0) END, 1)::DOUBLE AS score_fuzzy,
+        CASE WHEN wide THEN 0 ELSE votes END::INT AS nb_communes_vote
+        FROM (SELECT t.*, v_uu, v_nom, votes, v_score, f_uu, f_nom, f_score,
+                     coalesce(v_score, 0) < 70 AND f_score > coalesce(v_score, 0) AS wide
+              FROM g_towns t
+              LEFT JOIN (SELECT observatory_b, a, uu2020 AS v_uu, nom_uu AS v_nom, votes, score AS v_score
+                         FROM g_votes JOIN g_scores ON b = {bare('nom_uu')}
+                         QUALIFY row_number() OVER (PARTITION BY observatory_b, a ORDER BY score DESC, votes DESC, uu2020) = 1) v
+                ON v.observatory_b = t.observatory_b AND v.a = t.name
+              JOIN (SELECT a, uu2020 AS f_uu, nom_uu AS f_nom, score AS f_score FROM g_units JOIN g_scores ON b = {bare('nom_uu')}
+                    QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, uu2020) = 1) f ON f.a = t.name)
+        WHERE CASE WHEN wide THEN f_uu ELSE v_uu END IS NOT NULL""",
 }
 
 

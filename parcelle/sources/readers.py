@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.relational import tidy_names, union_by_name
@@ -70,14 +70,15 @@ def read_zoning(spark: SparkSession, paths: Sequence[str], observatory: str, sep
     return union_by_name(frames)
 
 
-def file_report(spark: SparkSession, pattern: str, expected: DataFrame) -> DataFrame:
+def file_report(spark: SparkSession, path: str, expected: DataFrame, name: Column | None = None) -> DataFrame:
     """Rows per expected Parquet file; missing, empty or unreadable files count as not usable.
 
-    ``expected`` has a ``file_name`` column.
+    ``expected`` has a ``file_name`` column; ``name`` derives it from the file's
+    metadata, and is the plain file name by default.
     """
     found = (
-        spark.read.option("ignoreCorruptFiles", "true").parquet(pattern)
-        .groupBy(F.col("_metadata.file_name").alias("file_name"))
+        spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(path)
+        .groupBy((F.col("_metadata.file_name") if name is None else name).alias("file_name"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     rows = F.coalesce(F.col("row_count"), F.lit(0))
