@@ -18,11 +18,13 @@ ACCESS_LAST = "🔴 Difficile"
 
 
 def to_number(c: Column) -> Column:
-    """Double from text with a decimal comma or point; NULL if it is no number."""
-    text = F.trim(F.replace(c.cast("string"), F.lit(","), F.lit(".")))
-    number = text.try_cast("double")
-    typed = F.lower(F.right(text, F.lit(1))).isin("d", "f")
-    return F.when(~typed & ~F.isnan(number), number)
+    """Double from text with a decimal comma or point; NULL if it is no number.
+
+    A letter ``d`` or ``f``, which a cast would take for a type suffix, is spoiled
+    first. The argument occurs once, so a filter on the result parses it once.
+    """
+    text = F.translate(c.cast("string"), ",dDfF", ".xxxx")
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
 
 
 def secret_to_null(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,16 +32,18 @@ def options(df: DataFrame, columns: Sequence[str], descending: bool = False) ->
 def home_kpis(
     spark: SparkSession, prices: DataFrame, ratios: DataFrame, tension: DataFrame, observatories: DataFrame
 ) -> DataFrame:
-    last, first = tension.agg(F.max("annee")).scalar(), tension.agg(F.min("annee")).scalar()
-    tense = tension.where(F.col("categorie_tension").isin(VERY_TENSE, TENSE) & (F.col("annee") == last))
-    return spark.range(1).select(
-        prices.agg(F.count_distinct("nom_commune")).scalar().alias("nb_communes"),
-        exact_round(ratios.agg(F.avg("ratio_tension_pct")).scalar(), 1).alias("ratio_moyen"),
-        first.alias("min_annee"), last.alias("max_annee"),
-        (last - first + 1).alias("couverture"),
-        tense.agg(F.count_distinct("nom_commune")).scalar().alias("nb_tendu"),
-        observatories.agg(F.count(F.lit(1))).scalar().alias("nb_obs"),
+    """One row; each mart is read once."""
+    tense = F.col("categorie_tension").isin(VERY_TENSE, TENSE)
+    by_year = tension.groupBy("annee").agg(F.count_distinct(F.when(tense, F.col("nom_commune"))).alias("n"))
+    years = by_year.agg(
+        F.min("annee").alias("min_annee"), F.max("annee").alias("max_annee"),
+        (F.max("annee") - F.min("annee") + 1).alias("couverture"), F.max_by("n", "annee").alias("nb_tendu"),
     )
+    return years.withColumns({
+        "nb_communes": prices.agg(F.count_distinct("nom_commune")).scalar(),
+        "ratio_moyen": ratios.agg(exact_round(F.avg("ratio_tension_pct"), 1)).scalar(),
+        "nb_obs": observatories.agg(F.count(F.lit(1))).scalar(),
+    })
 
 
 def map_rows(
@@ -83,20 +85,23 @@ def map_departments(rows: DataFrame, indicator: str = "score_tension") -> DataFr
     )
 
 
-def top_by_mean(df: DataFrame, name: str, value: str) -> DataFrame:
-    """The name with the highest mean; equal means go to the first name."""
-    means = df.groupBy(name).agg(F.avg(value).alias("m")).where("m is not null")
-    return means.agg(F.min(F.struct((-F.col("m")).alias("m"), name)).alias("w")).select(F.col(f"w.{name}").alias(name))
+def map_kpis(rows: DataFrame, indicator: str = "score_tension") -> DataFrame:
+    """One row over towns summed first, so the map's rows are read once.
 
-
-def map_kpis(spark: SparkSession, rows: DataFrame, indicator: str = "score_tension") -> DataFrame:
-    one = rows.agg(
-        exact_round(F.avg(indicator), 1).alias("val_moyenne"),
-        F.count_distinct("nom_commune").alias("nb_communes"),
-        F.count_distinct(F.when(F.col("categorie_tension") == VERY_TENSE, F.col("nom_commune"))).alias("nb_tres_tendu"),
-        exact_round(F.max(indicator), 1).alias("val_max"),
+    Equal means go to the first name.
+    """
+    towns = rows.groupBy("nom_commune").agg(
+        F.sum(indicator).alias("s"), F.count(indicator).alias("n"), F.max(indicator).alias("top"),
+        F.max(F.col("categorie_tension") == VERY_TENSE).alias("very"),
+    )
+    order = F.struct((-F.col("s") / F.col("n")).alias("m"), "nom_commune")
+    return towns.agg(
+        exact_round(F.sum("s") / F.sum("n"), 1).alias("val_moyenne"),
+        F.count(F.lit(1)).alias("nb_communes"),
+        F.count_if("very").alias("nb_tres_tendu"),
+        exact_round(F.max("top"), 1).alias("val_max"),
+        F.min_by("nom_commune", order).alias("commune_top"),
     )
-    return one.withColumn("commune_top", top_by_mean(rows, "nom_commune", indicator).scalar())
 
 
 def _compared(mart: DataFrame, names: Sequence[str], type_habitat: str) -> DataFrame:
@@ -142,10 +147,13 @@ def city_tension(tension: DataFrame, code: str, type_local: str = "Appartement")
     ).orderBy("annee")
 
 
-def city_pair(tension: DataFrame, cities: dict[str, str], type_local: str = "Appartement") -> DataFrame:
-    """Two cities' yearly scores, one below the other, labelled (code to name)."""
-    one, two = (city_tension(tension, code, type_local).withColumn("ville", F.lit(name)) for code, name in cities.items())
-    return one.unionByName(two)
+def city_pair(tension: DataFrame, cities: Mapping[str, str], type_local: str = "Appartement") -> DataFrame:
+    """Yearly scores of two cities, one below the other, labelled (code to name)."""
+    labels = F.create_map(*(F.lit(x) for pair in cities.items() for x in pair))
+    rows = tension.where(F.col("code_insee").isin(list(cities)) & (F.col("type_local") == type_local))
+    return rows.withColumn("ville", labels[F.col("code_insee")]).orderBy("ville", "annee").select(
+        "annee", "score_tension", "categorie_tension", "hausse_prix_pct", "ville"
+    )
 
 
 def _rooms(nombre_pieces: str) -> Column:

@@ -46,7 +46,7 @@ def q_map_department(s: Star):
     {rnd('max(score_tension)', 1)} AS val_max, (SELECT nom_commune FROM {MAP} GROUP BY 1
         ORDER BY avg(score_tension) DESC, nom_commune LIMIT 1) AS commune_top FROM {MAP}""")
 def q_map_kpis(s: Star):
-    return dashboard.map_kpis(s.spark, dashboard.map_rows(s.tension, s.communes))
+    return dashboard.map_kpis(dashboard.map_rows(s.tension, s.communes))
 
 
 @q(f"""SELECT nom_agglomeration, annee, loyer_mensuel_median, revenu_mensuel_moyen, ratio_tension_pct FROM

@@ -143,3 +143,19 @@ def sink_upsert_update(s: Star):
         F.max("valeur_fonciere").alias("score")
     ).withColumn("name", F.lit("from sales"))
     return upsert(old, new.select("code_insee", "name", "score"), ["code_insee"], keep=["name"])
+
+
+@q("SELECT code_insee, reg FROM g_communes")
+def sink_replace_table(s: Star):
+    """A table recreated with other columns."""
+    path = shared_folder(s.spark, "table")
+    sinks.replace_table(s.communes, "parcelle_communes", path)
+    sinks.replace_table(s.communes.select("code_insee", "reg"), "parcelle_communes", f"{path}-2")
+    return s.spark.table("parcelle_communes")
+
+
+@q("SELECT * FROM g_prices")
+def gold_materialize(s: Star):
+    """Marts written as tables of a schema and read back."""
+    sinks.materialize({"prix_m2_par_ville": s.prices}, "gold", shared_folder(s.spark, "gold"))
+    return s.spark.table("gold.prix_m2_par_ville")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -30,6 +30,15 @@ def _by_partition(df: DataFrame, by: str):
     return df.hint("rebalance", by).write.mode("overwrite").partitionBy(by)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Drop and recreate with the frame's own schema."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Drop and recreate with the frame's own schema; at ``path`` if given."""
+    writer = df.write.mode("overwrite").option("overwriteSchema", "true")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def materialize(frames: Mapping[str, DataFrame], schema: str, location: str) -> None:
+    """Every frame becomes a table of ``schema``, which is created at ``location`` if needed."""
+    spark = next(iter(frames.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+    for name, df in frames.items():
+        replace_table(df, f"{schema}.{name}", f"{location}/{name}")

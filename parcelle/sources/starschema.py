@@ -209,7 +209,7 @@ class Star:
             F.date_format("l_shipdate", "dd/MM/yyyy").alias("Date_mutation"),
             F.when(F.col("l_linestatus") == "O", "Vente").otherwise("Echange").alias("Nature_mutation"),
             _mapped(F.col("l_returnflag"), TYPES, OTHER_TYPE).alias("Type_local"),
-            F.replace(F.format_string("%.2f", "l_extendedprice"), F.lit("."), F.lit(",")).alias("Valeur_fonciere"),
+            F.translate(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), ".", ",").alias("Valeur_fonciere"),
             F.col("l_quantity").alias("Surface_reelle_bati"),
             (F.col("l_tax") * 100).alias("Surface_terrain"),
             F.col("l_linenumber").cast("double").alias("Nombre_pieces_principales"),
