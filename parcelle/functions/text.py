@@ -27,7 +27,7 @@ ANY_SPACE = r"(?U)[\s\x1C-\x1F]+"
 @F.pandas_udf(StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
     distinct = {v: unicodedata.normalize("NFKC", v) for v in values.dropna().unique()}
-    return values.map(distinct, na_action="ignore")
+    return pd.Series([distinct.get(v) for v in values], dtype=object)
 
 
 def nfkc(c: Column) -> Column:
