@@ -1,11 +1,10 @@
 """Exact interpolated percentiles that survive very large groups.
 
-An ordinary group is sorted in one task: one shuffle of the few columns needed,
-a sort that can spill, and the two middle rows picked in the same pass that
-computes the other aggregates. Groups above ``HOT_ROWS`` take another exact way:
-a sketch proposes cut points, every row is counted into the interval between two
-cuts, and only the interval that holds the wanted rank is sorted. The sketch
-decides how much is sorted, never the result.
+An ordinary group is gathered and sorted as one array, in the same pass that
+computes the other aggregates; it is bounded by ``HOT_ROWS`` values. Groups above
+that take another exact way: a sketch proposes cut points, every row is counted
+into the interval between two cuts, and only the interval that holds the wanted
+rank is sorted. The sketch decides how much is sorted, never the result.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 
 Quantiles = Mapping[str, tuple[str, float]]  # result column -> (value column, fraction)
@@ -31,11 +30,9 @@ def group_stats(
 ) -> DataFrame:
     """``aggs`` and exact percentiles per group.
 
-    Group sizes are counted first, unless the whole frame is below ``hot_rows``.
-    The set of groups above it is broadcast: there are at most (rows / hot_rows).
+    Group sizes are counted first, from the key columns alone. The set of groups
+    above ``hot_rows`` is broadcast: there are at most (rows / hot_rows) of them.
     """
-    if df.count() <= hot_rows:
-        return _sorted_stats(df, keys, quantiles, aggs)
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -43,9 +40,9 @@ def group_stats(
         .select(*(F.col(k).alias(f"_hot_{k}") for k in keys))
     )
     if hot.isEmpty():
-        return _sorted_stats(df, keys, quantiles, aggs)
+        return _listed_stats(df, keys, quantiles, aggs)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    ordinary = _sorted_stats(df.join(F.broadcast(hot), same, "left_anti"), keys, quantiles, aggs)
+    ordinary = _listed_stats(df.join(F.broadcast(hot), same, "left_anti"), keys, quantiles, aggs)
     large = _large_stats(df.join(F.broadcast(hot), same, "left_semi"), keys, quantiles, aggs)
     return ordinary.unionByName(large)
 
@@ -59,19 +56,19 @@ def _interpolated(low: Column, high: Column, position: Column) -> Column:
     return low + (position - F.floor(position)) * (high - low)
 
 
-def _sorted_stats(df: DataFrame, keys: Sequence[str], quantiles: Quantiles, aggs: Sequence[Column]) -> DataFrame:
-    group, picks = Window.partitionBy(*keys), []
-    for i, value in enumerate(dict.fromkeys(c for c, _ in quantiles.values())):
-        rank, size = f"_rank{i}", f"_size{i}"
-        df = df.withColumns({
-            rank: F.row_number().over(group.orderBy(F.col(value).asc_nulls_last())) - 1,
-            size: F.count(value).over(group),
-        })
-        for name, (_, p) in ((n, q) for n, q in quantiles.items() if q[0] == value):
-            at = F.lit(float(p)) * (F.col(size) - 1)
-            low, high = (F.max(F.when(F.col(rank) == f(at), F.col(value))) for f in (F.floor, F.ceil))
-            picks.append(_interpolated(low, high, F.lit(float(p)) * (F.max(size) - 1)).alias(name))
-    return df.groupBy(*keys).agg(*aggs, *picks)
+def _listed_stats(df: DataFrame, keys: Sequence[str], quantiles: Quantiles, aggs: Sequence[Column]) -> DataFrame:
+    values = list(dict.fromkeys(c for c, _ in quantiles.values()))
+    lists = {value: f"_list{i}" for i, value in enumerate(values)}
+    gathered = df.groupBy(*keys).agg(
+        *aggs, *(F.sort_array(F.collect_list(F.col(value).cast("double"))).alias(name) for value, name in lists.items())
+    )
+
+    def pick(value: str, p: float) -> Column:
+        position = F.lit(float(p)) * (F.size(lists[value]) - 1)
+        low, high = (F.get(lists[value], f(position).cast("int")) for f in (F.floor, F.ceil))
+        return _interpolated(low, high, position)
+
+    return gathered.withColumns({name: pick(c, p) for name, (c, p) in quantiles.items()}).drop(*lists.values())
 
 
 def _large_stats(df, keys, quantiles: Quantiles, aggs) -> DataFrame:
