@@ -74,13 +74,13 @@ def sale_rules() -> dict[str, Column]:
 def fact_transactions(raw: DataFrame, communes: DataFrame, merge_districts: bool = False) -> DataFrame:
     """One row per sale: plausible, of a known commune, bulk sales counted once.
 
-    The key filter runs before the dedup: it depends on the dedup key alone, and
-    rejected rows are then never shuffled.
+    The dedup comes before the key filter: its shuffle is by all six keys, which
+    spreads a commune with very many sales over the tasks.
     """
     valid = keep_valid(sale_rows(raw), sale_rules())
     if merge_districts:
         valid = valid.withColumn("code_insee", codes.merge_districts(F.col("code_insee")))
-    return dedup(keep_known(valid, "code_insee", communes), SALE_KEY).select(*valid.columns)
+    return keep_known(dedup(valid, SALE_KEY), "code_insee", communes).select(*valid.columns)
 
 
 def fact_revenus(by_year: Mapping[int, DataFrame], communes: DataFrame, columns: Mapping[int, str] = INCOME_COLUMNS) -> DataFrame:

@@ -39,6 +39,6 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
 def materialize(frames: Mapping[str, DataFrame], schema: str, location: str) -> None:
     """Every frame becomes a table of ``schema``, which is created at ``location`` if needed."""
     spark = next(iter(frames.values())).sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{location}'")
     for name, df in frames.items():
         replace_table(df, f"{schema}.{name}", f"{location}/{name}")
