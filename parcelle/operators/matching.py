@@ -18,33 +18,37 @@ from ..functions.similarity import best_of
 LIST_LENGTH = 256
 
 
-def best_match(left: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Best candidate for every ``(keys, name)`` of ``left``.
+def _listed(left: DataFrame, candidates: DataFrame, keys: list[str], spread: str, packed: list) -> DataFrame:
+    """Left rows beside each list (``_packed``) of their key's candidates.
 
-    ``candidates`` has the keys, ``name``, ``code``, ``label`` and ``votes``. Equal
-    scores go to more votes, then to the lower code. Rows of ``left`` whose keys
-    have no candidate are absent from the result.
+    The number of lists follows the number of candidates, so a list stays near
+    ``LIST_LENGTH``; rows and lists meet by key and list number.
     """
-    keys = list(keys)
     lists = candidates.groupBy(*keys).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(LIST_LENGTH)).cast("int").alias("_lists")
     )
-    packed = (
+    filled = (
         candidates.join(lists, keys)
-        .withColumn("_list", F.pmod(F.xxhash64("code"), F.col("_lists")).cast("int"))
+        .withColumn("_list", F.pmod(F.xxhash64(spread), F.col("_lists")).cast("int"))
         .groupBy(*keys, "_list")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct((-F.col("votes")).alias("against"), "code", "name", "label"))
-            ).alias("_packed")
-        )
+        .agg(F.sort_array(F.collect_list(F.struct(*packed))).alias("_packed"))
     )
-    asked = (
-        left.select(*keys, "name").distinct().join(lists, keys)
-        .withColumn("_list", F.explode(F.sequence(F.lit(0), F.col("_lists") - 1)))
-        .drop("_lists")
-    )
-    scored = asked.join(packed, [*keys, "_list"]).withColumn(
+    asked = left.join(lists, keys).withColumn(
+        "_list", F.explode(F.sequence(F.lit(0), F.col("_lists") - 1))
+    ).drop("_lists")
+    return asked.join(filled, [*keys, "_list"])
+
+
+def best_match(left: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Best candidate for every ``(keys, name)`` of ``left``.
+
+    ``candidates`` has the keys, ``name``, ``code``, ``label`` and ``votes``. Equal
+    scores go to more votes, then to the lower code. Rows of ``left`` whose keys
+    have no candidate are absent from the result.
+    """
+    keys = list(keys)
+    packed = [(-F.col("votes")).alias("against"), "code", "name", "label"]
+    scored = _listed(left.select(*keys, "name").distinct(), candidates, keys, "code", packed).withColumn(
         "_best", best_of("name", F.transform("_packed", lambda c: c["name"]))
     )
     winner = F.col("_packed")[F.col("_best.place")]
@@ -62,3 +66,18 @@ def best_match(left: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> D
         *keys, "name", F.col("_w.code").alias("code"), F.col("_w.label").alias("label"),
         (-F.col("_w.against")).alias("score"), (-F.col("_w.fewer")).alias("votes"),
     )
+
+
+def nearest(left: DataFrame, candidates: DataFrame, keys: Sequence[str], text: str, name: str) -> DataFrame:
+    """Candidate ``name`` with the least edit distance to ``text``, and the distance.
+
+    Equal distances go to the first name in order.
+    """
+    keys = list(keys)
+    asked = left.select(*keys, text).distinct()
+    listed = _listed(asked, candidates.select(*keys, name).distinct(), keys, name, [name])
+    local = F.array_min(
+        F.transform("_packed", lambda c: F.struct(F.levenshtein(F.col(text), c[name]).alias("distance"), c[name].alias(name)))
+    )
+    best = listed.groupBy(*keys, text).agg(F.min(local).alias("_w"))
+    return best.select(*keys, text, F.col(f"_w.{name}").alias(name), F.col("_w.distance").alias("distance"))

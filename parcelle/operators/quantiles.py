@@ -48,8 +48,9 @@ def group_stats(
 
 
 def overall_stats(df: DataFrame, quantiles: Quantiles, aggs: Sequence[Column] = ()) -> DataFrame:
-    """One row over all rows; the whole table is one large group."""
-    return _large_stats(df.withColumn("_all", F.lit(1)), ["_all"], quantiles, aggs).drop("_all")
+    """One row, even over no rows; the whole table is one large group."""
+    one = df.agg(*aggs, F.lit(1).alias("_all"))
+    return _add_selected(one, df.withColumn("_all", F.lit(1)), ["_all"], quantiles).drop("_all")
 
 
 def _interpolated(low: Column, high: Column, position: Column) -> Column:
@@ -71,13 +72,17 @@ def _listed_stats(df: DataFrame, keys: Sequence[str], quantiles: Quantiles, aggs
     return gathered.withColumns({name: pick(c, p) for name, (c, p) in quantiles.items()}).drop(*lists.values())
 
 
-def _large_stats(df, keys, quantiles: Quantiles, aggs) -> DataFrame:
-    # A group with no value at all has no selected row, hence the left joins.
-    result = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+def _large_stats(df: DataFrame, keys: Sequence[str], quantiles: Quantiles, aggs: Sequence[Column]) -> DataFrame:
+    groups = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+    return _add_selected(groups, df, keys, quantiles)
+
+
+def _add_selected(groups: DataFrame, df: DataFrame, keys: Sequence[str], quantiles: Quantiles) -> DataFrame:
+    """Percentile columns for groups already aggregated; a group with no value has none."""
     for value in dict.fromkeys(c for c, _ in quantiles.values()):
         wanted = {name: p for name, (c, p) in quantiles.items() if c == value}
-        result = _null_safe_join(result, select_percentiles(df, keys, value, wanted), keys, "left")
-    return result.select(*keys, *[c for c in result.columns if c not in keys])
+        groups = _null_safe_join(groups, select_percentiles(df, keys, value, wanted), keys, "left")
+    return groups.select(*keys, *[c for c in groups.columns if c not in keys])
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -147,9 +147,9 @@ def filter_range(s: Star):
 
 
 @q("""SELECT c_custkey, c_nationkey FROM customer
-    WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)""")
+    WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)""")
 def filter_fk_semi(s: Star):
-    rich = s.table("supplier").where("s_acctbal > 9000").select("s_nationkey")
+    rich = s.table("supplier").where("s_acctbal > 5000").select("s_nationkey")
     return relational.keep_known(s.table("customer").select("c_custkey", "c_nationkey"), "c_nationkey", rich, "s_nationkey")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import exact_round
 from ..functions.text import bare_name
 from ..operators import relational
-from ..operators.matching import best_match
+from ..operators.matching import best_match, nearest
 from ..plans import dashboard, mapping
 from ..plans.marts import rent_signal
 from ..sources.starschema import Star, unit
@@ -139,19 +139,13 @@ def join_anti_orphans(s: Star):
     SELECT p_brand, p_type, p_name AS best, levenshtein(lower(p_type), p_name) AS distance FROM wanted JOIN names USING (p_brand)
     QUALIFY row_number() OVER (PARTITION BY p_brand, p_type ORDER BY levenshtein(lower(p_type), p_name), p_name) = 1""")
 def join_theta_similarity(s: Star):
-    """Nearest part name within the brand for each part type.
-
-    Distinct names are compared, and each pair goes straight into the running
-    minimum of its group.
-    """
+    """Nearest part name within the brand for each part type."""
     part = s.table("part")
-    wanted = part.select("p_brand", "p_type").distinct()
-    names = part.select("p_brand", "p_name").distinct()
-    distance = F.levenshtein(F.lower("p_type"), "p_name").cast("bigint")
-    best = wanted.join(names, "p_brand").groupBy("p_brand", "p_type").agg(
-        F.min(F.struct(distance.alias("distance"), "p_name")).alias("b")
+    wanted = part.select("p_brand", F.lower("p_type").alias("kind"), "p_type").distinct()
+    best = nearest(wanted, part, ["p_brand"], "kind", "p_name")
+    return wanted.join(best, ["p_brand", "kind"]).select(
+        "p_brand", "p_type", F.col("p_name").alias("best"), F.col("distance").cast("bigint").alias("distance")
     )
-    return best.select("p_brand", "p_type", F.col("b.p_name").alias("best"), "b.distance")
 
 
 @q("""SELECT name, f_score AS score, f_uu AS uu2020 FROM (SELECT DISTINCT name FROM g_towns)

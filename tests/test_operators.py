@@ -59,7 +59,27 @@ def test_percentiles_of_a_bad_sketch(skewed, monkeypatch):
 
 def test_overall_percentiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
-    assert profile.upper_fence(empty, "v").collect()[0:1] in ([], [(None, None, None)])
+    assert [tuple(r) for r in profile.upper_fence(empty, "v").collect()] == [(None, None, None)]
+    assert [(r.n, r.median) for r in profile.describe(empty, ["v"]).collect()] == [(0, None)]
+
+
+def test_nearest_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(matching, "LIST_LENGTH", 3)
+    rng = random.Random(2)
+    names = sorted({"".join(rng.choice("ab c") for _ in range(rng.randint(1, 6))) for _ in range(40)})
+    left = spark.createDataFrame([("k", n[::-1] + "x") for n in names[:10]], "key string, text string")
+    right = spark.createDataFrame([("k", n) for n in names], "key string, name string")
+    got = {r.text: (r.distance, r.name) for r in matching.nearest(left, right, ["key"], "text", "name").collect()}
+
+    def edit(a, b):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, d in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+        return row[-1]
+
+    assert got == {t: min((edit(t, n), n) for n in names) for t in (n[::-1] + "x" for n in names[:10])}
 
 
 def test_ranks_equal_the_window_functions(spark):

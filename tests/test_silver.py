@@ -9,7 +9,7 @@ from parcelle.operators.validation import reject_report
 from parcelle.plans import ledger, mapping, marts, quality, silver
 from parcelle.session import shared_folder
 from parcelle.sources import readers, sinks
-from parcelle.streaming.incremental import load_new_sales
+from parcelle.streaming.incremental import load_new_sales, load_pending_years
 
 SALES = (
     "Code_departement string, Code_commune string, Date_mutation string, Nature_mutation string, Type_local string,"
@@ -242,6 +242,24 @@ def test_new_files_are_loaded_once(spark, communes, tmp_path):
     assert rows(spark.read.parquet(target), "annee", "valeur_fonciere") == [(2021, 100000.0), (2021, 200000.0), (2022, 100000.0)]
 
 
+def test_only_pending_years_are_loaded(spark, communes, tmp_path):
+    source, target = str(tmp_path / "raw"), str(tmp_path / "clean")
+    raw = spark.createDataFrame([sale(), sale(day="05/05/2022"), sale(day="06/05/2022", price="90000")], SALES)
+    year = F.right("Date_mutation", F.lit(4)).cast("int")
+    raw.withColumn("annee", year).write.partitionBy("annee").parquet(source)
+    log = load_pending_years(spark, source, communes, target, spark.createDataFrame([], ledger.COLUMNS))
+    assert rows(log, "source", "status", "rows_loaded") == [
+        ("silver.fact_transactions_2021", "success", 1), ("silver.fact_transactions_2022", "success", 2)]
+    again = load_pending_years(spark, source, communes, target, log)
+    assert again.count() == 2
+    spark.createDataFrame([sale(day="01/01/2023"), sale(day="01/02/2023", price="80000")], SALES).withColumn("annee", year).write.mode(
+        "append").partitionBy("annee").parquet(source)
+    reset = ledger.reset(again, "silver", "fact_transactions_2022")
+    later = load_pending_years(spark, source, communes, target, reset)
+    assert later.count() == 3 and spark.read.parquet(target).groupBy("annee").count().count() == 3
+    assert spark.read.parquet(target).count() == 5
+
+
 def test_same_result_for_any_partition_count(spark, communes):
     raw = spark.createDataFrame([sale(com=c, price=str(50000 + 10 * (i % 7)), land=float(i)) for c in ("056", "101") for i in range(40)], SALES)
     results = set()
