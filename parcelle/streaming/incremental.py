@@ -1,8 +1,8 @@
 """Load only what is new: arrived files as a stream, or years the ledger lacks.
 
-The reference data arrives as yearly files. One ``availableNow`` run takes the
-files not seen before, cleans them like a full load, and appends the sales the
-table does not hold yet.
+Sales arrive as yearly files. One ``availableNow`` run takes the files not seen
+before, cleans them like a full load, and appends the sales the table does not
+hold yet.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -77,8 +78,9 @@ def load_pending_years(
 
 def _existing(spark: SparkSession, target: str, like: DataFrame) -> DataFrame:
     """Keys in the target; none before the first load."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not files.exists(path):
+    try:
+        return spark.read.schema(like.schema).parquet(target).select(*SALE_KEY)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return like.select(*SALE_KEY).limit(0)
-    return spark.read.schema(like.schema).parquet(target).select(*SALE_KEY)
