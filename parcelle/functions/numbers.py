@@ -40,6 +40,11 @@ def exact_round(c: Column, places: int) -> Column:
     return F.round(c.cast("decimal(38,6)"), places).cast("double")
 
 
+def even_round(c: Column, places: int) -> Column:
+    """Round half to even, as the department and map figures are."""
+    return F.bround(c.cast("decimal(38,6)"), places).cast("double")
+
+
 def ratio(a: Column, b: Column) -> Column:
     """NULL when the divisor is zero."""
     return F.try_divide(a, b)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import zero_pad
-from ..functions.numbers import access_band, exact_round, ratio
+from ..functions.numbers import access_band, even_round, exact_round, ratio
 from ..functions.text import contains_folded
 from ..operators.relational import keep_first, keep_latest_ties
 from ..operators.validation import where_given
@@ -77,10 +77,10 @@ def map_departments(rows: DataFrame, indicator: str = "score_tension") -> DataFr
              F.avg("score_tension").alias("s"), F.avg("hausse_prix_pct").alias("h"))
         .select(
             zero_pad(F.col("code_departement"), 2).alias("code_departement"),
-            exact_round(F.col("v"), 1).alias("valeur"),
-            exact_round(F.col("p"), 0).alias("prix_m2_moyen"),
-            exact_round(F.col("s"), 1).alias("score_moyen"),
-            exact_round(F.col("h"), 1).alias("hausse_moy"),
+            even_round(F.col("v"), 1).alias("valeur"),
+            even_round(F.col("p"), 0).alias("prix_m2_moyen"),
+            even_round(F.col("s"), 1).alias("score_moyen"),
+            even_round(F.col("h"), 1).alias("hausse_moy"),
         )
     )
 
@@ -96,10 +96,10 @@ def map_kpis(rows: DataFrame, indicator: str = "score_tension") -> DataFrame:
     )
     order = F.struct((-F.col("s") / F.col("n")).alias("m"), "nom_commune")
     return towns.agg(
-        exact_round(F.sum("s") / F.sum("n"), 1).alias("val_moyenne"),
+        even_round(F.sum("s") / F.sum("n"), 1).alias("val_moyenne"),
         F.count(F.lit(1)).alias("nb_communes"),
         F.count_if("very").alias("nb_tres_tendu"),
-        exact_round(F.max("top"), 1).alias("val_max"),
+        even_round(F.max("top"), 1).alias("val_max"),
         F.min_by("nom_commune", order).alias("commune_top"),
     )
 

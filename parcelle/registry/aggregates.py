@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact_round
+from ..functions.numbers import even_round, exact_round
 from ..operators import profile
 from ..operators.quantiles import group_stats
 from ..plans import quality
 from ..plans.marts import rent_signal
 from ..sources.starschema import Star
-from .base import MED, Section, rnd
+from .base import MED, Section, rnd, rnde
 
 QUERIES = q = Section()
 
@@ -104,12 +104,12 @@ def agg_vote_count(s: Star):
     return s.bridge.join(s.communes, "code_insee").groupBy("observatory_b", "reg").agg(F.count(F.lit(1)).alias("votes"))
 
 
-@q(f"""SELECT code_departement, {rnd('avg(prix_m2_moyen)', 0)} AS prix, {rnd('avg(surface_moyenne)', 1)} AS surface,
-    {rnd('avg(evolution_annuelle_pct)', 1)} AS hausse, {rnd('avg(nb_transactions)', 1)} AS ventes FROM g_prices GROUP BY 1""")
+@q(f"""SELECT code_departement, {rnde('avg(prix_m2_moyen)', 0)} AS prix, {rnde('avg(surface_moyenne)', 1)} AS surface,
+    {rnde('avg(evolution_annuelle_pct)', 1)} AS hausse, {rnde('avg(nb_transactions)', 1)} AS ventes FROM g_prices GROUP BY 1""")
 def agg_named_multi(s: Star):
     means = {"prix": ("prix_m2_moyen", 0), "surface": ("surface_moyenne", 1), "hausse": ("evolution_annuelle_pct", 1),
              "ventes": ("nb_transactions", 1)}
-    return s.prices.groupBy("code_departement").agg(*(exact_round(F.avg(c), n).alias(a) for a, (c, n) in means.items()))
+    return s.prices.groupBy("code_departement").agg(*(even_round(F.avg(c), n).alias(a) for a, (c, n) in means.items()))
 
 
 @q("""SELECT annee, nom_commune AS top FROM (SELECT annee, nom_commune, avg(prix_m2_median) AS m FROM g_prices GROUP BY ALL)

@@ -41,6 +41,11 @@ def rnd(x: str, places: int) -> str:
     return f"round(({x})::DECIMAL(38,6), {places})::DOUBLE"
 
 
+def rnde(x: str, places: int) -> str:
+    """Half to even."""
+    return f"round_even(({x})::DECIMAL(38,6), {places})::DOUBLE"
+
+
 def sid(x: str) -> str:
     """Stable id: md5 hex folded digit by digit."""
     return (

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import dashboard
 from ..sources.starschema import Star, code5
-from .base import Section, rnd
+from .base import Section, rnd, rnde
 
 QUERIES = q = Section()
 
@@ -35,15 +35,15 @@ def q_map(s: Star):
 
 
 @q(f"""SELECT CASE WHEN length(code_departement) < 2 THEN '0' || code_departement ELSE code_departement END AS code_departement,
-    {rnd('avg(score_tension)', 1)} AS valeur, {rnd('avg(prix_m2_moyen)', 0)} AS prix_m2_moyen,
-    {rnd('avg(score_tension)', 1)} AS score_moyen, {rnd('avg(hausse_prix_pct)', 1)} AS hausse_moy FROM {MAP} GROUP BY 1""")
+    {rnde('avg(score_tension)', 1)} AS valeur, {rnde('avg(prix_m2_moyen)', 0)} AS prix_m2_moyen,
+    {rnde('avg(score_tension)', 1)} AS score_moyen, {rnde('avg(hausse_prix_pct)', 1)} AS hausse_moy FROM {MAP} GROUP BY 1""")
 def q_map_department(s: Star):
     return dashboard.map_departments(dashboard.map_rows(s.tension, s.communes))
 
 
-@q(f"""SELECT {rnd('avg(score_tension)', 1)} AS val_moyenne, count(DISTINCT nom_commune) AS nb_communes,
+@q(f"""SELECT {rnde('avg(score_tension)', 1)} AS val_moyenne, count(DISTINCT nom_commune) AS nb_communes,
     count(DISTINCT nom_commune) FILTER (categorie_tension = 'Très tendu') AS nb_tres_tendu,
-    {rnd('max(score_tension)', 1)} AS val_max, (SELECT nom_commune FROM {MAP} GROUP BY 1
+    {rnde('max(score_tension)', 1)} AS val_max, (SELECT nom_commune FROM {MAP} GROUP BY 1
         ORDER BY avg(score_tension) DESC, nom_commune LIMIT 1) AS commune_top FROM {MAP}""")
 def q_map_kpis(s: Star):
     return dashboard.map_kpis(dashboard.map_rows(s.tension, s.communes))
