@@ -106,9 +106,12 @@ _ACCENTED, _PLAIN = _folding_table()
 
 
 def fold(c: Column) -> Column:
-    """Plain lower-case ASCII: accents dropped, other non-ASCII characters removed."""
-    plain = F.translate(c, _ACCENTED, _PLAIN)
-    return F.lower(F.regexp_replace(plain, r"[^\x00-\x7F]", ""))
+    """Plain lower-case ASCII: accents dropped, other non-ASCII characters removed.
+
+    Text with as many bytes as characters is ASCII already.
+    """
+    plain = F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), r"[^\x00-\x7F]", "")
+    return F.lower(F.when(F.octet_length(c) == F.length(c), c).otherwise(plain))
 
 
 def fold_python(text: str) -> str:
