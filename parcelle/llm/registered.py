@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing, rules, toxicity
+from . import mixing, rules, secrets, toxicity
 
 QUERIES = {
+    "op2_secrets": secrets.op2_secrets,
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_mixing": mixing.op7_mixing,
     "op10_quality_rules": rules.op10_quality_rules,
