@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, table
+from .common import free_name, stored, table
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Lengths in letters of the word beginnings that are terms beside the words.
@@ -36,13 +36,11 @@ def terms(text: str | None) -> set[int]:
     return {t for word in set(_WORD.findall((text or "").lower())) for t in word_terms(word)}
 
 
-def association(with_1: np.ndarray, with_0: np.ndarray, n1: int, n0: int) -> np.ndarray:
+def association(with_1: Column, with_0: Column, n1: int, n0: int) -> Column:
     """G statistic of a term's presence against the label, from its text counts by label."""
-    g = np.zeros(len(with_1))
-    for seen, n in ((with_1, n1), (with_0, n0)):
-        for count, share in ((seen, (with_1 + with_0) / (n1 + n0)), (n - seen, 1 - (with_1 + with_0) / (n1 + n0))):
-            g += np.where(count > 0, 2 * count * np.log(np.maximum(count, 1e-12) / np.maximum(n * share, 1e-12)), 0.0)
-    return g
+    part = lambda count, expected: F.when(count > 0, 2 * count * F.log(count / expected)).otherwise(0.0)
+    share = (with_1 + with_0) / F.lit(float(n1 + n0))
+    return sum((part(seen, n * share) + part(n - seen, n * (1 - share)) for seen, n in ((with_1, n1), (with_0, n0))), F.lit(0.0))
 
 
 @dataclass(frozen=True)
@@ -65,34 +63,24 @@ class Machine:
 
 
 def fit_machine(
-    docs: list[np.ndarray], labels: np.ndarray, prior: float, rank: int = 6, min_docs: int = 4, min_g: float = 15.0, epochs: int = 60,
+    keys: np.ndarray, at: list[np.ndarray], labels: np.ndarray, prior: float, rank: int = 6, epochs: int = 60,
     rate: float = 0.2, decay: float = 2e-5, batch: int = 128, seed: int = 7,
 ) -> Machine:
-    """Adaptive gradient descent on the logistic loss; terms in fewer than min_docs texts, or whose
-    presence says little about the label (G below min_g), are left out, so rare words are not learned by heart.
+    """Adaptive gradient descent on the logistic loss; ``at`` lists the places in ``keys`` of every text's terms.
 
     ``prior`` is the share of label 1 among all labelled rows: the sample may
     hold more of them, and the bias is moved back by that odds ratio. Without
     both labels every text gets the prior.
     """
-    if len(docs) == 0 or labels.min() == labels.max():
+    if len(at) == 0 or labels.min() == labels.max():
         p = min(max(prior, 1e-3), 1 - 1e-3)
         return Machine(np.empty(0, np.int64), np.empty(0), np.empty((0, rank)), float(np.log(p / (1 - p))))
-    keys, inverse, counts = np.unique(np.concatenate(docs), return_inverse=True, return_counts=True)
-    n1 = int(labels.sum())
-    with_1 = np.bincount(inverse, np.repeat(labels, [len(d) for d in docs]).astype(float), len(keys))
-    keys = keys[(counts >= min_docs) & (association(with_1, counts - with_1, n1, len(labels) - n1) >= min_g)]
-    at = []
-    for d in docs:
-        i = np.searchsorted(keys, d)
-        i[i == len(keys)] = 0
-        at.append(i[keys[i] == d] if len(keys) else np.empty(0, int))
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(keys)), rng.normal(0, 0.01, (len(keys), rank))
     gw, gv, bias, gb = np.full(len(keys), 1e-3), np.full((len(keys), rank), 1e-3), 0.0, 1e-3
     y = labels.astype(float)
     for _ in range(epochs):
-        order = rng.permutation(len(docs))
+        order = rng.permutation(len(at))
         for start in range(0, len(order), batch):
             part = order[start:start + batch]
             sizes = np.array([len(at[i]) for i in part])
@@ -124,12 +112,17 @@ def held_out() -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_positive: int = 6000, max_negative: int = 10000, **options) -> Machine:
+def learn(
+    docs: DataFrame, labels: DataFrame, max_positive: int = 6000, max_negative: int = 10000, min_docs: int = 4, min_g: float = 15.0, **options,
+) -> Machine:
     """Fit on at most max_positive + max_negative labelled rows that are not held out.
 
-    The rows with the smallest hash of doc_id are taken, so reruns agree. The
-    texts are turned into term hashes on the executors. Rows with null ids or
-    labels are not used; a repeated label counts as its maximum.
+    The rows with the smallest hash of doc_id are taken, so reruns agree. Term
+    hashes and their counts are made on the executors. Terms in fewer than
+    min_docs texts of the sample, or whose presence says little about the label
+    (G below min_g), are left out, so rare words are not learned by heart; the
+    driver gets the terms that remain, and their places in the texts. Rows with
+    null ids or labels are not used; a repeated label counts as its maximum.
     """
     marked = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("y")).filter(~held_out())
     counts = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
@@ -138,16 +131,26 @@ def learn(docs: DataFrame, labels: DataFrame, max_positive: int = 6000, max_nega
 
     @F.pandas_udf("array<bigint>")
     def hashed(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: sorted(terms(t)))
+        return text.map(lambda t: np.fromiter(sorted(terms(t)), np.int64))
 
-    rows = (
+    sample = stored(
         docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))  # bounded by the two parameters
-        .select("doc_id", "y", hashed("text").alias("terms")).toPandas()
-    )
-    rows = rows.assign(first=rows["terms"].map(lambda t: t[0] if len(t) else 0)).sort_values(["doc_id", "first"], kind="stable")
+        .select("doc_id", "y", hashed("text").alias("terms")), "terms")
+    sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    seen = sample.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("a"), F.count("y").alias("n")).filter(F.col("n") >= min_docs)
+    a, n = F.col("a").cast("double"), F.col("n").cast("double")
+    keys = np.array(sorted(r["term"] for r in seen.filter(association(a, n - a, n1, n0) >= min_g).select("term").collect()), np.int64)
+
+    @F.pandas_udf("array<int>")
+    def places(found: pd.Series) -> pd.Series:
+        return found.map(lambda t: np.flatnonzero(np.isin(keys, t)).astype(np.int32))
+
+    rows = sample.select("doc_id", "y", places("terms").alias("at")).toPandas()
+    rows = rows.assign(first=rows["at"].map(lambda t: (len(t), *t[:8]))).sort_values(["doc_id", "first"], kind="stable")
     total = sum(counts.values())
     return fit_machine(
-        [np.asarray(t, np.int64) for t in rows["terms"]], rows["y"].to_numpy(), counts.get(1, 0) / total if total else 0.0, **options)
+        keys, [np.asarray(t, np.int64) for t in rows["at"]], rows["y"].to_numpy(), counts.get(1, 0) / total if total else 0.0, **options)
 
 
 def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
