@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, rules, secrets, toxicity
+from . import chat, decontam, mixing, pages, rules, secrets, toxicity
 
 QUERIES = {
+    "op3_html_text": pages.op3_html_text,
+    "op9_decontamination": decontam.op9_decontamination,
     "op1_chat_format": chat.op1_chat_format,
     "op2_secrets": secrets.op2_secrets,
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_mixing": mixing.op7_mixing,
     "op10_quality_rules": rules.op10_quality_rules,
 }
-SQL = {"op1_chat_format": chat.OP1_SQL, "op7_mixing": mixing.OP7_SQL}
+SQL = {"op9_decontamination": decontam.OP9_SQL, "op1_chat_format": chat.OP1_SQL, "op7_mixing": mixing.OP7_SQL}
