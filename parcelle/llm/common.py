@@ -38,29 +38,33 @@ def free_name(frame: DataFrame, wanted: str) -> str:
     return wanted if wanted.lower() not in taken else f"{wanted}_{uuid.uuid4().hex[:8]}"
 
 
-def numbered(docs: DataFrame) -> DataFrame:
+def numbered(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
     """(n, doc_id, text): n is unique, never null, in the order of doc_id, and fits NUMBER_BITS with a sign.
 
+    With ``whole_rows`` the given columns follow as the struct ``row``.
+
     Unique ids in range are their own numbers. Otherwise (null, repeated or
     huge ids) rows are numbered in the order of doc_id, nulls last, repeated
     ids by text; that numbering is stored, as a recomputed one could differ.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []
+    names = ["doc_id", "text"] + ["row"] * whole_rows
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *row)
     rows, given, low, high = docs.agg(
         F.count(F.lit(1)), F.count("doc_id"), F.min("doc_id"), F.max("doc_id")
     ).first()
     limit = 1 << NUMBER_BITS
     if rows == 0:
-        return docs.select(F.col("doc_id").alias("n"), "doc_id", "text")
+        return docs.select(F.col("doc_id").alias("n"), *names)
     if rows == given and -limit <= low and high < limit:
         repeated = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count()
         if not repeated:
-            return docs.select(F.col("doc_id").alias("n"), "doc_id", "text")
+            return docs.select(F.col("doc_id").alias("n"), *names)
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = stored(
         docs.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
-        .select(F.monotonically_increasing_id().alias("m"), "doc_id", "text"),
+        .select(F.monotonically_increasing_id().alias("m"), *names),
         "numbered",
     ).withColumn("part", F.shiftright("m", 33))
     sizes = placed.groupBy("part").count().orderBy("part").collect()  # one row per partition
@@ -69,7 +73,7 @@ def numbered(docs: DataFrame) -> DataFrame:
         starts[row["part"]] = total
         total += row["count"]
     start = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])[F.col("part")]
-    return placed.select((start + F.col("m").bitwiseAND(F.lit((1 << 33) - 1))).alias("n"), "doc_id", "text")
+    return placed.select((start + F.col("m").bitwiseAND(F.lit((1 << 33) - 1))).alias("n"), *names)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

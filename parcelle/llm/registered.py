@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, pages, rules, secrets, toxicity
+from . import chat, decontam, mixing, near_dup, pages, rules, secrets, substrings, suffix_dedup, toxicity
 
 QUERIES = {
+    "op8_near_dup": near_dup.op8_near_dup,
+    "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
+    "op6_substring_dedup": substrings.op6_substring_dedup,
     "op3_html_text": pages.op3_html_text,
     "op9_decontamination": decontam.op9_decontamination,
     "op1_chat_format": chat.op1_chat_format,
