@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log
 
 import numpy as np
 import pandas as pd
@@ -27,15 +28,47 @@ from .repeats import mix
 
 #: Two sets are linked if 100 * intersection >= SHARE * union.
 SHARE = 85
-#: A pair of exactly that similarity misses all bands with probability (1 - 0.85 ** 5) ** 28 < 1e-7.
-BANDS, ROWS = 28, 5
+#: Rows of a band, and the probability with which a pair of exactly the threshold's similarity may miss all bands.
+ROWS, MISS = 5, 1e-7
 SKETCH_LONGS = 8
-#: Sketch estimates below this are left out: over five standard deviations below the threshold.
-LEAST_ESTIMATE = 0.62
-_RANDOM = np.random.default_rng(8)
-_A = _RANDOM.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_B = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
-_ROW_SALT = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+#: Sketch estimates this far below the threshold, over five standard deviations, are left out.
+MARGIN = 0.23
+
+
+def band_count(share: int) -> int:
+    return max(1, ceil(log(MISS) / log(1 - min(0.99, share / 100) ** ROWS)))
+
+
+class Hashes:
+    """The linear hashes of a signature with the bands that the threshold needs."""
+
+    def __init__(self, share: int):
+        self.bands = band_count(share)
+        rows, draw = self.bands * ROWS, np.random.default_rng(8)
+        self.a = draw.integers(0, 1 << 31, rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.b = draw.integers(0, 1 << 32, rows, dtype=np.uint32)
+        self.salt = draw.integers(0, 1 << 63, rows, dtype=np.uint64)
+
+    def signature(self, shingles: np.ndarray) -> np.ndarray:
+        """Least values of the hashes over the shingles."""
+        low = (shingles >> np.uint64(32)).astype(np.uint32)
+        least = np.full(len(self.a), np.iinfo(np.uint32).max, np.uint32)
+        for first in range(0, len(low), 1024):
+            np.minimum(least, (self.a[:, None] * low[first : first + 1024] + self.b[:, None]).min(1), out=least)
+        return least
+
+    def band_keys(self, least: np.ndarray) -> np.ndarray:
+        rows = least.astype(np.uint64).reshape(self.bands, ROWS)
+        key = np.arange(self.bands, dtype=np.uint64)
+        for r in range(ROWS):
+            key = mix(key, rows[:, r], 15)
+        return key.view(np.int64)
+
+    def odd_sketch(self, least: np.ndarray) -> np.ndarray:
+        """Parity bitmap of the signature: every (row, value) flips one bit."""
+        bit = mix(least.astype(np.uint64), self.salt, 14) % np.uint64(64 * SKETCH_LONGS)
+        parity = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
+        return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
 class Shingler:
@@ -61,60 +94,36 @@ class Shingler:
         return np.unique(out)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """Least values of the linear hashes over the shingles."""
-    low = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(len(_A), np.iinfo(np.uint32).max, np.uint32)
-    for first in range(0, len(low), 1024):
-        np.minimum(least, (_A[:, None] * low[first : first + 1024] + _B[:, None]).min(1), out=least)
-    return least
-
-
-def band_keys(least: np.ndarray) -> np.ndarray:
-    rows = least.astype(np.uint64).reshape(BANDS, ROWS)
-    key = np.arange(BANDS, dtype=np.uint64)
-    for r in range(ROWS):
-        key = mix(key, rows[:, r], 15)
-    return key.view(np.int64)
-
-
-def odd_sketch(least: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the signature: every (row, value) flips one bit."""
-    bit = mix(least.astype(np.uint64), _ROW_SALT, 14) % np.uint64(64 * SKETCH_LONGS)
-    parity = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.int64)
-
-
-def estimate(a: str, b: str) -> Column:
-    """Similarity estimated from two odd sketches."""
+def similar(a: str, b: str, share: int) -> Column:
+    """The similarity estimated from two odd sketches is not far below the threshold."""
     ones = sum((F.bit_count(F.get(F.col(a), k).bitwiseXOR(F.get(F.col(b), k))) for k in range(SKETCH_LONGS)), F.lit(0))
-    bits, k = 64.0 * SKETCH_LONGS, float(BANDS * ROWS)
-    return 1 + bits / (4 * k) * F.log(F.greatest(F.lit(1e-9), 1 - 2 * ones / bits))
+    bits, k = 64.0 * SKETCH_LONGS, float(band_count(share) * ROWS)
+    return F.lit(share / 100 - MARGIN) <= 1 + bits / (4 * k) * F.log(F.greatest(F.lit(1e-9), 1 - 2 * ones / bits))
 
 
-def described(docs: DataFrame, size: int) -> DataFrame:
+def described(docs: DataFrame, size: int, share: int) -> DataFrame:
     """(n, doc_id, n_shingles, s1, s2, bands, sketch) of numbered docs; s1 and s2 name the set."""
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingler(size)
+        shingles, hashes = Shingler(size), Hashes(share)
         for batch in batches:
             sets = [shingles(t) for t in batch["text"]]
-            least = [signature(s) for s in sets]
+            least = [hashes.signature(s) for s in sets]
             yield pd.DataFrame({
                 "n": batch["n"], "doc_id": batch["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in sets],
                 "s1": [xxhash.xxh64_intdigest(s.tobytes(), 1) - (1 << 63) for s in sets],
                 "s2": [xxhash.xxh64_intdigest(s.tobytes(), 2) - (1 << 63) for s in sets],
-                "bands": [band_keys(m) for m in least], "sketch": [odd_sketch(m) for m in least],
+                "bands": [hashes.band_keys(m) for m in least], "sketch": [hashes.odd_sketch(m) for m in least],
             })
 
     return docs.select("n", "doc_id", "text").mapInPandas(
         describe, "n bigint, doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, sketch array<bigint>")
 
 
-def with_sketches(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def with_sketches(pairs: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b) whose sketches are similar enough to be confirmed."""
     left = sketches.select(F.col("n").alias("a"), F.col("sketch").alias("sketch_a"))
     right = sketches.select(F.col("n").alias("b"), F.col("sketch").alias("sketch_b"))
-    return pairs.join(left, "a").join(right, "b").filter(estimate("sketch_a", "sketch_b") >= LEAST_ESTIMATE).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(similar("sketch_a", "sketch_b", share)).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
@@ -151,14 +160,14 @@ def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) -> DataF
     each other. Defaults are the contract's; the library's usual setting is
     five words and a similarity of 80.
     """
-    info = stored(described(docs, size), "signatures")
+    info = stored(described(docs, size, share), "signatures")
     firsts = info.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("n").alias("first"))
     reps = stored(info.join(firsts.select(F.col("first").alias("n")), "n").select("n", "bands", "sketch"), "representatives")
     in_bands = reps.select("n", F.explode("bands").alias("key"))
     buckets = in_bands.groupBy("key").agg(F.min("n").alias("lead"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     members = stored(in_bands.join(buckets.select("key", "lead"), "key"), "buckets")
     stars = members.filter("n > lead").select(F.col("lead").alias("a"), F.col("n").alias("b")).distinct()
-    tried = stored(with_sketches(stars, reps), "stars")
+    tried = stored(with_sketches(stars, reps, share), "stars")
     links = confirmed(tried, docs, size, share)
     roots = stored(components(links), "components")
 
@@ -170,7 +179,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) -> DataF
     left = open_rows.filter("root <> largest").select("key", F.col("n").alias("x"), F.col("root").alias("root_x"), F.col("sketch").alias("sketch_x"))
     right = open_rows.select("key", F.col("n").alias("y"), F.col("root").alias("root_y"), F.col("sketch").alias("sketch_y"), "largest")
     once = (F.col("root_y") == F.col("largest")) | (F.col("x") < F.col("y"))
-    apart = left.join(right, "key").filter((F.col("root_x") != F.col("root_y")) & once & (estimate("sketch_x", "sketch_y") >= LEAST_ESTIMATE))
+    apart = left.join(right, "key").filter((F.col("root_x") != F.col("root_y")) & once & similar("sketch_x", "sketch_y", share))
     more = apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     again = confirmed(more, docs, size, share)
     if not again.isEmpty():
