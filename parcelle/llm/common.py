@@ -26,10 +26,16 @@ def word_count(text: Column) -> Column:
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """The frame written to the shared folder and read back: computed once, safe when executors are lost."""
-    path = shared_folder(frame.sparkSession, purpose)
+    """The frame written to the shared folder and read back: computed once, safe when executors are lost.
+
+    The write's shuffle files are no longer needed; the driver's garbage
+    collection lets Spark's cleaner delete them before the next step adds its own.
+    """
+    spark = frame.sparkSession
+    path = shared_folder(spark, purpose)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    spark.sparkContext._jvm.java.lang.System.gc()
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def free_name(frame: DataFrame, wanted: str) -> str:

@@ -10,8 +10,11 @@ only, as a difference cover depends on position only, and about one position in
    core occurs once have no repeated window and are dropped.
 2. Anchors with the same whole run (all its windows) form a class: all members
    but the first repeat an earlier place, window by window.
-3. First members are looked at window by window, if their core is also the core
-   of another class; these are the borders of repeats.
+3. First members whose core is also the core of another class hold the borders
+   of repeats. They are sorted as suffixes from their anchors on, and as
+   reversed prefixes, and adjacent ones are compared: the longest common
+   prefixes bound which windows can occur twice. Only those are compared one by
+   one.
 """
 
 from __future__ import annotations
@@ -108,7 +111,14 @@ def anchor_runs(hashed: Hashed, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start[begin], start[end], anchor[begin]
 
 
-Split = Callable[[list], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
+@dataclass(frozen=True)
+class Alphabet:
+    """Texts to 64-bit symbols, symbols to bytes of ``width`` each without loss, and back."""
+
+    symbols: Callable[[Iterator[str | None]], Iterator[np.ndarray]]
+    pack: Callable[[np.ndarray], bytes]
+    unpack: Callable[[bytes], np.ndarray]
+    width: int
 
 
 def pieces(symbols: Iterator[np.ndarray], shape: Shape, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -139,15 +149,39 @@ def pieces(symbols: Iterator[np.ndarray], shape: Shape, limit: int) -> Iterator[
         yield out()
 
 
-def repeated_runs(
-    docs: DataFrame, symbols: Callable[[Iterator[str]], Iterator[np.ndarray]], shape: Shape, purpose: str, earlier_only: bool, limit: int = 1 << 20,
-) -> DataFrame:
+def common_prefix(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    return n - -(-(int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])).bit_length() // 8) if n else 0
+
+
+def adjacent_reach(batches: Iterator[pd.DataFrame], column: str, width: int) -> Iterator[pd.DataFrame]:
+    """Rows sorted by (core, column) with ``reach``: symbols that the row shares with the neighbour it shares most with.
+
+    Neighbours beyond the partition are unknown; the rows at its ends get their
+    full length, which keeps too much rather than too little.
+    """
+    held, shared = None, 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        core, text = rows["core"].to_numpy(), rows[column].tolist()
+        first = len(text[0]) if held is None else shared
+        pairs = [common_prefix(x, y) if same else 0 for x, y, same in zip(text, text[1:], core[:-1] == core[1:])]
+        before, after = np.array([first, *pairs]), np.array([*pairs, 0])
+        held, shared = rows.iloc[-1:], before[-1]
+        yield rows.iloc[:-1].assign(reach=(np.maximum(before, after)[:-1] // width).astype(np.int32))
+    if held is not None:
+        yield held.assign(reach=np.array([len(held[column].iloc[0]) // width], np.int32))
+
+
+def repeated_runs(docs: DataFrame, alphabet: Alphabet, shape: Shape, purpose: str, earlier_only: bool, limit: int = 1 << 20) -> DataFrame:
     """(n, first, last): runs of window starts that are repeated, of docs (n, text) with unique n.
 
     With ``earlier_only`` a window counts if it also starts earlier, by n and
-    then offset; else if it starts anywhere else. ``symbols`` turns texts into
-    arrays of 64-bit symbols. Two passes over the texts: the second for the
-    borders only. Cores and runs are compared by two 64-bit hashes together.
+    then offset; else if it starts anywhere else. Two passes over the texts:
+    the second for the borders only. Cores and runs are compared by two 64-bit
+    hashes together.
     """
     def place(n: np.ndarray, offset: np.ndarray) -> np.ndarray:
         return (n << OFFSET_BITS) + offset
@@ -155,7 +189,7 @@ def repeated_runs(
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             n = batch["n"].to_numpy()
-            for x, number, offset, size in pieces(symbols(iter(batch["text"])), shape, limit):
+            for x, number, offset, size in pieces(alphabet.symbols(iter(batch["text"])), shape, limit):
                 h = Hashed(x, shape)
                 first, last, anchor = anchor_runs(h, size)
                 start = np.cumsum(size) - size
@@ -163,40 +197,75 @@ def repeated_runs(
                 yield pd.DataFrame({
                     "core": h.fixed(anchor, shape.core, shape.gram, 10).view(np.int64),
                     "run": h.runs(first, last - first + shape.window, 11).view(np.int64) ^ (anchor - first),
-                    "place": place(n[number[part]], offset[part] + first - start[part]), "more": (last - first).astype(np.int32),
+                    "place": place(n[number[part]], offset[part] + first - start[part]),
+                    "form": ((last - first) << 16 | (anchor - first)).astype(np.int32),
                 })
 
-    anchors = docs.select("n", "text").mapInPandas(sample, "core bigint, run bigint, place bigint, more int")
+    more, back = F.shiftright("form", 16), F.col("form").bitwiseAND(F.lit(0xFFFF))
+    number, offset = F.shiftright("place", OFFSET_BITS), F.col("place").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1)).cast("int")
+    anchors = docs.select("n", "text").mapInPandas(sample, "core bigint, run bigint, place bigint, form int")
     shared = anchors.groupBy("core").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("core")
     found = stored(anchors.join(shared, "core"), f"{purpose}-anchors")
-    classes = found.groupBy("core", "run").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("members"), F.first("more").alias("more"))
+
+    classes = found.groupBy("core", "run").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("members"), F.first("form").alias("form"))
     mixed = classes.groupBy("core").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("core")
-    number, offset = F.shiftright("place", OFFSET_BITS), F.col("place").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1))
+    leads = classes.join(mixed, "core").withColumn("place", F.col("lead"))
     copies = found.join(classes.filter("members > 1").select("core", "run", "lead"), ["core", "run"])
     copies = copies.filter("place > lead") if earlier_only else copies
-    whole = copies.select(number.alias("n"), offset.cast("int").alias("first"), (offset + F.col("more")).cast("int").alias("last"))
-    leads = classes.join(mixed, "core").withColumn("place", F.col("lead"))
-    by_doc = leads.select(number.alias("n"), F.struct(offset.cast("int").alias("first"), "more", "core", F.col("members").cast("int").alias("members")).alias("r")).groupBy("n").agg(F.collect_list("r").alias("runs"))
+    whole = stored(copies.select(number.alias("n"), offset.alias("first"), (offset + more).alias("last")), f"{purpose}-copies")
+    by_doc = leads.select(
+        number.alias("n"), F.struct(offset.alias("first"), more.alias("more"), back.alias("back"), "core", (F.col("members") > 1).alias("copied")).alias("r"),
+    ).groupBy("n").agg(F.collect_list("r").alias("runs"))  # at most the anchors of one document
 
-    def borders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def border(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows = []
             for n, text, runs in zip(batch["n"], batch["text"], batch["runs"]):
-                x = next(symbols(iter([text])))
-                h = Hashed(x, shape)
-                first = np.array([r["first"] for r in runs], np.int64)
-                count = np.array([r["more"] for r in runs], np.int64) + 1
-                at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - first, count)
+                x = next(alphabet.symbols(iter([text])))
+                for r in runs:
+                    at = r["first"] + r["back"]
+                    rows.append((r["core"], (n << OFFSET_BITS) + r["first"], r["more"], r["copied"], alphabet.pack(x[r["first"]:at][::-1]),
+                                 alphabet.pack(x[at:r["first"] + r["more"] + shape.window])))
+            yield pd.DataFrame(rows, columns=["core", "place", "more", "copied", "ahead", "behind"])
+
+    kind = "core bigint, place bigint, more int, copied boolean, ahead binary, behind binary"
+    borders = stored(docs.select("n", "text").join(by_doc, "n").mapInPandas(border, kind), f"{purpose}-borders")
+
+    def suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in adjacent_reach(batches, "behind", alphabet.width):
+            yield rows[rows["reach"] >= shape.core].rename(columns={"reach": "right"})
+
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in adjacent_reach(batches, "ahead", alphabet.width):
+            for first in range(0, len(rows), 4096):  # bounds the symbols held at once
+                part = rows.iloc[first:first + 4096]
+                before = part["ahead"].str.len().to_numpy() // alphabet.width
+                # A window that starts d before the anchor needs d shared symbols before it and window - d after it.
+                low = np.maximum(0, before - part["reach"].to_numpy())
+                high = np.minimum(part["more"].to_numpy(), before - shape.window + part["right"].to_numpy())
+                count = np.maximum(0, high - low + 1)
+                if not count.sum():
+                    continue
+                texts = [np.concatenate((alphabet.unpack(a)[::-1], alphabet.unpack(b))) for a, b in zip(part["ahead"], part["behind"])]
+                start = np.cumsum([0, *map(len, texts)])[:-1]
+                step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)
+                h = Hashed(np.concatenate(texts), shape)
                 yield pd.DataFrame({
-                    "core": np.repeat(np.array([r["core"] for r in runs], np.int64), count),
-                    "window": h.fixed(at, shape.window, shape.power, 14).view(np.int64), "place": place(np.int64(n), at),
-                    "members": np.repeat(np.array([r["members"] for r in runs], np.int32), count),
+                    "core": np.repeat(part["core"].to_numpy(), count), "window": h.fixed(np.repeat(start, count) + step, shape.window, shape.power, 14).view(np.int64),
+                    "place": np.repeat(part["place"].to_numpy(), count) + step, "copied": np.repeat(part["copied"].to_numpy(), count),
                 })
 
-    single = stored(docs.select("n", "text").join(by_doc, "n").mapInPandas(borders, "core bigint, window bigint, place bigint, members int"), f"{purpose}-borders")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = stored(
+        borders.repartitionByRange(parts, "core", "behind").sortWithinPartitions("core", "behind").mapInPandas(suffixes, kind + ", right int"), f"{purpose}-suffixes")
+    single = stored(
+        kept.repartitionByRange(parts, "core", "ahead").sortWithinPartitions("core", "ahead").mapInPandas(windows, "core bigint, window bigint, place bigint, copied boolean"),
+        f"{purpose}-windows")
     met = single.groupBy("core", "window").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     again = single.join(met.select("core", "window", "lead"), ["core", "window"])
-    again = again.filter("place > lead") if earlier_only else again.filter("members = 1")
-    return whole.union(again.select(number.alias("n"), offset.cast("int").alias("first"), offset.cast("int").alias("last")))
+    again = again.filter("place > lead") if earlier_only else again.filter("not copied")
+    again = stored(again.select(number.alias("n"), offset.alias("first"), offset.alias("last")), f"{purpose}-single")
+    return whole.union(again)
 
 
 def merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:

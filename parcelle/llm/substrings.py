@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import numbered, table
-from .repeats import Shape, merged, repeated_runs
+from .repeats import Alphabet, Shape, merged, repeated_runs
 
 WORDS = 35
 SHAPE = Shape(window=WORDS, reach=24, gram=8, power=32)
@@ -35,6 +35,9 @@ def word_symbols(texts: Iterator[str | None]) -> Iterator[np.ndarray]:
             known.clear()
 
 
+ALPHABET = Alphabet(word_symbols, lambda x: x.astype(">u8").tobytes(), lambda b: np.frombuffer(b, ">u8").astype(np.uint64), 8)
+
+
 def remove_passages(docs: DataFrame) -> DataFrame:
     """One row per document: n, doc_id, n_words, spans (removed words, end exclusive), kept (words joined by one space).
 
@@ -42,7 +45,7 @@ def remove_passages(docs: DataFrame) -> DataFrame:
     ``numbered``. Windows are judged on the input.
     """
     docs = numbered(docs)
-    runs = repeated_runs(docs, word_symbols, SHAPE, "passages", earlier_only=False)
+    runs = repeated_runs(docs, ALPHABET, SHAPE, "passages", earlier_only=False)
     by_doc = runs.groupBy("n").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

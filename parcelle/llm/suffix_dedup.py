@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import numbered, table
-from .repeats import Shape, merged, repeated_runs
+from .repeats import Alphabet, Shape, merged, repeated_runs
 
 BYTES = 100
 SHAPE = Shape(window=BYTES, reach=69, gram=32, power=64)
-_CODES = np.random.default_rng(4).integers(0, 1 << 63, 256, dtype=np.uint64)
+#: A 64-bit symbol of every byte.
+_CODES = np.random.default_rng(4).integers(0, 1 << 63, 256, dtype=np.uint64) << np.uint64(8) | np.arange(256, dtype=np.uint64)
 
 
 def raw(text: str | None) -> bytes:
@@ -30,6 +31,9 @@ def byte_symbols(texts: Iterator[str | None]) -> Iterator[np.ndarray]:
         yield _CODES[np.frombuffer(raw(text), np.uint8)]
 
 
+ALPHABET = Alphabet(byte_symbols, lambda x: (x & np.uint64(255)).astype(np.uint8).tobytes(), lambda b: _CODES[np.frombuffer(b, np.uint8)], 1)
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: n, doc_id, text, spans (removed bytes, end exclusive, maximal), kept (binary).
 
@@ -37,7 +41,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     by ``numbered``. Strings are judged on the input, and never cross documents.
     """
     docs = numbered(docs)
-    runs = repeated_runs(docs, byte_symbols, SHAPE, "suffixes", earlier_only=True)
+    runs = repeated_runs(docs, ALPHABET, SHAPE, "suffixes", earlier_only=True)
     by_doc = runs.groupBy("n").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     joined = docs.join(by_doc, "n", "left")
 
