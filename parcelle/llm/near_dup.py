@@ -2,10 +2,12 @@
 
 1. Texts with the same shingle set are folded into their first.
 2. Bands of the MinHash signature bring similar sets together. In each band
-   bucket every member is paired with the first one only.
-3. An odd sketch (Mitzenmacher, Pagh and Pham 2014) folds the signature into a
-   parity bitmap; the ones in the XOR of two sketches estimate how many of the
-   two signatures differ, precisely for similar sets. Pairs far below the
+   bucket every member is paired only with the hub, the member that meets the
+   most others over all its buckets.
+3. An odd sketch (Mitzenmacher, Pagh and Pham 2014) folds a MinHash sample, the
+   shingles with the least hashes (all of them, for most texts), into a parity
+   bitmap; the ones in the XOR of two sketches estimate in how many elements
+   the samples differ, precisely for similar sets. Pairs clearly below the
    threshold are left out; all others are confirmed on their full sets.
 4. In buckets that hold more than one component after that, all members
    outside the bucket's largest component meet all members of other
@@ -30,9 +32,11 @@ from .repeats import mix
 SHARE = 85
 #: Rows of a band, and the probability with which a pair of exactly the threshold's similarity may miss all bands.
 ROWS, MISS = 5, 1e-7
-SKETCH_LONGS = 8
-#: Sketch estimates this far below the threshold, over five standard deviations, are left out.
-MARGIN = 0.23
+SKETCH_LONGS = 16
+#: A sample holds the shingles whose hash is below 2 ** -level of the range; level 0 up to this many shingles.
+SAMPLE = 2048
+#: Estimates this far below the threshold are left out: five standard deviations of whole sets, and of samples.
+WHOLE_MARGIN, SAMPLE_MARGIN = 0.04, 0.08
 
 
 def band_count(share: int) -> int:
@@ -47,7 +51,6 @@ class Hashes:
         rows, draw = self.bands * ROWS, np.random.default_rng(8)
         self.a = draw.integers(0, 1 << 31, rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.b = draw.integers(0, 1 << 32, rows, dtype=np.uint32)
-        self.salt = draw.integers(0, 1 << 63, rows, dtype=np.uint64)
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         """Least values of the hashes over the shingles."""
@@ -64,11 +67,18 @@ class Hashes:
             key = mix(key, rows[:, r], 15)
         return key.view(np.int64)
 
-    def odd_sketch(self, least: np.ndarray) -> np.ndarray:
-        """Parity bitmap of the signature: every (row, value) flips one bit."""
-        bit = mix(least.astype(np.uint64), self.salt, 14) % np.uint64(64 * SKETCH_LONGS)
-        parity = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
-        return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+def sample_level(size: int) -> int:
+    return max(0, (size - 1) // SAMPLE).bit_length()
+
+
+def odd_sketch(shingles: np.ndarray, level: int) -> tuple[int, np.ndarray]:
+    """Size and parity bitmap of the sample at a level: every shingle in it flips one bit."""
+    order = mix(shingles, shingles, 13)
+    sample = shingles[order >> np.uint64(64 - level) == 0] if level else shingles
+    bit = (sample * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(54)
+    parity = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
+    return len(sample), np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
 class Shingler:
@@ -95,10 +105,42 @@ class Shingler:
 
 
 def similar(a: str, b: str, share: int) -> Column:
-    """The similarity estimated from two odd sketches is not far below the threshold."""
-    ones = sum((F.bit_count(F.get(F.col(a), k).bitwiseXOR(F.get(F.col(b), k))) for k in range(SKETCH_LONGS)), F.lit(0))
-    bits, k = 64.0 * SKETCH_LONGS, float(band_count(share) * ROWS)
-    return F.lit(share / 100 - MARGIN) <= 1 + bits / (4 * k) * F.log(F.greatest(F.lit(1e-9), 1 - 2 * ones / bits))
+    """The similarity estimated from two odd sketches at the higher level is not clearly below the threshold.
+
+    Sets whose levels differ by more than one are too unequal in size.
+    """
+    def at_level(x: str, k: str, y: str, m: str) -> Column:
+        ones = sum((F.bit_count(F.get(F.col(f"{x}.bits{k}"), i).bitwiseXOR(F.get(F.col(f"{y}.bits{m}"), i))) for i in range(SKETCH_LONGS)), F.lit(0))
+        bits = 64.0 * SKETCH_LONGS
+        differ = -bits / 2 * F.log(F.greatest(F.lit(1e-9), 1 - 2 * ones / bits))
+        total = F.col(f"{x}.size{k}") + F.col(f"{y}.size{m}")
+        return (total - differ) / (total + differ)
+
+    step = F.col(f"{a}.level") - F.col(f"{b}.level")
+    value = F.when(step == 0, at_level(a, "0", b, "0")).when(step == 1, at_level(a, "0", b, "1")).when(step == -1, at_level(a, "1", b, "0"))
+    margin = F.when((step == 0) & (F.col(f"{a}.level") == 0), F.lit(WHOLE_MARGIN)).otherwise(F.lit(SAMPLE_MARGIN))
+    return F.coalesce(value >= F.lit(share / 100) - margin, F.lit(False))
+
+
+def at_levels(rows: DataFrame, side: str) -> DataFrame:
+    """Each row at its own level and one above, with the bitmap in columns of its own: cheap to test in a join."""
+    both = F.array(*[
+        F.struct((F.col("sketch.level") + k).alias("level"), F.lit(k == 1).alias("above"), F.col(f"sketch.size{k}").alias("size"), F.col(f"sketch.bits{k}").alias("bits"))
+        for k in (0, 1)])
+    x = rows.select(*[F.col(c).alias(c if c == "key" else f"{side}_{c}") for c in rows.columns if c != "sketch"], F.explode(both).alias("s"))
+    return x.select(
+        *[c for c in x.columns if c != "s"], F.col("s.level").alias("level"), F.col("s.above").alias(f"{side}_above"), F.col("s.size").alias(f"{side}_size"),
+        *[F.get("s.bits", i).alias(f"{side}_{i}") for i in range(SKETCH_LONGS)])
+
+
+def similar_at_level(share: int) -> Column:
+    """``similar`` for rows x and y that were joined on the level: the share of ones is not above that of the threshold."""
+    bits = 64.0 * SKETCH_LONGS
+    ones = sum((F.bit_count(F.col(f"x_{i}").bitwiseXOR(F.col(f"y_{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
+    margin = F.when(F.col("level") == 0, F.lit(WHOLE_MARGIN)).otherwise(F.lit(SAMPLE_MARGIN))
+    least = F.lit(share / 100) - margin
+    most = (F.col("x_size") + F.col("y_size")) * (1 - least) / (1 + least)
+    return ~(F.col("x_above") & F.col("y_above")) & (2 * ones <= bits * (1 - F.exp(-2 * most / bits)))
 
 
 def described(docs: DataFrame, size: int, share: int) -> DataFrame:
@@ -107,16 +149,22 @@ def described(docs: DataFrame, size: int, share: int) -> DataFrame:
         shingles, hashes = Shingler(size), Hashes(share)
         for batch in batches:
             sets = [shingles(t) for t in batch["text"]]
-            least = [hashes.signature(s) for s in sets]
+            levels = [sample_level(len(x)) for x in sets]
+            own = [odd_sketch(x, k) for x, k in zip(sets, levels)]
+            above = [odd_sketch(x, k + 1) for x, k in zip(sets, levels)]
             yield pd.DataFrame({
                 "n": batch["n"], "doc_id": batch["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in sets],
                 "s1": [xxhash.xxh64_intdigest(s.tobytes(), 1) - (1 << 63) for s in sets],
                 "s2": [xxhash.xxh64_intdigest(s.tobytes(), 2) - (1 << 63) for s in sets],
-                "bands": [hashes.band_keys(m) for m in least], "sketch": [hashes.odd_sketch(m) for m in least],
+                "bands": [hashes.band_keys(hashes.signature(x)) for x in sets], "level": levels,
+                "size0": [o[0] for o in own], "bits0": [o[1] for o in own], "size1": [o[0] for o in above], "bits1": [o[1] for o in above],
             })
 
-    return docs.select("n", "doc_id", "text").mapInPandas(
-        describe, "n bigint, doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, sketch array<bigint>")
+    sketch = ["level", "size0", "bits0", "size1", "bits1"]
+    x = docs.select("n", "doc_id", "text").mapInPandas(
+        describe, "n bigint, doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>,"
+        " level int, size0 int, bits0 array<bigint>, size1 int, bits1 array<bigint>")
+    return x.withColumn("sketch", F.struct(*sketch)).drop(*sketch)
 
 
 def with_sketches(pairs: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
@@ -164,9 +212,13 @@ def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) -> DataF
     firsts = info.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("n").alias("first"))
     reps = stored(info.join(firsts.select(F.col("first").alias("n")), "n").select("n", "bands", "sketch"), "representatives")
     in_bands = reps.select("n", F.explode("bands").alias("key"))
-    buckets = in_bands.groupBy("key").agg(F.min("n").alias("lead"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    members = stored(in_bands.join(buckets.select("key", "lead"), "key"), "buckets")
-    stars = members.filter("n > lead").select(F.col("lead").alias("a"), F.col("n").alias("b")).distinct()
+    buckets = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    members = stored(in_bands.join(buckets, "key"), "buckets")
+    # The text that meets the most others is likeliest the one that the others are copies of.
+    degree = members.groupBy("n").agg(F.sum("rows").alias("degree"))
+    ranked = members.join(degree, "n").select("key", "n", "degree")
+    hubs = ranked.groupBy("key").agg(F.max_by("n", F.struct("degree", -F.col("n"))).alias("hub"))
+    stars = ranked.join(hubs, "key").filter("n <> hub").select(F.least("n", "hub").alias("a"), F.greatest("n", "hub").alias("b")).distinct()
     tried = stored(with_sketches(stars, reps, share), "stars")
     links = confirmed(tried, docs, size, share)
     roots = stored(components(links), "components")
@@ -176,11 +228,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) -> DataF
     largest = parts.groupBy("key").agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     open_rows = placed.join(largest.select("key", "largest"), "key")
     open_rows = stored(open_rows.join(reps.select("n", "sketch"), "n"), "open")
-    left = open_rows.filter("root <> largest").select("key", F.col("n").alias("x"), F.col("root").alias("root_x"), F.col("sketch").alias("sketch_x"))
-    right = open_rows.select("key", F.col("n").alias("y"), F.col("root").alias("root_y"), F.col("sketch").alias("sketch_y"), "largest")
-    once = (F.col("root_y") == F.col("largest")) | (F.col("x") < F.col("y"))
-    apart = left.join(right, "key").filter((F.col("root_x") != F.col("root_y")) & once & similar("sketch_x", "sketch_y", share))
-    more = apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    left = at_levels(open_rows.filter("root <> largest").drop("largest"), "x")
+    right = at_levels(open_rows, "y")
+    once = (F.col("y_root") == F.col("y_largest")) | (F.col("x_n") < F.col("y_n"))
+    apart = left.join(right, ["key", "level"]).filter((F.col("x_root") != F.col("y_root")) & once & similar_at_level(share))
+    more = apart.select(F.least("x_n", "y_n").alias("a"), F.greatest("x_n", "y_n").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     again = confirmed(more, docs, size, share)
     if not again.isEmpty():
         joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(again)
