@@ -35,8 +35,8 @@ ROWS, MISS = 5, 1e-7
 SKETCH_LONGS = 16
 #: A sample holds the shingles whose hash is below 2 ** -level of the range; level 0 up to this many shingles.
 SAMPLE = 2048
-#: Estimates this far below the threshold are left out: five standard deviations of whole sets, and of samples.
-WHOLE_MARGIN, SAMPLE_MARGIN = 0.04, 0.08
+#: Standard deviations of the estimate by which a pair must miss the threshold to be left out.
+SIGMAS = 5.0
 
 
 def band_count(share: int) -> int:
@@ -104,22 +104,31 @@ class Shingler:
         return np.unique(out)
 
 
+def most_ones(total: Column, level: Column, share: int) -> Column:
+    """Ones in the XOR of two odd sketches of samples of ``total`` elements together, beyond which a pair is left out.
+
+    At the threshold the samples differ in d elements. Each flips one of the
+    bits, and flips that meet cancel; samples also vary around their sets.
+    """
+    bits, t = 64.0 * SKETCH_LONGS, share / 100
+    d = total * (1 - t) / (1 + t) + F.when(level > 0, SIGMAS * F.sqrt(total * (1 - t) / (1 + t))).otherwise(0.0)
+    decay = F.exp(-4 * d / bits)
+    spread = F.sqrt(F.greatest(F.lit(0.0), bits / 4 * (1 - decay) - d * decay))
+    return bits / 2 * (1 - F.exp(-2 * d / bits)) + SIGMAS * spread + 1
+
+
 def similar(a: str, b: str, share: int) -> Column:
-    """The similarity estimated from two odd sketches at the higher level is not clearly below the threshold.
+    """Two odd sketches, at the higher level, do not differ too much for the threshold.
 
     Sets whose levels differ by more than one are too unequal in size.
     """
     def at_level(x: str, k: str, y: str, m: str) -> Column:
         ones = sum((F.bit_count(F.get(F.col(f"{x}.bits{k}"), i).bitwiseXOR(F.get(F.col(f"{y}.bits{m}"), i))) for i in range(SKETCH_LONGS)), F.lit(0))
-        bits = 64.0 * SKETCH_LONGS
-        differ = -bits / 2 * F.log(F.greatest(F.lit(1e-9), 1 - 2 * ones / bits))
-        total = F.col(f"{x}.size{k}") + F.col(f"{y}.size{m}")
-        return (total - differ) / (total + differ)
+        level = F.greatest(F.col(f"{a}.level"), F.col(f"{b}.level"))
+        return ones <= most_ones(F.col(f"{x}.size{k}") + F.col(f"{y}.size{m}"), level, share)
 
     step = F.col(f"{a}.level") - F.col(f"{b}.level")
-    value = F.when(step == 0, at_level(a, "0", b, "0")).when(step == 1, at_level(a, "0", b, "1")).when(step == -1, at_level(a, "1", b, "0"))
-    margin = F.when((step == 0) & (F.col(f"{a}.level") == 0), F.lit(WHOLE_MARGIN)).otherwise(F.lit(SAMPLE_MARGIN))
-    return F.coalesce(value >= F.lit(share / 100) - margin, F.lit(False))
+    return F.when(step == 0, at_level(a, "0", b, "0")).when(step == 1, at_level(a, "0", b, "1")).when(step == -1, at_level(a, "1", b, "0")).otherwise(F.lit(False))
 
 
 def at_levels(rows: DataFrame, side: str) -> DataFrame:
@@ -134,13 +143,9 @@ def at_levels(rows: DataFrame, side: str) -> DataFrame:
 
 
 def similar_at_level(share: int) -> Column:
-    """``similar`` for rows x and y that were joined on the level: the share of ones is not above that of the threshold."""
-    bits = 64.0 * SKETCH_LONGS
+    """``similar`` for rows x and y that were joined on the level."""
     ones = sum((F.bit_count(F.col(f"x_{i}").bitwiseXOR(F.col(f"y_{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
-    margin = F.when(F.col("level") == 0, F.lit(WHOLE_MARGIN)).otherwise(F.lit(SAMPLE_MARGIN))
-    least = F.lit(share / 100) - margin
-    most = (F.col("x_size") + F.col("y_size")) * (1 - least) / (1 + least)
-    return ~(F.col("x_above") & F.col("y_above")) & (2 * ones <= bits * (1 - F.exp(-2 * most / bits)))
+    return ~(F.col("x_above") & F.col("y_above")) & (ones <= most_ones(F.col("x_size") + F.col("y_size"), F.col("level"), share))
 
 
 def described(docs: DataFrame, size: int, share: int) -> DataFrame:
@@ -209,15 +214,16 @@ def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) -> DataF
     five words and a similarity of 80.
     """
     info = stored(described(docs, size, share), "signatures")
-    firsts = info.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("n").alias("first"))
+    # Groups are stored before they are joined: only then does a join split what a large group brings together.
+    firsts = stored(info.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("n").alias("first")), "firsts")
     reps = stored(info.join(firsts.select(F.col("first").alias("n")), "n").select("n", "bands", "sketch"), "representatives")
     in_bands = reps.select("n", F.explode("bands").alias("key"))
-    buckets = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    members = stored(in_bands.join(buckets, "key"), "buckets")
+    buckets = stored(in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "buckets")
+    members = stored(in_bands.join(buckets, "key"), "members")
     # The text that meets the most others is likeliest the one that the others are copies of.
     degree = members.groupBy("n").agg(F.sum("rows").alias("degree"))
-    ranked = members.join(degree, "n").select("key", "n", "degree")
-    hubs = ranked.groupBy("key").agg(F.max_by("n", F.struct("degree", -F.col("n"))).alias("hub"))
+    ranked = stored(members.join(degree, "n").select("key", "n", "degree"), "ranked")
+    hubs = stored(ranked.groupBy("key").agg(F.max_by("n", F.struct("degree", -F.col("n"))).alias("hub")), "hubs")
     stars = ranked.join(hubs, "key").filter("n <> hub").select(F.least("n", "hub").alias("a"), F.greatest("n", "hub").alias("b")).distinct()
     tried = stored(with_sketches(stars, reps, share), "stars")
     links = confirmed(tried, docs, size, share)
@@ -226,7 +232,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) -> DataF
     placed = members.join(roots.withColumnRenamed("node", "n"), "n", "left").select("key", "n", F.coalesce("root", "n").alias("root"))
     parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows"))
     largest = parts.groupBy("key").agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    open_rows = placed.join(largest.select("key", "largest"), "key")
+    open_rows = placed.join(stored(largest.select("key", "largest"), "largest"), "key")
     open_rows = stored(open_rows.join(reps.select("n", "sketch"), "n"), "open")
     left = at_levels(open_rows.filter("root <> largest").drop("largest"), "x")
     right = at_levels(open_rows, "y")
