@@ -204,11 +204,14 @@ def repeated_runs(docs: DataFrame, alphabet: Alphabet, shape: Shape, purpose: st
     more, back = F.shiftright("form", 16), F.col("form").bitwiseAND(F.lit(0xFFFF))
     number, offset = F.shiftright("place", OFFSET_BITS), F.col("place").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1)).cast("int")
     anchors = docs.select("n", "text").mapInPandas(sample, "core bigint, run bigint, place bigint, form int")
-    shared = anchors.groupBy("core").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("core")
+    # Counts are stored before they are joined: only then does a join split what a frequent core brings together.
+    shared = stored(anchors.groupBy("core").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("core"), f"{purpose}-cores")
     found = stored(anchors.join(shared, "core"), f"{purpose}-anchors")
 
-    classes = found.groupBy("core", "run").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("members"), F.first("form").alias("form"))
+    classes = stored(
+        found.groupBy("core", "run").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("members"), F.min("form").alias("form")), f"{purpose}-classes")
     mixed = classes.groupBy("core").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("core")
+    mixed = stored(mixed, f"{purpose}-mixed")
     leads = classes.join(mixed, "core").withColumn("place", F.col("lead"))
     copies = found.join(classes.filter("members > 1").select("core", "run", "lead"), ["core", "run"])
     copies = copies.filter("place > lead") if earlier_only else copies
@@ -261,7 +264,7 @@ def repeated_runs(docs: DataFrame, alphabet: Alphabet, shape: Shape, purpose: st
     single = stored(
         kept.repartitionByRange(parts, "core", "ahead").sortWithinPartitions("core", "ahead").mapInPandas(windows, "core bigint, window bigint, place bigint, copied boolean"),
         f"{purpose}-windows")
-    met = single.groupBy("core", "window").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    met = stored(single.groupBy("core", "window").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("rows")).filter("rows > 1"), f"{purpose}-met")
     again = single.join(met.select("core", "window", "lead"), ["core", "window"])
     again = again.filter("place > lead") if earlier_only else again.filter("not copied")
     again = stored(again.select(number.alias("n"), offset.alias("first"), offset.alias("last")), f"{purpose}-single")
