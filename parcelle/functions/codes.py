@@ -41,7 +41,7 @@ def merge_districts(c: Column) -> Column:
 def postal_code(c: Column) -> Column:
     """Five places from a number or text; NULL where there is no usable number."""
     number = c.cast("string").try_cast("double")
-    whole = F.when(F.isnan(number), F.lit(0)).otherwise(F.coalesce(number, F.lit(0.0))).cast("bigint")
+    whole = F.coalesce(F.when(~F.isnan(number) & (F.abs(number) < 1e15), number), F.lit(0.0)).cast("bigint")
     return F.nullif(zero_pad(whole.cast("string"), 5), F.lit("00000"))
 
 

@@ -32,16 +32,21 @@ def secret_to_null(c: Column) -> Column:
     return to_number(F.nullif(c.cast("string"), F.lit("s")))
 
 
+#: What a floating sum may lose to the order of its terms, relative to the value.
+NOISE = 1e-13
+
+
 def exact_round(c: Column, places: int) -> Column:
-    """Round half away from zero in decimal arithmetic, back to double.
+    """Round once, half away from zero, in decimal arithmetic, back to double.
 
-    Six decimals first: noise from the order of a floating sum cannot tip a tie.
+    Moving the value away from zero by ``NOISE`` first keeps a tie a tie whatever
+    the order of the sum it comes from.
     """
-    return F.round(c.cast("decimal(38,6)"), places).cast("double")
+    return F.round((c.cast("double") * F.lit(1 + NOISE)).cast("decimal(38,10)"), places).cast("double")
 
 
 def even_round(c: Column, places: int) -> Column:
-    """Round half to even, as the department and map figures are."""
+    """Round half to even, as the department and map figures are; ties are told at six decimals."""
     return F.bround(c.cast("decimal(38,6)"), places).cast("double")
 
 

@@ -1,9 +1,10 @@
-"""Best candidate by name similarity, without emitting pairs.
+"""Best candidate by name similarity, without a row per pair.
 
 Candidates of one key are packed into lists of bounded length; a left row meets
 each list once and returns one best candidate per list, then the lists' winners
 are aggregated. A key with very many candidates is only more lists, spread over
-tasks by (key, list number).
+tasks by (key, list number). Every name is still compared with every candidate of
+its key; without keys, with every candidate there is.
 """
 
 from __future__ import annotations
@@ -24,16 +25,20 @@ def _listed(left: DataFrame, candidates: DataFrame, keys: list[str], spread: str
     The number of lists follows the number of candidates, so a list stays near
     ``LIST_LENGTH``; rows and lists meet by key and list number.
     """
-    lists = candidates.groupBy(*keys).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(LIST_LENGTH)).cast("int").alias("_lists")
-    )
+    count = F.ceil(F.count(F.lit(1)) / F.lit(LIST_LENGTH)).cast("int").alias("_lists")
+    if keys:
+        lists = candidates.groupBy(*keys).agg(count)
+        candidates, left = candidates.join(lists, keys), left.join(lists, keys)
+    else:  # one number for all rows: a scalar subquery, so that rows and lists still meet by list number
+        number = candidates.agg(count).scalar()
+        candidates, left = candidates.withColumn("_lists", number), left.withColumn("_lists", number).where("_lists > 0")
     filled = (
-        candidates.join(lists, keys)
+        candidates
         .withColumn("_list", F.pmod(F.xxhash64(spread), F.col("_lists")).cast("int"))
         .groupBy(*keys, "_list")
         .agg(F.sort_array(F.collect_list(F.struct(*packed))).alias("_packed"))
     )
-    asked = left.join(lists, keys).withColumn(
+    asked = left.withColumn(
         "_list", F.explode(F.sequence(F.lit(0), F.col("_lists") - 1))
     ).drop("_lists")
     return asked.join(filled, [*keys, "_list"])

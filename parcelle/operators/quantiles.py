@@ -1,10 +1,9 @@
-"""Exact interpolated percentiles that survive very large groups.
+"""Exact interpolated percentiles for groups of any size, in one lazy plan.
 
-An ordinary group is gathered and sorted as one array, in the same pass that
-computes the other aggregates; it is bounded by ``HOT_ROWS`` values. Groups above
-that take another exact way: a sketch proposes cut points, every row is counted
-into the interval between two cuts, and only the interval that holds the wanted
-rank is sorted. The sketch decides how much is sorted, never the result.
+Values fall into slots by a fixed function that keeps their order. Slots are
+counted per group, which combines in the tasks; the counts tell which slot holds
+a wanted rank; only the values of those slots are counted and sorted. No group is
+gathered: a slot is a band of about one percent around a value.
 """
 
 from __future__ import annotations
@@ -15,73 +14,37 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
+#: Slots for each doubling of a value.
+SLOTS = 64
 
 Quantiles = Mapping[str, tuple[str, float]]  # result column -> (value column, fraction)
 
 
-def group_stats(
-    df: DataFrame,
-    keys: Sequence[str],
-    quantiles: Quantiles,
-    aggs: Sequence[Column] = (),
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """``aggs`` and exact percentiles per group.
-
-    Group sizes are counted first, from the key columns alone. The set of groups
-    above ``hot_rows`` is broadcast: there are at most (rows / hot_rows) of them.
-    """
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(*(F.col(k).alias(f"_hot_{k}") for k in keys))
-    )
-    if hot.isEmpty():
-        return _listed_stats(df, keys, quantiles, aggs)
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    ordinary = _listed_stats(df.join(F.broadcast(hot), same, "left_anti"), keys, quantiles, aggs)
-    large = _large_stats(df.join(F.broadcast(hot), same, "left_semi"), keys, quantiles, aggs)
-    return ordinary.unionByName(large)
+def group_stats(df: DataFrame, keys: Sequence[str], quantiles: Quantiles, aggs: Sequence[Column] = ()) -> DataFrame:
+    """``aggs`` and exact percentiles per group."""
+    groups = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+    return _add_selected(groups, df, keys, quantiles)
 
 
 def overall_stats(df: DataFrame, quantiles: Quantiles, aggs: Sequence[Column] = ()) -> DataFrame:
-    """One row, even over no rows; the whole table is one large group."""
+    """One row, even over no rows; the whole table is one group."""
     one = df.agg(*aggs, F.lit(1).alias("_all"))
     return _add_selected(one, df.withColumn("_all", F.lit(1)), ["_all"], quantiles).drop("_all")
 
 
-def _interpolated(low: Column, high: Column, position: Column) -> Column:
-    return low + (position - F.floor(position)) * (high - low)
+def slot(value: Column) -> Column:
+    """Number of the band that holds a value; larger values never have a lower one, and NaN the highest."""
+    band = F.floor(F.log2(1 + F.abs(value)) * SLOTS)
+    return F.when(F.isnan(value), F.lit(2**63 - 1)).when(value < 0, -band).otherwise(band)
 
 
-def _listed_stats(df: DataFrame, keys: Sequence[str], quantiles: Quantiles, aggs: Sequence[Column]) -> DataFrame:
-    values = list(dict.fromkeys(c for c, _ in quantiles.values()))
-    lists = {value: f"_list{i}" for i, value in enumerate(values)}
-    gathered = df.groupBy(*keys).agg(
-        *aggs, *(F.sort_array(F.collect_list(F.col(value).cast("double"))).alias(name) for value, name in lists.items())
-    )
-
-    def pick(value: str, p: float) -> Column:
-        position = F.lit(float(p)) * (F.size(lists[value]) - 1)
-        low, high = (F.get(lists[value], f(position).cast("int")) for f in (F.floor, F.ceil))
-        return _interpolated(low, high, position)
-
-    return gathered.withColumns({name: pick(c, p) for name, (c, p) in quantiles.items()}).drop(*lists.values())
-
-
-def _large_stats(df: DataFrame, keys: Sequence[str], quantiles: Quantiles, aggs: Sequence[Column]) -> DataFrame:
-    groups = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
-    return _add_selected(groups, df, keys, quantiles)
+def _interpolated(low: Column, high: Column, position: Column) -> Column:
+    return low + (position - F.floor(position)) * (high - low)
 
 
 def _add_selected(groups: DataFrame, df: DataFrame, keys: Sequence[str], quantiles: Quantiles) -> DataFrame:
     """Percentile columns for groups already aggregated; a group with no value has none."""
-    for value in dict.fromkeys(c for c, _ in quantiles.values()):
-        wanted = {name: p for name, (c, p) in quantiles.items() if c == value}
-        groups = _null_safe_join(groups, select_percentiles(df, keys, value, wanted), keys, "left")
+    groups = _null_safe_join(groups, select_percentiles(df, keys, quantiles), keys, "left")
     return groups.select(*keys, *[c for c in groups.columns if c not in keys])
 
 
@@ -91,67 +54,44 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*(f"_r_{k}" for k in keys))
 
 
-def select_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float]
-) -> DataFrame:
-    """Percentiles by counting into intervals and sorting only the wanted ones."""
-    keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v is not null")
-
-    margin = 2.0 / SKETCH_ACCURACY
-    fractions = sorted({min(1.0, max(0.0, p + d)) for p in wanted.values() for d in (-margin, margin)})
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", fractions, SKETCH_ACCURACY).alias("_cuts"),
+def select_percentiles(df: DataFrame, keys: Sequence[str], quantiles: Quantiles) -> DataFrame:
+    """Percentiles of any number of value columns: one pass to count slots, one to count the values of the chosen slots."""
+    values = list(dict.fromkeys(c for c, _ in quantiles.values()))
+    keys, by = list(keys), [*keys, "_c"]
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(values)]))
+    rows = df.select(*keys, cells.alias("_cell")).select(*keys, "_cell._c", "_cell._v").where("_v is not null").withColumn("_slot", slot(F.col("_v")))
+
+    in_order = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    slots = rows.groupBy(*by, "_slot").agg(F.count(F.lit(1)).alias("_size")).withColumns({
+        "_before": F.sum("_size").over(in_order) - F.col("_size"), "_n": F.sum("_size").over(Window.partitionBy(*by)),
+    })
+    number = {c: i for i, c in enumerate(values)}
+    position = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, (_, p) in quantiles.items()}
+    ranks = F.array_distinct(F.flatten(F.array(*[
+        F.when(F.col("_c") == number[c], F.array(F.floor(position[name]), F.ceil(position[name]))).otherwise(F.array().cast("array<bigint>"))
+        for name, (c, _) in quantiles.items()])))
+    chosen = slots.withColumn(
+        "_ranks", F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size")))
+    ).where(F.size("_ranks") > 0).drop("_size")
+
+    counted = (
+        _null_safe_join(rows, chosen, [*by, "_slot"], "inner")
+        .groupBy(*by, "_slot", "_n", "_before", "_ranks", "_v").agg(F.count(F.lit(1)).alias("_times"))
     )
-    # One sketch per large group: few, small rows.
-    placed = _null_safe_join(rows, F.broadcast(sketch), keys, "inner").withColumn(
-        "_slot", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
+    in_slot = Window.partitionBy(*by, "_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_before") + F.sum("_times").over(in_slot)
+    hits = counted.withColumn("_end", end).withColumn(
+        "_rank", F.explode(F.filter("_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_times"))))
     )
 
-    position = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in wanted.items()}
-    ranks = F.array_distinct(
-        F.flatten(F.array(*(F.array(F.floor(x), F.ceil(x)) for x in position.values())))
-    )
-    by_slot = Window.partitionBy(*keys).orderBy("_slot")
-    slots = placed.groupBy(*keys, "_n", "_slot").agg(F.count(F.lit(1)).alias("_size"))
-    slots = slots.withColumn(
-        "_before", F.sum("_size").over(by_slot.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
-    ).withColumn(
-        "_ranks",
-        F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size"))),
-    )
-    # At most two intervals per group and percentile.
-    chosen = slots.where(F.size("_ranks") > 0).drop("_n", "_size")
+    def at(name: str, rank: Column) -> Column:
+        return F.max(F.when((F.col("_c") == number[quantiles[name][0]]) & (F.col("_rank") == rank), F.col("_v")))
 
-    values = (
-        _null_safe_join(placed.drop("_cuts"), F.broadcast(chosen), [*keys, "_slot"], "inner")
-        .groupBy(*keys, "_slot", "_n", "_before", "_ranks", "_v")
-        .agg(F.count(F.lit(1)).alias("_times"))
-    )
-    in_slot = Window.partitionBy(*keys, "_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    hits = (
-        values.withColumn("_end", F.col("_before") + F.sum("_times").over(in_slot))
-        .withColumn(
-            "_rank",
-            F.explode(
-                F.filter("_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_times")))
-            ),
+    found = hits.groupBy(*keys).agg(*(
+        c for name, x in position.items()
+        for c in (
+            at(name, F.floor(x)).alias(f"_low_{name}"), at(name, F.ceil(x)).alias(f"_high_{name}"),
+            F.max(F.when(F.col("_c") == number[quantiles[name][0]], x)).alias(f"_at_{name}"),
         )
-        .select(*keys, "_n", "_rank", "_v")
-    )
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when(F.col("_rank") == rank, F.col("_v")))
-
-    found = hits.groupBy(*keys, "_n").agg(
-        *(c for name, x in position.items()
-          for c in (at(F.floor(x)).alias(f"_low_{name}"), at(F.ceil(x)).alias(f"_high_{name}")))
-    )
-    return found.select(
-        *keys,
-        *(
-            _interpolated(F.col(f"_low_{name}"), F.col(f"_high_{name}"), x).alias(name)
-            for name, x in position.items()
-        ),
-    )
+    ))
+    return found.select(*keys, *(_interpolated(F.col(f"_low_{n}"), F.col(f"_high_{n}"), F.col(f"_at_{n}")).alias(n) for n in quantiles))

@@ -1,21 +1,18 @@
 """Keep-first, latest, merge and key operators.
 
-A join has a broadcast hint only where the hinted side has a proven bound or was
-counted. Without one Spark decides by measured size, and otherwise sort-merges
-with skew splitting, so dimensions may grow.
+No join has a broadcast hint: Spark decides by measured size, and otherwise
+sort-merges with skew splitting, so dimensions may grow.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keys of a dimension that may be sent to every executor: a few tens of bytes each.
-BROADCAST_ROWS = 500_000
-
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, first in ``order``; NULL keys form one group.
@@ -79,15 +76,10 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[s
     return both.select(*(value(c).alias(c) for c in old.columns))
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a frame counted to have at most ``rows`` rows, else none."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def keep_known(df: DataFrame, column: str, dimension: DataFrame, key: str | None = None) -> DataFrame:
     """Rows whose key is in the dimension."""
     known = dimension.select(F.col(key or column).alias(column))
-    return df.join(broadcast_if_small(known), column, "left_semi")
+    return df.join(known, column, "left_semi")
 
 
 def orphans(df: DataFrame, column: str, dimension: DataFrame, key: str | None = None) -> DataFrame:
@@ -131,18 +123,13 @@ def require_one_of(columns: Sequence[str], candidates: Sequence[str]) -> str:
 
 
 def tidy_names(columns: Sequence[str]) -> list[str]:
-    """Column names usable in SQL; repeated names get a number."""
-    seen: dict[str, int] = {}
-    tidy = []
-    for position, raw in enumerate(columns):
-        name = str(raw).strip()
-        if name.lower() in ("", "nan"):
-            name = f"col_sans_nom_{position}"
-        name = name.translate(str.maketrans({" ": "_", "/": "_", "(": None, ")": None}))
-        repeat = seen.get(name)
-        seen[name] = 0 if repeat is None else repeat + 1
-        tidy.append(name if repeat is None else f"{name}_{seen[name]}")
-    return tidy
+    """Column names usable in SQL. The second of equal names ends in _1, the third in _2, and so on."""
+    clean = [
+        re.sub(r"[ /]", "_", re.sub(r"[()]", "", stripped)) if (stripped := str(c).strip()).lower() not in ("", "nan") else f"col_sans_nom_{i}"
+        for i, c in enumerate(columns)
+    ]
+    earlier = [clean[:i].count(name) for i, name in enumerate(clean)]
+    return [f"{name}_{n}" if n else name for name, n in zip(clean, earlier)]
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

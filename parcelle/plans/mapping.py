@@ -36,6 +36,27 @@ def voted_units(bridge: DataFrame, communes: DataFrame, units: DataFrame) -> Dat
     return named.select("observatory_b", "uu2020", "nom_uu", "votes")
 
 
+def unit_names(units: DataFrame) -> DataFrame:
+    """Units as candidates of a nation-wide search, without votes."""
+    return units.select(
+        bare_name(F.col("nom_uu")).alias("name"), F.col("uu2020").alias("code"), F.col("nom_uu").alias("label"),
+        F.lit(0).cast("bigint").alias("votes"),
+    )
+
+
+def best_votes(
+    rents: DataFrame, agglomerations: DataFrame, bridge: DataFrame, communes: DataFrame, units: DataFrame
+) -> DataFrame:
+    """Every surveyed town with its best voted unit; the score is 0 where there is none."""
+    towns = surveyed_towns(rents, agglomerations).withColumn("name", bare_name(F.col("nom_agglomeration")))
+    voted = voted_units(bridge, communes, units).select(
+        "observatory_b", bare_name(F.col("nom_uu")).alias("name"),
+        F.col("uu2020").alias("code"), F.col("nom_uu").alias("label"), "votes",
+    )
+    local = best_match(towns, voted, ["observatory_b"])
+    return towns.join(local, ["observatory_b", "name"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+
+
 def map_agglomerations(
     rents: DataFrame, agglomerations: DataFrame, bridge: DataFrame, communes: DataFrame, units: DataFrame
 ) -> DataFrame:
@@ -45,24 +66,9 @@ def map_agglomerations(
     country replaces it where that one scores strictly higher, with no vote. An
     agglomeration with neither stays unmapped.
     """
-    towns = surveyed_towns(rents, agglomerations).withColumn("name", bare_name(F.col("nom_agglomeration")))
-    voted = voted_units(bridge, communes, units).select(
-        "observatory_b", bare_name(F.col("nom_uu")).alias("name"),
-        F.col("uu2020").alias("code"), F.col("nom_uu").alias("label"), "votes",
-    )
-    local = best_match(towns, voted, ["observatory_b"])
-    first = towns.join(local, ["observatory_b", "name"], "left").withColumns({
-        "score": F.coalesce("score", F.lit(0.0)),
-        # Constant for the nation-wide search, where every town meets every list of units.
-        "scope": F.lit("all"),
-    })
-
-    everywhere = units.select(
-        F.lit("all").alias("scope"), bare_name(F.col("nom_uu")).alias("name"),
-        F.col("uu2020").alias("code"), F.col("nom_uu").alias("label"), F.lit(0).cast("bigint").alias("votes"),
-    )
+    first = best_votes(rents, agglomerations, bridge, communes, units)
     weak = first.where(F.col("score") < GOOD_SCORE)
-    wide = best_match(weak, everywhere, ["scope"]).select(
+    wide = best_match(weak, unit_names(units), []).select(
         "name", F.col("code").alias("wide_code"), F.col("label").alias("wide_label"), F.col("score").alias("wide_score")
     )
     both = first.join(wide, "name", "left")

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import change_pct, exact_round, ratio, tension_band, tension_score
-from ..operators.quantiles import HOT_ROWS, group_stats
-from ..operators.ranking import with_percent_rank
+from ..operators.quantiles import group_stats
+from ..operators.ranking import with_percent_rank, with_rank
+from ..sources.sinks import materialize
 
 # Thresholds of the marts.
 MIN_SALES = 10
@@ -32,14 +33,13 @@ def _named(df: DataFrame, communes: DataFrame) -> DataFrame:
     return df.join(communes.select("code_insee", "nom_commune", "code_departement"), "code_insee")
 
 
-def prix_m2_par_ville(sales: DataFrame, communes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def prix_m2_par_ville(sales: DataFrame, communes: DataFrame) -> DataFrame:
     """Median and mean price per square metre by commune, year and type."""
     stats = group_stats(
         sales.where("prix_m2 is not null and type_local is not null").select(*SALE_GROUP, "prix_m2", "surface_bati"),
         SALE_GROUP,
         {"median": ("prix_m2", 0.5)},
         [F.avg("prix_m2").alias("mean"), F.count(F.lit(1)).alias("nb_transactions"), F.avg("surface_bati").alias("area")],
-        hot_rows,
     ).where(F.col("nb_transactions") >= MIN_SALES)
 
     years = Window.partitionBy("code_insee", "type_local").orderBy("annee")
@@ -107,14 +107,14 @@ def gated_rise(years) -> Column:
     return F.when(usable, exact_round(change_pct(price, before), 2))
 
 
-def market_groups(sales: DataFrame, year_floor: int = YEAR_FLOOR, hot_rows: int = HOT_ROWS) -> DataFrame:
+def market_groups(sales: DataFrame, year_floor: int = YEAR_FLOOR) -> DataFrame:
     """Dwelling sales by commune, year and type, from ``year_floor`` on."""
     kept = sales.where(
         F.col("valeur_fonciere").isNotNull() & F.col("type_local").isin(*DWELLINGS) & (F.col("annee") >= year_floor)
     ).select(*SALE_GROUP, "prix_m2", "valeur_fonciere")
     stats = group_stats(
         kept, SALE_GROUP, {"median": ("prix_m2", 0.5)},
-        [F.count(F.lit(1)).alias("nb_transactions"), F.sum("valeur_fonciere").alias("total")], hot_rows,
+        [F.count(F.lit(1)).alias("nb_transactions"), F.sum("valeur_fonciere").alias("total")],
     ).where(F.col("nb_transactions") >= MIN_SALES)
     return stats.select(
         *SALE_GROUP, "nb_transactions",
@@ -125,14 +125,14 @@ def market_groups(sales: DataFrame, year_floor: int = YEAR_FLOOR, hot_rows: int
 
 def dynamisme_marche(
     sales: DataFrame, communes: DataFrame, ratios: DataFrame, bridge: DataFrame,
-    year_floor: int = YEAR_FLOOR, hot_rows: int = HOT_ROWS,
+    year_floor: int = YEAR_FLOOR,
 ) -> DataFrame:
     """Composite tension score from price rise, sales volume and rent burden.
 
     All three signals are columns of the same grouped rows, so there is no
     self-join.
     """
-    groups = _named(market_groups(sales, year_floor, hot_rows), communes)
+    groups = _named(market_groups(sales, year_floor), communes)
     years = Window.partitionBy("code_insee", "type_local").orderBy("annee")
     rising = groups.withColumn("hausse_prix_pct", gated_rise(years))
     ranked = with_percent_rank(rising, ["annee", "type_local"], "nb_transactions", "volume")
@@ -158,13 +158,13 @@ def evolution_tension(ratios: DataFrame) -> DataFrame:
     )
 
 
-def income_profiles(incomes: DataFrame, bridge: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def income_profiles(incomes: DataFrame, bridge: DataFrame) -> DataFrame:
     """Tenth, fiftieth and ninetieth percentile of commune incomes per observatory and year."""
     rows = _income_by_observatory(incomes, bridge).select("observatory_b", "annee", "revenu_median")
     return group_stats(
         rows, ["observatory_b", "annee"],
         {"d1": ("revenu_median", 0.1), "d5": ("revenu_median", 0.5), "d9": ("revenu_median", 0.9)},
-        [F.avg("revenu_median").alias("mean")], hot_rows,
+        [F.avg("revenu_median").alias("mean")],
     )
 
 
@@ -181,15 +181,15 @@ PROFILES: Mapping[str, str] = {"modeste": "d1", "median": "d5", "aise": "d9"}
 
 
 def inegalites(
-    rents: DataFrame, incomes: DataFrame, bridge: DataFrame, agglomerations: DataFrame, hot_rows: int = HOT_ROWS
+    rents: DataFrame, incomes: DataFrame, bridge: DataFrame, agglomerations: DataFrame
 ) -> DataFrame:
     """Affordability per agglomeration and housing type for three income profiles.
 
     Yearly changes are taken at their own grain, before incomes meet rents: one
-    row per year in each partition. A rank partition holds one row per
-    observatory and agglomeration of one year and type.
+    row per year in each partition. Ranks run over the distinct rates, which have
+    one decimal.
     """
-    income = with_yearly_change(income_profiles(incomes, bridge, hot_rows), ["observatory_b"], "mean", "income")
+    income = with_yearly_change(income_profiles(incomes, bridge), ["observatory_b"], "mean", "income")
     means = rents.where((F.col("type_habitat") != ALL_HOUSING) & F.col("loyer_mensuel_median").isNotNull()).groupBy(
         "observatory_b", "id_agglomeration", "annee", "type_habitat"
     ).agg(F.avg("loyer_mensuel_median").alias("rent"))
@@ -215,8 +215,20 @@ def inegalites(
         F.col("rent_before").alias("loyer_annee_precedente"),
         F.col("rent_change").alias("evolution_loyer_pct"),
     )
-    peers = Window.partitionBy("annee", "type_habitat")
-    return table.withColumns({
-        f"rang_accessibilite_{name}": F.rank().over(peers.orderBy(F.col(f"taux_effort_{name}_pct").asc_nulls_last()))
-        for name in PROFILES
-    })
+    for name in PROFILES:
+        table = with_rank(table, ["annee", "type_habitat"], f"taux_effort_{name}_pct", f"rang_accessibilite_{name}")
+    return table
+
+
+def write_marts(
+    sales: DataFrame, communes: DataFrame, rents: DataFrame, incomes: DataFrame, bridge: DataFrame, agglomerations: DataFrame,
+    schema: str, location: str, year_floor: int = YEAR_FLOOR,
+) -> None:
+    """The five marts as tables of ``schema``; a mart that another needs is written first and read back."""
+    spark = sales.sparkSession
+    materialize({"prix_m2_par_ville": prix_m2_par_ville(sales, communes),
+                 "ratio_loyer_revenu": ratio_loyer_revenu(rents, incomes, bridge, agglomerations),
+                 "inegalites": inegalites(rents, incomes, bridge, agglomerations)}, schema, location)
+    ratios = spark.table(f"{schema}.ratio_loyer_revenu")
+    materialize({"dynamisme_marche": dynamisme_marche(sales, communes, ratios, bridge, year_floor),
+                 "evolution_tension": evolution_tension(ratios)}, schema, location)

@@ -101,7 +101,7 @@ def income_facts(rows: DataFrame, communes: DataFrame) -> DataFrame:
     value = numbers.secret_to_null(F.col("revenu"))
     clean = rows.select(
         codes.zero_pad(F.trim(F.col("code_insee")), 5).alias("code_insee"),
-        F.col("annee").cast("int").alias("annee"),
+        F.col("annee").cast("string").try_cast("int").alias("annee"),
         value.alias("revenu_median"),
         (value / 12).alias("revenu_mensuel"),
     ).where(not_null("code_insee", "revenu_median"))
@@ -114,7 +114,7 @@ def rent_rows(raw: DataFrame) -> DataFrame:
     return raw.where(not_null("Observatory", "agglomeration")).select(
         text.clean_observatory_code(F.col("Observatory")).alias("observatory_b"),
         text.clean_label(F.col("agglomeration")).alias("nom_agglomeration"),
-        F.col("Data_year").cast("int").alias("annee"),
+        F.col("Data_year").cast("string").try_cast("int").alias("annee"),
         text.or_default(F.col("Type_habitat"), "Ensemble").alias("type_habitat"),
         text.rooms_label(text.or_default(F.col("nombre_pieces_homogene"), "Tous")).alias("nombre_pieces"),
         _number(raw, "loyer_mensuel_median").alias("loyer_mensuel_median"),
@@ -159,7 +159,7 @@ def dim_agglomeration(raws: Sequence[DataFrame], existing: DataFrame | None = No
 
 
 def dim_temps(years: DataFrame) -> DataFrame:
-    return years.select(F.col("annee").cast("int").alias("annee")).where("annee is not null").distinct()
+    return years.select(F.col("annee").cast("string").try_cast("int").alias("annee")).where("annee is not null").distinct()
 
 
 def dim_type_bien(sales: DataFrame) -> DataFrame:

@@ -69,9 +69,9 @@ def agg_count_having(s: Star):
     return _count(kept, "code_insee", "annee", "type_local").where("n >= 10")
 
 
-@q("SELECT annee, count(DISTINCT code_insee) AS communes FROM g_sales WHERE type_local = 'Maison' GROUP BY 1")
+@q("SELECT annee, count(DISTINCT code_insee) AS communes FROM g_sales GROUP BY 1")
 def agg_count_distinct(s: Star):
-    return s.sales.where("type_local = 'Maison'").groupBy("annee").agg(F.count_distinct("code_insee").alias("communes"))
+    return s.sales.groupBy("annee").agg(F.count_distinct("code_insee").alias("communes"))
 
 
 @q("SELECT min(annee) AS first, max(annee) AS last, max(annee) - min(annee) + 1 AS coverage FROM g_sales")
@@ -136,10 +136,11 @@ def agg_value_counts(s: Star):
     return profile.value_counts(s.table("part"), ["p_name"], top=20)
 
 
-@q("""SELECT unnest(['nombre_pieces_homogene', 'Type_habitat', 'loyer_median']) AS column_name,
-    unnest([count(*) FILTER (o_orderpriority = '5-LOW'), count(*) FILTER (o_orderstatus = 'P'), 0]) AS nulls FROM orders""")
+@q("""SELECT unnest(['nombre_pieces_homogene', 'Type_habitat', 'loyer_median', 'loyer_mensuel_median', 'Observatory', 'agglomeration',
+        'Data_year', 'nombre_obsservations']) AS column_name,
+    unnest([count(*) FILTER (o_orderpriority = '5-LOW'), count(*) FILTER (o_orderstatus = 'P'), 0, 0, 0, 0, 0, 0]) AS nulls FROM orders""")
 def agg_null_profile(s: Star):
-    return profile.null_profile(s.raw_rents.select("nombre_pieces_homogene", "Type_habitat", "loyer_median"))
+    return profile.null_profile(s.raw_rents)
 
 
 def _described(column: str, table: str) -> str:

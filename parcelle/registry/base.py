@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.numbers import NOISE
 from ..sources.starschema import YEAR_FLOOR, Star
 
 
@@ -38,7 +39,7 @@ def pad(x: str, width: int) -> str:
 
 
 def rnd(x: str, places: int) -> str:
-    return f"round(({x})::DECIMAL(38,6), {places})::DOUBLE"
+    return f"round((({x})::DOUBLE * {1 + NOISE!r})::DECIMAL(38,10), {places})::DOUBLE"
 
 
 def rnde(x: str, places: int) -> str:
@@ -56,6 +57,7 @@ def sid(x: str) -> str:
 
 def bare(x: str) -> str:
     """Name without brackets, generic opening and outer spaces, lower case."""
+    # Fixed value: the generic openings of agglomeration names.
     opening = (
         "agglom[eé]ration\\s+(de\\s+l[a'']?|d[u'']?\\s+|des\\s+|de\\s+)?|"
         "communaut[eé]\\s+d.agglom[eé]ration\\s+(de\\s+|du\\s+|d[e'']?\\s+)?|"

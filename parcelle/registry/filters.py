@@ -111,12 +111,12 @@ def filter_ilike_param(s: Star):
 
 
 @q("""SELECT code FROM (SELECT CASE WHEN s_acctbal < 3000 THEN '2' || chr(65 + s_nationkey % 3) || lpad(s_suppkey::VARCHAR, greatest(3, length(s_suppkey::VARCHAR))::INT, '0')
-        ELSE lpad(s_suppkey::VARCHAR, 5, '0') END AS code FROM supplier)
+        ELSE lpad(s_suppkey::VARCHAR, greatest(5, length(s_suppkey::VARCHAR))::INT, '0') END AS code FROM supplier)
     WHERE regexp_full_match(code, '[0-9]{5}|2[AB][0-9]{3}')""")
 def filter_regex_code(s: Star):
     key = F.col("s_suppkey").cast("string")
     corsican = F.concat(F.lit("2"), F.chr((F.col("s_nationkey") % 3 + 65).cast("bigint")), codes.zero_pad(key, 3))
-    made = s.table("supplier").select(F.when(F.col("s_acctbal") < 3000, corsican).otherwise(F.lpad(key, 5, "0")).alias("code"))
+    made = s.table("supplier").select(F.when(F.col("s_acctbal") < 3000, corsican).otherwise(codes.zero_pad(key, 5)).alias("code"))
     return made.where(codes.is_commune_code(F.col("code")))
 
 

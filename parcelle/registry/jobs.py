@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import PARIS
 from ..functions.numbers import exact_round
-from ..plans import mapping, silver
+from ..plans import ledger, mapping, silver
+from ..session import shared_folder
 from ..sources.readers import years_in
 from ..sources.starschema import Star
+from ..streaming.incremental import load_pending_years, loaded_sales
 from .base import TYPE_LOCAL, Section, pad, rnd
 
 QUERIES = q = Section()
@@ -118,6 +120,25 @@ def job_fact_transactions(s: Star):
     return facts.withColumn("prix_m2", exact_round(F.col("prix_m2"), 4))
 
 
+@q(f"""SELECT annee, count(*) AS n, {rnd('sum(valeur_fonciere)', 2)} AS total FROM
+    (SELECT DISTINCT {pad('l_suppkey', 5)} AS code_insee, year(l_shipdate)::INT AS annee, {TYPE_LOCAL} AS type_local,
+        l_extendedprice AS valeur_fonciere, l_quantity AS surface_bati, l_linenumber AS nombre_pieces
+     FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag IN ('A', 'R') AND l_quantity >= 1
+        AND l_suppkey IN (SELECT s_suppkey FROM supplier) AND l_extendedprice / l_quantity BETWEEN 500 AND 13731) GROUP BY 1""")
+def job_incremental_sales(s: Star):
+    """Two loads of yearly files, of which some hold sales dated the year before."""
+    year = F.right("Date_mutation", F.lit(4)).cast("int") + (F.col("Nombre_pieces_principales") == 7).cast("int")
+    files = s.raw_sales.withColumn("annee", year)
+    folder = shared_folder(s.spark, "sales")
+    log = s.spark.createDataFrame([], ledger.COLUMNS)
+    for part in (files.where("annee <= 1995"), files.where("annee > 1995")):
+        part.write.mode("append").partitionBy("annee").parquet(f"{folder}/raw")
+        log = load_pending_years(s.spark, f"{folder}/raw", s.communes, f"{folder}/clean", log)
+    return loaded_sales(s.spark, f"{folder}/clean").groupBy("annee").agg(
+        F.count(F.lit(1)).alias("n"), exact_round(F.sum("valeur_fonciere"), 2).alias("total")
+    )
+
+
 @q("""SELECT annee FROM g_sales UNION SELECT annee FROM g_rents UNION SELECT annee FROM g_incomes""")
 def job_dim_temps(s: Star):
     return silver.dim_temps(years_in(s.sales, s.rents, s.incomes))

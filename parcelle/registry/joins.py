@@ -19,10 +19,14 @@ QUERIES = q = Section()
 @q(f"""SELECT nom_commune, code_departement, annee, count(*) AS n, {rnd('avg(prix_m2)', 2)} AS prix
     FROM g_sales JOIN g_communes USING (code_insee) GROUP BY ALL""")
 def join_fact_dim(s: Star):
-    by_code = s.sales.groupBy("code_insee", "annee").agg(F.count(F.lit(1)).alias("n"), F.avg("prix_m2").alias("p"))
-    return by_code.join(s.communes, "code_insee").select(
-        "nom_commune", "code_departement", "annee", "n", exact_round(F.col("p"), 2).alias("prix")
+    by_code = s.sales.groupBy("code_insee", "annee").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("prix_m2").alias("total"), F.count("prix_m2").alias("priced")
     )
+    # Towns of one name in one department are one group.
+    named = by_code.join(s.communes, "code_insee").groupBy("nom_commune", "code_departement", "annee").agg(
+        F.sum("n").alias("n"), (F.sum("total") / F.sum("priced")).alias("p")
+    )
+    return named.select("nom_commune", "code_departement", "annee", "n", exact_round(F.col("p"), 2).alias("prix"))
 
 
 @q(f"SELECT code_insee, observatory_b, annee, {rnd('revenu_mensuel', 2)} AS revenu FROM g_incomes JOIN g_bridge USING (code_insee)")
@@ -148,17 +152,12 @@ def join_theta_similarity(s: Star):
     )
 
 
-@q("""SELECT name, f_score AS score, f_uu AS uu2020 FROM (SELECT DISTINCT name FROM g_towns)
+@q("""SELECT name, f_score AS score, f_uu AS uu2020 FROM (SELECT DISTINCT name FROM g_towns t
+        WHERE coalesce((SELECT max(score) FROM g_votes v JOIN g_scores ON b = {bare} WHERE a = t.name AND v.observatory_b = t.observatory_b), 0) < 70)
     JOIN (SELECT a, g_units.uu2020 AS f_uu, score AS f_score FROM g_units JOIN g_scores ON b = {bare}
           QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, uu2020) = 1) ON a = name""".replace(
     "{bare}", "lower(trim(regexp_replace(nom_uu, '\\(.*?\\)', '', 'g')))"))
 def join_fallback_cross(s: Star):
-    """Best unit of the country for every town, by lists of candidates instead of pairs."""
-    towns = mapping.surveyed_towns(s.rents, s.agglomerations).select(
-        F.lit("all").alias("scope"), bare_name(F.col("nom_agglomeration")).alias("name")
-    )
-    units = s.units.select(
-        F.lit("all").alias("scope"), bare_name(F.col("nom_uu")).alias("name"), F.col("uu2020").alias("code"),
-        F.col("nom_uu").alias("label"), F.lit(0).cast("bigint").alias("votes"),
-    )
-    return best_match(towns, units, ["scope"]).select("name", "score", F.col("code").alias("uu2020"))
+    """Best unit of the country for the towns without a good vote."""
+    weak = mapping.best_votes(s.rents, s.agglomerations, s.bridge, s.communes, s.units).where(F.col("score") < mapping.GOOD_SCORE)
+    return best_match(weak, mapping.unit_names(s.units), []).select("name", "score", F.col("code").alias("uu2020"))

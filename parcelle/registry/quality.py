@@ -83,6 +83,7 @@ def _table_rules() -> str:
         "fact_loyers": "g_rents", "fact_revenus": "g_incomes", "fact_transactions": "g_sales", "dim_commune": "g_communes",
         "dim_agglomeration": "g_agglos", "dim_observatoire": "g_obs", "dim_temps": "(SELECT DISTINCT annee FROM g_sales)",
         "dim_type_bien": "(SELECT DISTINCT type_local AS type_bien FROM g_sales)", "bridge_commune_observatoire": "g_bridge",
+        "mapping_uu_agglomeration": "g_mapping",
     }
     texts = []
     for table, source in sources.items():
@@ -99,9 +100,7 @@ def _table_rules() -> str:
 
 @q(_table_rules())
 def dq_table_rules(s: Star):
-    tables = _tables(s)
-    rules = {t: r for t, r in quality.SILVER_RULES.items() if t != "mapping_uu_agglomeration"}
-    return quality.check_tables(tables, rules)
+    return quality.check_tables(_tables(s), quality.SILVER_RULES)
 
 
 @q("""SELECT r_name AS file_name, count(code_insee) AS row_count, count(code_insee) > 0 AS usable
@@ -137,9 +136,10 @@ def _failing(df):
     return df.agg(F.count(F.lit(1)).alias("failing"))
 
 
-@q("SELECT count(*) AS failing FROM g_tension WHERE score_tension < 0 OR score_tension > 100")
+@q("SELECT count(*) AS failing FROM g_tension WHERE score_tension * 3 - 30 < 0 OR score_tension * 3 - 30 > 100")
 def dq_score_bounds(s: Star):
-    return _failing(quality.bad_scores(s.tension))
+    """Scores moved so that some fail on either side."""
+    return _failing(quality.bad_scores(s.tension.withColumn("score_tension", F.col("score_tension") * 3 - 30)))
 
 
 @q("SELECT observatory_b, annee, ratio_tension_pct FROM (SELECT observatory_b, annee, ratio_tension_pct * 3 AS ratio_tension_pct FROM g_ratios) WHERE ratio_tension_pct NOT BETWEEN 1 AND 200")
@@ -154,9 +154,11 @@ def dq_price_positive(s: Star):
     return quality.bad_prices(lowered)
 
 
-@q("SELECT count(*) AS failing FROM g_inequality WHERE least(rang_accessibilite_modeste, rang_accessibilite_median, rang_accessibilite_aise) < 1")
+@q("SELECT count(*) AS failing FROM g_inequality WHERE least(rang_accessibilite_modeste - 2, rang_accessibilite_median, rang_accessibilite_aise) < 1")
 def dq_rank_positive(s: Star):
-    return _failing(quality.bad_ranks(s.inequality))
+    """One of the ranks lowered so that some fail."""
+    lowered = F.col("rang_accessibilite_modeste") - 2
+    return _failing(quality.bad_ranks(s.inequality.withColumn("rang_accessibilite_modeste", lowered)))
 
 
 @q(f"SELECT {SOURCE} AS source FROM customer WHERE {SOURCE} NOT IN (SELECT source FROM {LEDGER} WHERE status = 'success')")

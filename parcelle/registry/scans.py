@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_round
-from ..operators.relational import insert_ignore, upsert
+from ..operators.relational import insert_ignore, union_by_name, upsert
+from ..plans import marts
 from ..plans.dashboard import ad_hoc
 from ..session import shared_folder
 from ..sources import readers, sinks
-from ..sources.starschema import Star, code5
+from ..sources.starschema import YEAR_FLOOR, Star, code5
 from .base import Section, pad, rnd
 
 QUERIES = q = Section()
@@ -109,15 +110,15 @@ def sink_parquet(s: Star):
     return s.spark.read.parquet(path)
 
 
-@q("SELECT code_insee, annee, revenu_median FROM (SELECT code_insee, annee, round(revenu_median::DECIMAL(38,6), 2)::DOUBLE AS revenu_median FROM g_incomes)")
+@q(f"SELECT code_insee, annee, {rnd('revenu_median', 2)} AS revenu_median FROM g_incomes")
 def sink_truncate_load(s: Star):
-    """A first content is wholly replaced by the second."""
-    path = shared_folder(s.spark, "incomes")
+    """A first content is wholly replaced by the second, which is complete before it shows."""
+    folder = shared_folder(s.spark, "incomes")
     old = s.incomes.select(F.concat(F.lit("X"), F.col("code_insee")).alias("code_insee"), F.col("annee") + 500, "revenu_median")
     columns = ["code_insee", "annee", "revenu_median"]
-    sinks.replace_all(old.toDF(*columns), path, columns, by="annee")
-    sinks.replace_all(s.incomes, path, columns, by="annee")
-    return s.spark.read.parquet(path).select(
+    sinks.publish(old.toDF(*columns), "parcelle_incomes", folder)
+    sinks.publish(s.incomes.select(*columns), "parcelle_incomes", folder)
+    return s.spark.table("parcelle_incomes").select(
         "code_insee", "annee", exact_round(F.col("revenu_median"), 2).alias("revenu_median")
     )
 
@@ -132,16 +133,16 @@ def sink_insert_ignore(s: Star):
 
 @q(f"""SELECT coalesce(o.code_insee, n.code_insee) AS code_insee, coalesce(o.name, n.name) AS name,
         CASE WHEN n.code_insee IS NULL THEN o.score ELSE n.score END AS score
-    FROM (SELECT {pad('s_suppkey', 5)} AS code_insee, s_name AS name, s_acctbal AS score FROM supplier WHERE s_acctbal > 2000) o
-    FULL JOIN (SELECT code_insee, 'from sales' AS name, max(valeur_fonciere) AS score FROM g_sales
-               WHERE nombre_pieces = 7 AND surface_bati >= 49 GROUP BY 1) n ON o.code_insee = n.code_insee""")
+    FROM (SELECT {pad('s_suppkey', 5)} AS code_insee, s_name AS name, s_acctbal AS score FROM supplier) o
+    FULL JOIN (SELECT CASE WHEN code_insee[5] IN ('0', '5') THEN 'N' || code_insee ELSE code_insee END AS code_insee, 'from sales' AS name,
+               max(valeur_fonciere) AS score FROM g_sales GROUP BY ALL) n ON o.code_insee = n.code_insee""")
 def sink_upsert_update(s: Star):
-    old = s.table("supplier").where("s_acctbal > 2000").select(
+    """Keys on one side only and on both: every fifth commune of the sales has a new code."""
+    old = s.table("supplier").select(
         code5(F.col("s_suppkey")).alias("code_insee"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("score")
     )
-    new = s.sales.where("nombre_pieces = 7 and surface_bati >= 49").groupBy("code_insee").agg(
-        F.max("valeur_fonciere").alias("score")
-    ).withColumn("name", F.lit("from sales"))
+    code = F.when(F.col("code_insee").rlike("^.{4}[05]"), F.concat(F.lit("N"), "code_insee")).otherwise(F.col("code_insee"))
+    new = s.sales.groupBy(code.alias("code_insee")).agg(F.max("valeur_fonciere").alias("score")).withColumn("name", F.lit("from sales"))
     return upsert(old, new.select("code_insee", "name", "score"), ["code_insee"], keep=["name"])
 
 
@@ -154,8 +155,18 @@ def sink_replace_table(s: Star):
     return s.spark.table("parcelle_communes")
 
 
-@q("SELECT * FROM g_prices")
+GOLD = {"prix_m2_par_ville": ("g_prices", "nb_transactions"), "ratio_loyer_revenu": ("g_ratios", "ratio_tension_pct"),
+        "dynamisme_marche": ("g_tension", "score_tension"), "evolution_tension": ("g_trend", "evolution_ratio"),
+        "inegalites": ("g_inequality", "rang_accessibilite_modeste")}
+
+
+@q(" UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, count(*) AS n, count({c}) AS known, {rnd(f'sum({c})', 1)} AS total FROM {part}" for mart, (part, c) in GOLD.items()))
 def gold_materialize(s: Star):
-    """Marts written as tables of a schema and read back."""
-    sinks.materialize({"prix_m2_par_ville": s.prices}, "gold", shared_folder(s.spark, "gold"))
-    return s.spark.table("gold.prix_m2_par_ville")
+    """The five marts written in the order of their needs, each read back by those that follow."""
+    marts.write_marts(s.sales, s.communes, s.rents, s.incomes, s.bridge, s.agglomerations, "gold", shared_folder(s.spark, "gold"), year_floor=YEAR_FLOOR)
+    return union_by_name([
+        s.spark.table(f"gold.{mart}").agg(
+            F.lit(mart).alias("mart"), F.count(F.lit(1)).alias("n"), F.count(c).alias("known"), exact_round(F.sum(c), 1).alias("total"))
+        for mart, (_, c) in GOLD.items()
+    ])

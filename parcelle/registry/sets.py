@@ -27,10 +27,10 @@ def sort_accessibility(s: Star):
     return s.ratios.select("nom_agglomeration", "annee", "ratio_tension_pct").orderBy(F.asc_nulls_last("ratio_tension_pct"))
 
 
-@q("SELECT least(count(*), 50000) AS n FROM orders")
+@q("SELECT least(count(*), 1000) AS n FROM orders")
 def limit_sample(s: Star):
     """A limit without an order: only its size is determined."""
-    return s.table("orders").limit(50_000).agg(F.count(F.lit(1)).alias("n"))
+    return s.table("orders").limit(1000).agg(F.count(F.lit(1)).alias("n"))
 
 
 @q("""SELECT 'orders' AS name, EXISTS (SELECT 1 FROM orders) AS filled
@@ -61,7 +61,7 @@ def topk_distinct_options(s: Star):
     }
     return relational.union_by_name(
         [df.select(F.lit(k).alias("kind"), F.col(c).cast("string").alias("label")) for k, (df, c) in lists.items()]
-    )
+    ).orderBy("kind", F.when(F.col("kind") == "annee", -F.col("label").try_cast("int")), "label")
 
 
 @q("SELECT l_suppkey AS code, year(l_shipdate)::INT AS annee FROM lineitem UNION ALL SELECT o_custkey, year(o_orderdate)::INT FROM orders")

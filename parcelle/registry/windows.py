@@ -48,18 +48,17 @@ def win_yoy_gated(s: Star):
     return groups.select(*KEY, "nb_transactions", marts.gated_rise(_years()).alias("hausse_prix_pct"))
 
 
-@q(f"""SELECT observatory_b, nom_agglomeration, annee, type_habitat, CASE WHEN annee - lag(annee) OVER y <= 1 THEN
+@q(f"""SELECT observatory_b, nom_agglomeration, annee, type_habitat, nombre_pieces, CASE WHEN annee - lag(annee) OVER y <= 1 THEN
         {rnd('(rent - lag(rent) OVER y) / nullif(lag(rent) OVER y, 0) * 100', 2)} END AS change
-    FROM (SELECT observatory_b, nom_agglomeration, annee, type_habitat, avg(loyer_mensuel_median) AS rent FROM g_rents
-          WHERE nombre_pieces = '4P+' GROUP BY ALL)
-    WINDOW y AS (PARTITION BY observatory_b, nom_agglomeration, type_habitat ORDER BY annee)""")
+    FROM (SELECT observatory_b, nom_agglomeration, annee, type_habitat, nombre_pieces, avg(loyer_mensuel_median) AS rent FROM g_rents GROUP BY ALL)
+    WINDOW y AS (PARTITION BY observatory_b, nom_agglomeration, type_habitat, nombre_pieces ORDER BY annee)""")
 def win_yoy_gap_guard(s: Star):
     """Series with missing years: no change is given across a gap."""
-    by = ["observatory_b", "id_agglomeration", "type_habitat"]
-    means = s.rents.where("nombre_pieces = '4P+'").groupBy(*by, "annee").agg(F.avg("loyer_mensuel_median").alias("rent"))
+    by = ["observatory_b", "id_agglomeration", "type_habitat", "nombre_pieces"]
+    means = s.rents.groupBy(*by, "annee").agg(F.avg("loyer_mensuel_median").alias("rent"))
     changed = marts.with_yearly_change(means, by, "rent", "rent").join(s.agglomerations, "id_agglomeration")
     return changed.select(
-        "observatory_b", "nom_agglomeration", "annee", "type_habitat", F.col("rent_change").alias("change")
+        "observatory_b", "nom_agglomeration", "annee", "type_habitat", "nombre_pieces", F.col("rent_change").alias("change")
     )
 
 

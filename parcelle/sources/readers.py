@@ -21,9 +21,22 @@ def read_table(spark: SparkSession, folder: str, name: str, schema: str | None =
 
 
 def read_years(spark: SparkSession, path: str, years: Iterable[int] | None = None) -> DataFrame:
-    """A folder of ``annee=YYYY`` partitions; years not asked for are not listed or read."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    return df if years is None else df.where(F.col("annee").isin(list(years)))
+    """A folder of ``annee=YYYY`` partitions; only the years asked for are read.
+
+    Their files' schemas are merged, so a column that came later is null before;
+    files of other years are not opened.
+    """
+    if years is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    wanted = [f"{path}/annee={y}" for y in years]
+    return spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*wanted)
+
+
+def years_in_folder(spark: SparkSession, path: str) -> DataFrame:
+    """Years of a folder of ``annee=YYYY`` partitions, from the folder names: no file is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    name = F.regexp_extract("path", r"/annee=([^/]+)/", 1).try_cast("int").alias("annee")
+    return listed.select(name).where("annee is not null").distinct()
 
 
 def years_in(*sources: DataFrame) -> DataFrame:

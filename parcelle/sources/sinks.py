@@ -1,7 +1,12 @@
-"""Writers. Every one is a single atomic Spark write; a lost executor's tasks are rerun."""
+"""Writers. A lost executor's tasks are rerun; a reader sees a write only when it is committed.
+
+An overwrite deletes the old content first, so a job that fails in between leaves
+none; ``publish`` keeps the old content until the new one is complete.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -30,6 +35,13 @@ def _by_partition(df: DataFrame, by: str):
     return df.hint("rebalance", by).write.mode("overwrite").partitionBy(by)
 
 
+def publish(df: DataFrame, name: str, folder: str) -> None:
+    """A new version beside the old one, then the table points to it: a failed write changes nothing."""
+    spark, path = df.sparkSession, f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM parquet.`{path}`")
+
+
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Drop and recreate with the frame's own schema; at ``path`` if given."""
     writer = df.write.mode("overwrite").option("overwriteSchema", "true")

@@ -1,8 +1,9 @@
-"""Load only what is new: arrived files as a stream, or years the ledger lacks.
+"""Load only what is new: arrived files as a stream, or yearly files the ledger lacks.
 
 Sales arrive as yearly files. One ``availableNow`` run takes the files not seen
-before, cleans them like a full load, and appends the sales the table does not
-hold yet.
+before, cleans them, and appends the sales the table does not hold yet. Of bulk
+copies that arrive in different runs the first to arrive stays, where a full load
+keeps the first in column order; they differ in land area and culture only.
 """
 
 from __future__ import annotations
@@ -10,22 +11,22 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..plans import ledger
 from ..plans.silver import SALE_KEY, fact_transactions
-from ..session import shared_folder
-from ..sources.readers import read_years, years_in
-from ..sources.sinks import replace_partitions
+from ..operators.relational import dedup
+from ..sources.readers import read_years, years_in_folder
 
 
 def load_new_sales(
-    spark: SparkSession, source: str, schema: StructType, communes: DataFrame, target: str, progress: str | None = None
+    spark: SparkSession, source: str, schema: StructType, communes: DataFrame, target: str, progress: str
 ) -> None:
-    """Run once over what is new under ``source``; ``progress`` keeps the stream's state.
+    """Run once over what is new under ``source``; the folder ``progress`` keeps the stream's state between runs.
 
     A repeated batch appends nothing twice: sales already in the target are left
     out by the same key that removes bulk copies.
@@ -34,14 +35,15 @@ def load_new_sales(
 
     def load(batch: DataFrame, _: int) -> None:
         fresh = fact_transactions(batch, communes)
-        held = _existing(spark, target, fresh)
+        years = [r.annee for r in fresh.select("annee").distinct().collect()]  # one row per year: prunes the target
+        held = _existing(spark, target, fresh).where(F.col("annee").isin(years))
         same = reduce(lambda a, b: a & b, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in SALE_KEY])
         new = fresh.alias("n").join(held.alias("o"), same, "left_anti")
         new.hint("rebalance", "annee").write.mode("append").partitionBy("annee").parquet(target)
 
     (
         stream.writeStream.foreachBatch(load)
-        .option("checkpointLocation", progress or shared_folder(spark, "sales-stream"))
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
@@ -51,29 +53,37 @@ def load_new_sales(
 def load_pending_years(
     spark: SparkSession, source: str, communes: DataFrame, target: str, log: DataFrame
 ) -> DataFrame:
-    """Clean the years of ``source`` with no success in the ledger; returns the ledger with the new events.
+    """Clean the yearly files of ``source`` with no success in the ledger; returns the ledger with the new events.
 
-    Only those years are read, and only their partitions are replaced.
+    A file's sales stay in the partition of the file's year (``file_year``),
+    whatever year they are dated, so loading one file cannot touch another's
+    sales. Each file gets a ``running`` event and then ``success`` with its rows
+    or ``error`` with the reason; a file that failed is tried again next time,
+    and the others are still loaded. Read the table with ``loaded_sales``.
     """
-    every = spark.read.parquet(source)
+    years = years_in_folder(spark, source)
     name = F.concat(F.lit("silver.fact_transactions_"), F.col("annee").cast("string")).alias("source")
-    due = ledger.pending(years_in(every).select("annee", name), log)
-    years = [r.annee for r in due.collect()]  # one row per year
-    if not years:
-        return log
-    started = datetime.now()
-    # The partition column is the file's year; the cleaned table has the sale's own.
-    raw = read_years(spark, source, years).withColumnRenamed("annee", "file_year")
-    replace_partitions(fact_transactions(raw, communes), target)
-    counts = spark.read.parquet(target).where(F.col("annee").isin(years)).groupBy("annee").agg(F.count(F.lit(1)).alias("n"))
-    finished = F.lit(datetime.now()).cast("timestamp")
-    events = due.join(counts, "annee", "left").select(
-        "source", F.lit(ledger.SUCCESS).alias("status"), F.coalesce("n", F.lit(0)).alias("rows_loaded"),
-        F.lit(started).cast("timestamp").alias("started_at"), finished.alias("finished_at"),
-        F.lit(None).cast("string").alias("error_msg"),
-    )
-    # Fixed now: the pending set must not change with the ledger it extends.
-    return ledger.append(log, spark.createDataFrame(events.collect(), events.schema))
+    due = ledger.pending(years.select("annee", name), log).orderBy("annee").collect()  # one row per file year
+    for file in due:
+        started = datetime.now()
+        log = ledger.append(log, ledger.event(spark, file.source, ledger.RUNNING, started))
+        try:
+            # The partition column is the file's year; the cleaned table has the sale's own.
+            raw = read_years(spark, source, [file.annee]).drop("annee")
+            part = f"{target}/file_year={file.annee}"
+            fact_transactions(raw, communes).write.mode("overwrite").parquet(part)
+            rows = spark.read.parquet(part).count()
+            done = ledger.event(spark, file.source, ledger.SUCCESS, started, rows, datetime.now())
+        except (PySparkException, Py4JJavaError) as error:
+            done = ledger.event(spark, file.source, ledger.ERROR, started, None, datetime.now(), str(error)[:500])
+        log = ledger.append(log, done)
+    return log
+
+
+def loaded_sales(spark: SparkSession, target: str) -> DataFrame:
+    """The sales of all loaded files; a sale that two files hold counts once, as in a full load."""
+    held = spark.read.parquet(target)
+    return dedup(held.drop("file_year"), SALE_KEY)
 
 
 def _existing(spark: SparkSession, target: str, like: DataFrame) -> DataFrame:

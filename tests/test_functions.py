@@ -64,6 +64,7 @@ def test_numbers(spark):
     assert apply(spark, numbers.secret_to_null, ["s", "18250,5", None]) == [None, 18250.5, None]
     assert apply(spark, numbers.year_of, ["31/12/2021", "31/02/2021", "2021-01-01", None]) == [2021, None, None, None]
     assert apply(spark, lambda c: numbers.exact_round(c, 2), [1.005, 2.675, -1.005, None], "double") == [1.01, 2.68, -1.01, None]
+    assert apply(spark, lambda c: numbers.exact_round(c, 2), [1.0049996, -1.0049996], "double") == [1.0, -1.0]
     assert apply(spark, numbers.rise_score, [None, -5.0, 10.0, 40.0], "double") == [0.0, 0.0, 50.0, 100.0]
     assert apply(spark, numbers.tension_band, [75.0, 74.9, 50.0, 25.0, 24.9, None], "double") == [
         "Très tendu", "Tendu", "Tendu", "Modéré", "Détendu", "Détendu"]

@@ -35,10 +35,12 @@ def _expected(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1000, 1_000_000])
-def test_percentiles_with_and_without_large_groups(skewed, hot_rows):
+@pytest.mark.parametrize("slots", [1, 64, 5000])
+def test_percentiles_of_a_skewed_table(skewed, monkeypatch, slots):
+    """The slots decide how much is sorted, not the result."""
+    monkeypatch.setattr(quantiles, "SLOTS", slots)
     got = quantiles.group_stats(
-        skewed, ["k"], {n: ("v", p) for n, p in FRACTIONS.items()}, [F.count(F.lit(1)).alias("n")], hot_rows
+        skewed, ["k"], {n: ("v", p) for n, p in FRACTIONS.items()}, [F.count(F.lit(1)).alias("n")]
     ).collect()
     expected = _expected([tuple(r) for r in skewed.collect()])
     assert {r.k for r in got} == set(expected) and len(got) == len(expected)
@@ -47,14 +49,12 @@ def test_percentiles_with_and_without_large_groups(skewed, hot_rows):
             assert mine == pytest.approx(theirs) if theirs is not None else mine is None
 
 
-def test_percentiles_of_a_bad_sketch(skewed, monkeypatch):
-    """The sketch decides how much is sorted, not the result."""
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 4)
-    got = quantiles.select_percentiles(skewed, ["k"], "v", FRACTIONS).collect()
-    expected = _expected([tuple(r) for r in skewed.collect()])
-    assert len(got) == len(expected) - 1
-    for r in got:
-        assert [r[n] for n in FRACTIONS] == pytest.approx(list(expected[r.k][1:]))
+def test_slots_keep_the_order_of_values(spark):
+    rng = random.Random(4)
+    values = sorted([rng.uniform(-1, 1) * 10 ** rng.randint(-12, 300) for _ in range(3000)] + [0.0, -0.0, float("inf"), float("-inf")])
+    frame = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
+    found = [r[0] for r in frame.select(quantiles.slot(F.col("v"))).collect()]
+    assert found == sorted(found) and len(set(found)) > 1000
 
 
 def test_overall_percentiles_of_nothing(spark):

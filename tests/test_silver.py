@@ -9,7 +9,7 @@ from parcelle.operators.validation import reject_report
 from parcelle.plans import ledger, mapping, marts, quality, silver
 from parcelle.session import shared_folder
 from parcelle.sources import readers, sinks
-from parcelle.streaming.incremental import load_new_sales, load_pending_years
+from parcelle.streaming.incremental import load_new_sales, load_pending_years, loaded_sales
 
 SALES = (
     "Code_departement string, Code_commune string, Date_mutation string, Nature_mutation string, Type_local string,"
@@ -225,7 +225,8 @@ def test_partition_writes(spark):
     sinks.replace_partitions(spark.createDataFrame([("9", 2021)], df.schema), path)
     assert rows(readers.read_years(spark, path), "code", "annee") == [("1", 2020), ("9", 2021)]
     pruned = readers.read_years(spark, path, [2020])
-    assert rows(pruned, "code") == [("1",)] and "PartitionFilters: [annee" in pruned._jdf.queryExecution().executedPlan().toString().replace("isnotnull(annee", "annee")
+    assert rows(pruned, "code", "annee") == [("1", 2020)] and all("annee=2020" in f for f in pruned.inputFiles())
+    assert rows(readers.years_in_folder(spark, path), "annee") == [(2020,), (2021,)]
     sinks.replace_all(spark.createDataFrame([("7", 2022)], df.schema), path, ["code", "annee"], by="annee")
     assert rows(readers.read_years(spark, path), "code", "annee") == [("7", 2022)]
 
@@ -242,22 +243,43 @@ def test_new_files_are_loaded_once(spark, communes, tmp_path):
     assert rows(spark.read.parquet(target), "annee", "valeur_fonciere") == [(2021, 100000.0), (2021, 200000.0), (2022, 100000.0)]
 
 
-def test_only_pending_years_are_loaded(spark, communes, tmp_path):
+def file_of(spark, path, year, *sales):
+    spark.createDataFrame(list(sales), SALES).withColumn("annee", F.lit(year)).write.mode("append").partitionBy("annee").parquet(path)
+
+
+def test_only_pending_files_are_loaded(spark, communes, tmp_path):
     source, target = str(tmp_path / "raw"), str(tmp_path / "clean")
-    raw = spark.createDataFrame([sale(), sale(day="05/05/2022"), sale(day="06/05/2022", price="90000")], SALES)
-    year = F.right("Date_mutation", F.lit(4)).cast("int")
-    raw.withColumn("annee", year).write.partitionBy("annee").parquet(source)
+    file_of(spark, source, 2023, *(sale(day="02/03/2023", price=str(100000 + i)) for i in range(5)))
     log = load_pending_years(spark, source, communes, target, spark.createDataFrame([], ledger.COLUMNS))
     assert rows(log, "source", "status", "rows_loaded") == [
-        ("silver.fact_transactions_2021", "success", 1), ("silver.fact_transactions_2022", "success", 2)]
-    again = load_pending_years(spark, source, communes, target, log)
-    assert again.count() == 2
-    spark.createDataFrame([sale(day="01/01/2023"), sale(day="01/02/2023", price="80000")], SALES).withColumn("annee", year).write.mode(
-        "append").partitionBy("annee").parquet(source)
-    reset = ledger.reset(again, "silver", "fact_transactions_2022")
-    later = load_pending_years(spark, source, communes, target, reset)
-    assert later.count() == 3 and spark.read.parquet(target).groupBy("annee").count().count() == 3
-    assert spark.read.parquet(target).count() == 5
+        ("silver.fact_transactions_2023", "running", None), ("silver.fact_transactions_2023", "success", 5)]
+    # A later file holds a sale of the year before, one of them a copy; a third cleans to nothing.
+    file_of(spark, source, 2024, sale(day="31/12/2023", price="90000"), sale(day="02/03/2023", price="100001"),
+            *(sale(day="05/05/2024", price=str(80000 + i)) for i in range(3)))
+    file_of(spark, source, 2025, sale(nature="Echange"))
+    log = load_pending_years(spark, source, communes, target, log)
+    assert rows(ledger.latest_status(log), "source", "status", "rows_loaded") == [
+        (f"silver.fact_transactions_{y}", "success", n) for y, n in ((2023, 5), (2024, 5), (2025, 0))]
+    assert sorted(r.annee for r in loaded_sales(spark, target).collect()) == [2023] * 6 + [2024] * 3
+    assert load_pending_years(spark, source, communes, target, log).count() == log.count()
+    again = load_pending_years(spark, source, communes, target, ledger.reset(log, "silver", "fact_transactions_2024"))
+    assert again.count() == log.count() + 1 and loaded_sales(spark, target).count() == 9
+
+
+def test_failed_file_is_logged_and_tried_again(spark, communes, tmp_path):
+    source, target = str(tmp_path / "raw"), str(tmp_path / "clean")
+    file_of(spark, source, 2021, sale())
+    file_of(spark, source, 2022, sale(day="05/05/2022"))
+    broken = tmp_path / "raw/annee=2022/part-x.parquet"
+    broken.write_bytes(b"not parquet")
+    log = load_pending_years(spark, source, communes, target, spark.createDataFrame([], ledger.COLUMNS))
+    assert rows(ledger.latest_status(log), "source", "status") == [
+        ("silver.fact_transactions_2021", "success"), ("silver.fact_transactions_2022", "error")]
+    spark.createDataFrame([sale(day="06/05/2022")], SALES).coalesce(1).write.parquet(str(tmp_path / "good"))
+    broken.write_bytes(next((tmp_path / "good").glob("*.parquet")).read_bytes())
+    log = load_pending_years(spark, source, communes, target, log)
+    assert rows(ledger.latest_status(log), "status") == [("success",), ("success",)]
+    assert loaded_sales(spark, target).count() == 2
 
 
 def test_same_result_for_any_partition_count(spark, communes):
