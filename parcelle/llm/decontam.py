@@ -21,7 +21,7 @@ from .common import table
 WINDOW = 13
 #: Test phrases are searched in blocks of items of at most this many bytes, each block sent to the tasks once.
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 SAMPLE = 8
 #: Bytes of words to lower case, all other ASCII to space; bytes above 127 belong to words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))

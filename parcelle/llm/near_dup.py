@@ -89,7 +89,7 @@ class Shingler:
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if len(self.known) > 500_000:  # bounds memory; forgotten words are hashed again
+        if len(self.known) > 200_000:  # bounds memory; forgotten words are hashed again
             self.known.clear()
         known = self.known
         for w in words:
@@ -152,7 +152,7 @@ def described(docs: DataFrame, size: int, share: int) -> DataFrame:
     """(n, doc_id, n_shingles, s1, s2, bands, sketch) of numbered docs; s1 and s2 name the set."""
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, hashes = Shingler(size), Hashes(share)
-        for batch in batches:
+        for batch in (b.iloc[k:k + 500] for b in batches for k in range(0, len(b), 500)):  # bounds the sets held at once
             sets = [shingles(t) for t in batch["text"]]
             levels = [sample_level(len(x)) for x in sets]
             own = [odd_sketch(x, k) for x, k in zip(sets, levels)]

@@ -31,7 +31,7 @@ def word_symbols(texts: Iterator[str | None]) -> Iterator[np.ndarray]:
             if w not in known:
                 known[w] = xxhash.xxh64_intdigest(w)
         yield np.array([known[w] for w in words], np.uint64)
-        if len(known) > 500_000:  # bounds memory; forgotten words are hashed again
+        if len(known) > 200_000:  # bounds memory; forgotten words are hashed again
             known.clear()
 
 

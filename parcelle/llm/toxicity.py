@@ -164,7 +164,7 @@ def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFr
 
         def places(word: str) -> tuple[int, ...]:
             if word not in known:
-                if len(known) > 400_000:  # bounds memory; forgotten words are hashed again
+                if len(known) > 150_000:  # bounds memory; forgotten words are hashed again
                     known.clear()
                 known[word] = tuple(i for i in (rows.get(t, -1) for t in word_terms(word)) if i >= 0)
             return known[word]
