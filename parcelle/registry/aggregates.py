@@ -203,8 +203,8 @@ def agg_top_median(s: Star):
 def agg_row_counts_union(s: Star):
     """All five marts with their rows; a check keeps those with none."""
     return quality.row_counts({
-        "prix_m2_par_ville": s.prices, "ratio_loyer_revenu": s.ratios, "dynamisme_marche": s.tension,
-        "evolution_tension": s.trend, "inegalites": s.inequality,
+        "prix_m2_par_ville": s.gold.prices, "ratio_loyer_revenu": s.gold.ratios, "dynamisme_marche": s.gold.tension,
+        "evolution_tension": s.gold.trend, "inegalites": s.gold.inequality,
     })
 
 

@@ -8,7 +8,7 @@ from ..functions.numbers import exact_round
 from ..functions.text import bare_name
 from ..operators import relational
 from ..operators.matching import best_match, nearest
-from ..plans import dashboard, mapping
+from ..plans import dashboard, mapping, silver
 from ..plans.marts import rent_signal
 from ..sources.starschema import Star, unit
 from .base import Section, rnd
@@ -118,6 +118,12 @@ def join_lookup_map(s: Star):
     )
 
 
+@q("SELECT nom_agglomeration, count(*) AS n FROM g_rents WHERE NOT contains(nom_agglomeration, 'HOUSEHOLD') GROUP BY 1")
+def report_unmatched_names(s: Star):
+    """Survey names that the dimension lacks, with their lines; the dimension holds one segment only."""
+    return silver.unmatched_agglomerations([s.raw_rents], s.agglomerations.where("contains(nom_agglomeration, 'HOUSEHOLD')"))
+
+
 @q("""SELECT code_insee, coalesce(CASE WHEN reg = 'ASIA' THEN uu2020 END, 'old') AS uu2020,
     CASE WHEN reg = 'ASIA' THEN reg END AS reg FROM g_communes""")
 def join_left_coalesce(s: Star):

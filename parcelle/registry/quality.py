@@ -116,7 +116,7 @@ def dq_bronze_nonempty(s: Star):
 
 @q("""SELECT annee, count(*) AS n FROM g_prices WHERE annee NOT IN (2021, 2022, 2023, 2024, 2025) GROUP BY 1""")
 def dq_accepted_values(s: Star):
-    return quality.unexpected_values(s.prices, "annee", quality.PRICE_YEARS)
+    return quality.unexpected_values(s.gold.prices, "annee", quality.PRICE_YEARS)
 
 
 GOLD = {"prix_m2_par_ville": "g_prices", "ratio_loyer_revenu": "g_ratios", "dynamisme_marche": "g_tension",
@@ -127,11 +127,35 @@ GOLD = {"prix_m2_par_ville": "g_prices", "ratio_loyer_revenu": "g_ratios", "dyna
     _rows(m, [("not_null", c, f"count(*) FILTER ({c} IS NULL)") for c in columns], GOLD[m])
     for m, columns in quality.GOLD_NOT_NULL.items()))
 def dq_gold_not_null(s: Star):
-    frames = {"prix_m2_par_ville": s.prices, "ratio_loyer_revenu": s.ratios, "dynamisme_marche": s.tension,
-              "evolution_tension": s.trend, "inegalites": s.inequality}
+    frames = {"prix_m2_par_ville": s.gold.prices, "ratio_loyer_revenu": s.gold.ratios, "dynamisme_marche": s.gold.tension,
+              "evolution_tension": s.gold.trend, "inegalites": s.gold.inequality}
     return union_by_name([quality.null_violations(frames[m], m, c) for m, c in quality.GOLD_NOT_NULL.items()])
 
 
+MART_TESTS = {
+    "prix_m2_par_ville": [("accepted_values", "annee", "count(*) FILTER (annee NOT IN (2021, 2022, 2023, 2024, 2025))"),
+                          ("bounds", "prix_m2_median", "count(*) FILTER (prix_m2_median <= 0)")],
+    "ratio_loyer_revenu": [("bounds", "ratio_tension_pct", "count(*) FILTER (ratio_tension_pct NOT BETWEEN 1 AND 200)")],
+    "dynamisme_marche": [("accepted_values", "categorie_tension", "count(*) FILTER (categorie_tension NOT IN ('Très tendu', 'Tendu', 'Modéré', 'Détendu'))"),
+                         ("bounds", "score_tension", "count(*) FILTER (score_tension NOT BETWEEN 0 AND 100)")],
+    "evolution_tension": [],
+    "inegalites": [("bounds", "rang_accessibilite",
+                    "count(*) FILTER (least(rang_accessibilite_modeste, rang_accessibilite_median, rang_accessibilite_aise) < 1)")],
+}
+
+
+@q(" UNION ALL ".join(
+    _rows(m, [("not_null", c, f"count(*) FILTER ({c} IS NULL)") for c in quality.GOLD_NOT_NULL[m]]
+          + [("row_count", "*", "greatest(1 - count(*), 0)"), *tests], GOLD[m])
+    for m, tests in MART_TESTS.items()))
+def dq_mart_report(s: Star):
+    """Every check of the five marts in one report."""
+    return quality.check_marts({
+        "prix_m2_par_ville": s.gold.prices, "ratio_loyer_revenu": s.gold.ratios, "dynamisme_marche": s.gold.tension,
+        "evolution_tension": s.gold.trend, "inegalites": s.gold.inequality,
+    })
+
+
 def _failing(df):
     return df.agg(F.count(F.lit(1)).alias("failing"))
 
@@ -139,18 +163,18 @@ def _failing(df):
 @q("SELECT count(*) AS failing FROM g_tension WHERE score_tension * 3 - 30 < 0 OR score_tension * 3 - 30 > 100")
 def dq_score_bounds(s: Star):
     """Scores moved so that some fail on either side."""
-    return _failing(quality.bad_scores(s.tension.withColumn("score_tension", F.col("score_tension") * 3 - 30)))
+    return _failing(quality.bad_scores(s.gold.tension.withColumn("score_tension", F.col("score_tension") * 3 - 30)))
 
 
 @q("SELECT observatory_b, annee, ratio_tension_pct FROM (SELECT observatory_b, annee, ratio_tension_pct * 3 AS ratio_tension_pct FROM g_ratios) WHERE ratio_tension_pct NOT BETWEEN 1 AND 200")
 def dq_ratio_bounds(s: Star):
-    tripled = s.ratios.select("observatory_b", "annee", (F.col("ratio_tension_pct") * 3).alias("ratio_tension_pct"))
+    tripled = s.gold.ratios.select("observatory_b", "annee", (F.col("ratio_tension_pct") * 3).alias("ratio_tension_pct"))
     return quality.bad_ratios(tripled)
 
 
 @q("SELECT code_insee, annee, prix_m2_median - 1100 AS prix_m2_median FROM g_prices WHERE prix_m2_median <= 1100")
 def dq_price_positive(s: Star):
-    lowered = s.prices.select("code_insee", "annee", (F.col("prix_m2_median") - 1100).alias("prix_m2_median"))
+    lowered = s.gold.prices.select("code_insee", "annee", (F.col("prix_m2_median") - 1100).alias("prix_m2_median"))
     return quality.bad_prices(lowered)
 
 
@@ -158,7 +182,7 @@ def dq_price_positive(s: Star):
 def dq_rank_positive(s: Star):
     """One of the ranks lowered so that some fail."""
     lowered = F.col("rang_accessibilite_modeste") - 2
-    return _failing(quality.bad_ranks(s.inequality.withColumn("rang_accessibilite_modeste", lowered)))
+    return _failing(quality.bad_ranks(s.gold.inequality.withColumn("rang_accessibilite_modeste", lowered)))
 
 
 @q(f"SELECT {SOURCE} AS source FROM customer WHERE {SOURCE} NOT IN (SELECT source FROM {LEDGER} WHERE status = 'success')")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -68,7 +69,8 @@ def main() -> None:
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g",
+                          spark__checkpoint__dir=tempfile.mkdtemp(prefix="parcelle-compare-"))
     spark.sparkContext.setLogLevel("ERROR")
     con, runs, texts = connect(folder), queries(), oracle_sql()
     bad = 0
