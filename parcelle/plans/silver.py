@@ -109,11 +109,19 @@ def income_facts(rows: DataFrame, communes: DataFrame) -> DataFrame:
 
 
 def rent_rows(raw: DataFrame) -> DataFrame:
-    """Rent survey lines with cleaned labels; one of two spellings of the count column."""
+    """Rent survey lines with cleaned labels; one of two spellings of the count column.
+
+    Labels are cleaned once per distinct pair and joined back: the lines
+    themselves never go through Python.
+    """
     count = require_one_of(raw.columns, OBSERVATION_COLUMNS)
-    return raw.where(not_null("Observatory", "agglomeration")).select(
-        text.clean_observatory_code(F.col("Observatory")).alias("observatory_b"),
+    raw = raw.where(not_null("Observatory", "agglomeration"))
+    labels = raw.select("Observatory", "agglomeration").distinct().select(
+        "Observatory", "agglomeration", text.clean_observatory_code(F.col("Observatory")).alias("observatory_b"),
         text.clean_label(F.col("agglomeration")).alias("nom_agglomeration"),
+    )
+    return raw.join(labels, ["Observatory", "agglomeration"]).select(
+        "observatory_b", "nom_agglomeration",
         F.col("Data_year").cast("string").try_cast("int").alias("annee"),
         text.or_default(F.col("Type_habitat"), "Ensemble").alias("type_habitat"),
         text.rooms_label(text.or_default(F.col("nombre_pieces_homogene"), "Tous")).alias("nombre_pieces"),

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.relational import tidy_names, union_by_name
 
 # Encodings tried in turn for survey zoning files.
-ENCODINGS = ("UTF-8", "ISO-8859-1", "windows-1252")
-REPLACEMENT = "�"
+ENCODINGS = ("UTF-8", "ISO-8859-1")
 
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
@@ -54,13 +53,22 @@ def read_delimited(
     )
 
 
-def fitting_encoding(spark: SparkSession, path: str, candidates: Sequence[str] = ENCODINGS) -> str:
-    """The first encoding under which the file holds no undecodable byte."""
-    for encoding in candidates[:-1]:
-        text = spark.read.csv(path, sep="\n", header=False, encoding=encoding, quote="")
-        if text.where(F.concat_ws("", *text.columns).contains(REPLACEMENT)).isEmpty():
-            return encoding
-    return candidates[-1]
+def file_formats(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path, encoding, header) of text files, in one pass over all of them.
+
+    A file that is no UTF-8 is read as ISO-8859-1, which decodes any byte; a
+    third choice would never be reached.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths if isinstance(paths, str) else list(paths))
+    valid = F.is_valid_utf8(F.col("content").cast("string"))
+    text = F.when(valid, F.decode("content", ENCODINGS[0])).otherwise(F.decode("content", ENCODINGS[1]))
+    encoding = F.when(valid, F.lit(ENCODINGS[0])).otherwise(F.lit(ENCODINGS[1]))
+    return files.select("path", encoding.alias("encoding"), F.regexp_extract(text, r"^[^\r\n]*", 0).alias("header"))
+
+
+def fitting_encoding(spark: SparkSession, path: str) -> str:
+    """UTF-8 if all files of the path are, else ISO-8859-1."""
+    return file_formats(spark, path).agg(F.min("encoding")).first()[0] or ENCODINGS[0]
 
 
 def files_under(spark: SparkSession, pattern: str) -> list[str]:
@@ -71,12 +79,15 @@ def files_under(spark: SparkSession, pattern: str) -> list[str]:
 def read_zoning(spark: SparkSession, paths: Sequence[str], observatory: str, sep: str = ";") -> DataFrame:
     """All zoning files of one observatory, tagged with it and with the file's name.
 
-    Each file has its own columns, so each has its own reader; there are a few per
-    observatory.
+    Files of one encoding and header share a reader; the driver sees one small
+    row per file.
     """
+    groups: dict[tuple[str, str], list[str]] = {}
+    for f in file_formats(spark, paths).orderBy("path").collect():
+        groups.setdefault((f.encoding, f.header), []).append(f.path)
     frames = []
-    for path in paths:
-        df = read_delimited(spark, path, sep, fitting_encoding(spark, path))
+    for (encoding, _), same in groups.items():
+        df = read_delimited(spark, same, sep, encoding)
         file_name = F.col("_metadata.file_name").alias("source_file")
         columns = [F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, tidy_names(df.columns))]
         frames.append(df.select(*columns, F.lit(observatory).alias("observatory_b"), file_name))
