@@ -261,3 +261,14 @@ def drop_near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) ->
 def op8_near_dup(spark, folder: str) -> DataFrame:
     x = near_duplicates(numbered(table(spark, folder, "documents")))
     return x.select("doc_id", "n_shingles", F.col("root_id").alias("component_id"), "kept")
+
+
+OP8_SQL = """WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 85 * (p.n + q.n - common)),
+c AS (SELECT doc_id AS node, doc_id AS root FROM d UNION SELECT l.b, c.root FROM c JOIN l ON l.a = c.node WHERE c.root < l.b)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.root AS component_id, doc_id = m.root AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM c GROUP BY node) m ON m.node = doc_id"""

@@ -5,15 +5,21 @@ from __future__ import annotations
 from . import chat, decontam, mixing, near_dup, pages, rules, secrets, substrings, suffix_dedup, toxicity
 
 QUERIES = {
-    "op8_near_dup": near_dup.op8_near_dup,
-    "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
-    "op6_substring_dedup": substrings.op6_substring_dedup,
-    "op3_html_text": pages.op3_html_text,
-    "op9_decontamination": decontam.op9_decontamination,
     "op1_chat_format": chat.op1_chat_format,
     "op2_secrets": secrets.op2_secrets,
+    "op3_html_text": pages.op3_html_text,
+    "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_substring_dedup": substrings.op6_substring_dedup,
     "op7_mixing": mixing.op7_mixing,
+    "op8_near_dup": near_dup.op8_near_dup,
+    "op9_decontamination": decontam.op9_decontamination,
     "op10_quality_rules": rules.op10_quality_rules,
 }
-SQL = {"op9_decontamination": decontam.OP9_SQL, "op1_chat_format": chat.OP1_SQL, "op7_mixing": mixing.OP7_SQL}
+SQL = {
+    "op1_chat_format": chat.OP1_SQL,
+    "op6_substring_dedup": substrings.OP6_SQL,
+    "op7_mixing": mixing.OP7_SQL,
+    "op8_near_dup": near_dup.OP8_SQL,
+    "op9_decontamination": decontam.OP9_SQL,
+}

@@ -74,3 +74,13 @@ def op6_substring_dedup(spark, folder: str) -> DataFrame:
     x = remove_passages(table(spark, folder, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
     return x.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
+OP6_SQL = """WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(w[i:i + 34], ' ')) AS n FROM p) WHERE n > 1),
+x AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept FROM
+  (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d) ANTI JOIN x USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id) USING (doc_id) LEFT JOIN k USING (doc_id)"""
