@@ -259,8 +259,7 @@ def repeated_runs(docs: DataFrame, alphabet: Alphabet, shape: Shape, purpose: st
                 })
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = stored(
-        borders.repartitionByRange(parts, "core", "behind").sortWithinPartitions("core", "behind").mapInPandas(suffixes, kind + ", right int"), f"{purpose}-suffixes")
+    kept = borders.repartitionByRange(parts, "core", "behind").sortWithinPartitions("core", "behind").mapInPandas(suffixes, kind + ", right int")
     single = stored(
         kept.repartitionByRange(parts, "core", "ahead").sortWithinPartitions("core", "ahead").mapInPandas(windows, "core bigint, window bigint, place bigint, copied boolean"),
         f"{purpose}-windows")
