@@ -7,9 +7,9 @@ Ranking by a count of rows meets at most sqrt(2 x rows) distinct values.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,28 @@ def with_rank(df: DataFrame, partition: Sequence[str], value: str, name: str) ->
     )
 
 
+def with_ranks(df: DataFrame, partition: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """Ascending ranks of several columns (result name to value column) in one join; missing values come last.
+
+    For values of few digits, such as rates with one decimal: each partition's
+    distinct values and their ranks travel as one map.
+    """
+    by = list(partition)
+
+    def key(name: Column, value: Column) -> Column:
+        return F.concat_ws("|", name, value.cast("string"))
+
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("_name"), F.col(c).alias("_v")) for n, c in columns.items()]))
+    counted = df.select(*by, cells.alias("_cell")).groupBy(*by, "_cell._name", "_cell._v").agg(F.count(F.lit(1)).alias("_same"))
+    running = Window.partitionBy(*by, "_name").orderBy(F.col("_v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_rank", (F.sum("_same").over(running) - F.col("_same") + 1).cast("int"))
+    maps = ranked.groupBy(*[F.col(c).alias(f"_p_{c}") for c in by]).agg(
+        F.map_from_entries(F.collect_list(F.struct(key(F.col("_name"), F.col("_v")).alias("k"), "_rank"))).alias("_ranks")
+    )
+    placed = df.join(maps, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in by])
+    return placed.withColumns({n: F.element_at("_ranks", key(F.lit(n), F.col(c))) for n, c in columns.items()}).drop("_ranks", *(f"_p_{c}" for c in by))
+
+
 def _with_place(df: DataFrame, partition: Sequence[str], value: str) -> DataFrame:
     by = list(partition)
     counted = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_same"))

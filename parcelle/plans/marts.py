@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import change_pct, exact_round, ratio, tension_band, tension_score
 from ..operators.quantiles import group_stats
-from ..operators.ranking import with_percent_rank, with_rank
+from ..operators.ranking import with_percent_rank, with_ranks
 from ..sources.sinks import materialize
 
 # Thresholds of the marts.
@@ -215,9 +215,7 @@ def inegalites(
         F.col("rent_before").alias("loyer_annee_precedente"),
         F.col("rent_change").alias("evolution_loyer_pct"),
     )
-    for name in PROFILES:
-        table = with_rank(table, ["annee", "type_habitat"], f"taux_effort_{name}_pct", f"rang_accessibilite_{name}")
-    return table
+    return with_ranks(table, ["annee", "type_habitat"], {f"rang_accessibilite_{name}": f"taux_effort_{name}_pct" for name in PROFILES})
 
 
 def write_marts(

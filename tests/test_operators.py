@@ -165,3 +165,10 @@ def test_filters_reach_the_scan(spark, tmp_path):
     df = spark.read.parquet(path).where("surface > 3 and annee = 1").select("surface")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(surface,3.0)" in plan and "PartitionFilters: [isnotnull(annee" in plan and "unused" not in plan.split("ReadSchema")[1]
+
+
+def test_several_ranks_at_once(spark):
+    rows = [("a", 1.5, None), ("a", 1.5, 2.0), ("a", 0.1, 2.0), ("a", None, 1.0), (None, 3.0, 1.0), (None, 3.0, 0.5)]
+    got = ranking.with_ranks(spark.createDataFrame(rows, "k string, x double, y double"), ["k"], {"rx": "x", "ry": "y"}).collect()
+    assert {tuple(r) for r in got} == {
+        ("a", 1.5, None, 2, 4), ("a", 1.5, 2.0, 2, 2), ("a", 0.1, 2.0, 1, 2), ("a", None, 1.0, 4, 1), (None, 3.0, 1.0, 1, 2), (None, 3.0, 0.5, 1, 1)}
