@@ -258,10 +258,11 @@ def repeated_runs(docs: DataFrame, alphabet: Alphabet, shape: Shape, purpose: st
                     "place": np.repeat(part["place"].to_numpy(), count) + step, "copied": np.repeat(part["copied"].to_numpy(), count),
                 })
 
+    # The place only splits equal contents over partitions; their order does not matter.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = borders.repartitionByRange(parts, "core", "behind").sortWithinPartitions("core", "behind").mapInPandas(suffixes, kind + ", right int")
+    kept = borders.repartitionByRange(parts, "core", "behind", "place").sortWithinPartitions("core", "behind").mapInPandas(suffixes, kind + ", right int")
     single = stored(
-        kept.repartitionByRange(parts, "core", "ahead").sortWithinPartitions("core", "ahead").mapInPandas(windows, "core bigint, window bigint, place bigint, copied boolean"),
+        kept.repartitionByRange(parts, "core", "ahead", "place").sortWithinPartitions("core", "ahead").mapInPandas(windows, "core bigint, window bigint, place bigint, copied boolean"),
         f"{purpose}-windows")
     met = stored(single.groupBy("core", "window").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("rows")).filter("rows > 1"), f"{purpose}-met")
     again = single.join(met.select("core", "window", "lead"), ["core", "window"])
