@@ -10,7 +10,8 @@ pass such tests by chance more often than long ones, so the threshold is set
 per encoding and length band: each token has a decoy, the ordinary characters
 just before it, equally many, put through the same tests; the lowest threshold
 at which the decoys that pass are at most ``max_fdr`` of the tokens that pass
-is taken, or none.
+is taken, or none. Candidate tokens and matches of the fixed patterns are no
+ordinary characters, so lists of keys do not become their own decoys.
 """
 
 from __future__ import annotations
@@ -88,6 +89,25 @@ def _found(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), place)).otherwise(none)
 
 
+def _overwritten(text: Column, pattern: str, mark: str, keep=None) -> Column:
+    """The text with every match (that keep accepts) replaced by as many marks, so that places stay."""
+    def over(matches: Column) -> Column:
+        marks = F.transform(matches, lambda m: F.when(F.lit(True) if keep is None else keep(m), F.repeat(F.lit(mark), F.length(m))).otherwise(m))
+        return F.array_join(F.zip_with(F.split(text, pattern, -1), F.concat(marks, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
+
+    return F.when(text.rlike(pattern), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), over)).otherwise(text)
+
+
+def _ordinary(text: Column) -> Column:
+    """The text with fixed-pattern matches and all candidate tokens overwritten, places unchanged.
+
+    Access keys and hex runs are parts of candidate tokens. The mark of the
+    first step belongs to tokens, so a token that an assignment cuts stays one run.
+    """
+    long_value = lambda m: F.length(F.regexp_extract(m, ASSIGN, 1)) >= LEAST_VALUE
+    return _let(_overwritten(text, ASSIGN, "-", long_value), lambda t: _overwritten(t, TOKEN, " "))
+
+
 def _kind(found: Column, number: int, keep) -> Column:
     spans = F.transform(F.filter(found, keep), lambda m: F.struct(m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end")))
     return spans.cast(f"array<{_SPAN}>")
@@ -157,7 +177,10 @@ def _randomness(token: Column, encoding: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Tokens of an encoding: array of (start, end, encoding, band, p, decoy); decoy is null where too little text precedes."""
+    """Tokens of an encoding: array of (start, end, encoding, band, p, decoy).
+
+    decoy is null where too little ordinary text is in the three lengths before the token.
+    """
     def encoding(token: Column) -> Column:
         return reduce(lambda out, e: F.when(token.rlike(e[1][1]), F.lit(e[0])).otherwise(out), reversed(list(enumerate(ENCODINGS))), F.lit(None).cast("int"))
 
@@ -165,9 +188,9 @@ def tokens(text: Column) -> Column:
         F.transform(_found(text, TOKEN), lambda m: F.struct(m["match"].alias("match"), m["start"].alias("start"), m["end"].alias("end"), encoding(m["match"]).alias("encoding"))),
         lambda m: m["encoding"].isNotNull())
 
-    def tested(m: Column) -> Column:
+    def tested(m: Column, ordinary: Column) -> Column:
         n = F.length(m["match"])
-        lead = F.substring(text, F.greatest(F.lit(1), m["start"].cast("int") + 1 - 3 * n), F.least(3 * n, m["start"].cast("int")))
+        lead = F.substring(ordinary, F.greatest(F.lit(1), m["start"].cast("int") + 1 - 3 * n), F.least(3 * n, m["start"].cast("int")))
         plain = F.regexp_replace(lead, "[^A-Za-z0-9]", "")
         decoy = F.when(F.length(plain) >= n, F.right(plain, n))
         return F.struct(
@@ -175,7 +198,7 @@ def tokens(text: Column) -> Column:
             F.least(F.lit(BANDS), F.floor(F.log2(n.cast("double"))).cast("int")).alias("band"),
             _randomness(m["match"], m["encoding"]).alias("p"), _randomness(decoy, m["encoding"]).alias("decoy"))
 
-    return F.transform(marked, tested)
+    return _let(_ordinary(text), lambda ordinary: F.transform(marked, lambda m: tested(m, ordinary)))
 
 
 def thresholds(tested: DataFrame, max_fdr: float = 0.05) -> DataFrame:
