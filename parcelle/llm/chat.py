@@ -78,6 +78,13 @@ def masked_text(formatted: str, starts, ends, mask) -> str:
     return "".join(parts)
 
 
+def masked_runs(formatted: str, starts, ends, mask) -> list[str]:
+    """The masked text of each run of the mask: control tokens between turns are not masked, so of each trained text that is not empty."""
+    starts, ends, mask = np.asarray(starts), np.asarray(ends), np.asarray(mask, bool)
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
+    return [masked_text(formatted, starts[a:b], ends[a:b], mask[a:b]) for a, b in zip(edge[::2], edge[1::2])]
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(definition: str):
     from tokenizers import AddedToken, Tokenizer
@@ -125,12 +132,15 @@ def format_chats(turns: DataFrame, tokenizer: str = TOKENIZER, trained=TRAINED)
 
 
 def read_back(chats: DataFrame) -> DataFrame:
-    """conv_id, turns (role, text) and loss_text, from the formatted text, the offsets and the mask alone."""
+    """conv_id, turns (role, text) and loss_text, from the formatted text, the offsets and the mask alone.
+
+    Texts were escaped one by one, so they are unescaped one by one.
+    """
     @F.pandas_udf("turns array<struct<role:string,text:string>>, loss_text string")
     def read(formatted: pd.Series, starts: pd.Series, ends: pd.Series, mask: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({
             "turns": [[{"role": r, "text": t} for r, t in parse(f)] for f in formatted],
-            "loss_text": [unescape(masked_text(f, a, b, np.asarray(m, bool))) for f, a, b, m in zip(formatted, starts, ends, mask)],
+            "loss_text": ["".join(map(unescape, masked_runs(f, a, b, m))) for f, a, b, m in zip(formatted, starts, ends, mask)],
         })
 
     return chats.withColumn("r", read("formatted", "starts", "ends", "loss_mask")).select(

@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from parcelle.llm import secrets
+from parcelle.llm import chat, secrets
 
 from .helpers import documents
 
@@ -43,3 +43,13 @@ def test_decoys_are_ordinary_text(spark):
                 want = want[:m.start()] + " " * len(m[0]) + want[m.end():]
         assert r["o"].replace("-", " ") == want
         assert [t["decoy"] is None for t in r["t"]] == ([True] * 5, [False], [False, False], [], [])[r["doc_id"]]
+
+
+# chat
+
+def test_texts_are_unescaped_one_by_one(spark):
+    seams = [("a <", "|b"), ("a <\\", "|b"), ("<", "\\|b"), ("x <\\\\", "\\|<|"), ("<", "")]
+    rows = [(c, t, "assistant", text) for c, pair in enumerate(seams) for t, text in enumerate((*pair, "|end"))]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r["conv_id"]: r["loss_text"] for r in chat.read_back(chat.format_chats(frame)).collect()}
+    assert got == {c: "".join(pair) + "|end" for c, pair in enumerate(seams)}
