@@ -23,14 +23,15 @@ from .common import table
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|object|select|textarea|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|svg|iframe|object|select|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(title)\b[^>]*>.*?</title\s*>"
     r"|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
     re.S | re.I,
 )
-_HINT = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_HINTS = frozenset(("class", "id", "role"))
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 _SENTENCE = re.compile(r"[.!?…:;,](?:\s|$)")
 
@@ -39,6 +40,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub"
     " sup time tt u var wbr".split())
+MATH = frozenset(
+    "annotation annotation-xml maction math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms"
+    " mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+INLINE |= MATH
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr"
     " li main menu nav ol p pre section table tbody td th thead tr ul".split())
@@ -59,6 +64,13 @@ HEADING, ITEM, REGION, WORDS = 0.6, -0.8, 6.0, 4.0
 ADJACENT, SIBLING, DISTANT = 0.8, 0.6, 0.15
 
 
+def is_hidden(pairs: list[tuple[str, str]]) -> bool:
+    """True by the attributes' names, or by the values of aria-hidden and style; words in other values do not count."""
+    return any(
+        name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NO_DISPLAY.search(value)
+        for name, value in pairs)
+
+
 @dataclass
 class Block:
     text: str
@@ -143,15 +155,16 @@ def blocks(page: str) -> list[Block]:
             region = -REGION
         elif name in CONTENT_TAGS and region >= 0:
             region = REGION
-        if attributes:
-            words = " ".join(a or b or c for a, b, c in _HINT.findall(attributes))
+        pairs = [(n.lower(), a or b or c) for n, a, b, c in _ATTRIBUTE.findall(attributes)] if attributes else []
+        if pairs:
+            words = " ".join(value for n, value in pairs if n in _HINTS)
             if words:
                 if BOILER_WORDS.search(words):
                     region = min(region, -WORDS) if name not in CONTENT_TAGS else region
                 elif CONTENT_WORDS.search(words) and region == 0:
                     region = WORDS
-        hidden = stack[-1][3] or bool(attributes) and bool(_HIDDEN.search(attributes))
-        if not attributes.endswith("/") or name in INLINE or name in CLOSES_P:
+        hidden = stack[-1][3] or is_hidden(pairs)
+        if not attributes.endswith("/") or name in INLINE - MATH or name in CLOSES_P:
             stack.append((name, region, serial, hidden, stack[-1][4] + (name == "a")))
     add(page[at:])
     flush()

@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from parcelle.llm import chat, secrets
+from parcelle.llm import chat, pages, secrets
 
 from .helpers import documents
 
@@ -53,3 +53,18 @@ def test_texts_are_unescaped_one_by_one(spark):
     frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     got = {r["conv_id"]: r["loss_text"] for r in chat.read_back(chat.format_chats(frame)).collect()}
     assert got == {c: "".join(pair) + "|end" for c, pair in enumerate(seams)}
+
+
+# pages
+
+def test_hidden_is_an_attribute_and_no_word_of_a_value():
+    page = "<article><p>Before it, <span {}>the middle part</span> and after it.</p></article>"
+    for shown in ('title="what is hidden here"', "alt='hidden'", 'data-a="x hidden"', 'data-b=" aria-hidden=true display:none"', "data-hidden", 'title="class=menu"', "title=a/hidden"):
+        assert pages.main_text(page.format(shown)) == "Before it, the middle part and after it.", shown
+    for gone in ("hidden", "HIDDEN=''", 'title="a b" hidden', "class=x hidden=until-found", 'aria-hidden="true"', "aria-hidden = true", 'style="color:red; display : none"'):
+        assert pages.main_text(page.format(gone)) == "Before it, and after it.", gone
+
+
+def test_text_of_formulas_stays():
+    page = "<article><p>The sum <math display=block><mrow><mi>a</mi><mo>+</mo><mspace hidden/><mn>1</mn></mrow></math> is known, as said.</p></article>"
+    assert pages.main_text(page) == "The sum a+1 is known, as said."
