@@ -122,7 +122,9 @@ def learn(
     min_docs texts of the sample, or whose presence says little about the label
     (G below min_g), are left out, so rare words are not learned by heart; the
     driver gets the terms that remain, and their places in the texts. Rows with
-    null ids or labels are not used; a repeated label counts as its maximum.
+    null ids or labels are not used; a repeated label counts as its maximum. Of
+    the rows of a repeated id the one of the least text hash (then the least
+    text) is used, chosen on the executors, so the bound holds for rows too.
     """
     marked = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("y")).filter(~held_out())
     counts = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
@@ -135,7 +137,8 @@ def learn(
 
     sample = stored(
         docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))  # bounded by the two parameters
-        .select("doc_id", "y", hashed("text").alias("terms")), "terms")
+        .groupBy(F.col("id").alias("doc_id"), "y").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+        .select("doc_id", "y", hashed("least.text").alias("terms")), "terms")
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     seen = sample.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("a"), F.count("y").alias("n")).filter(F.col("n") >= min_docs)
@@ -146,8 +149,7 @@ def learn(
     def places(found: pd.Series) -> pd.Series:
         return found.map(lambda t: np.flatnonzero(np.isin(keys, t)).astype(np.int32))
 
-    rows = sample.select("doc_id", "y", places("terms").alias("at")).toPandas()
-    rows = rows.assign(first=rows["at"].map(lambda t: (len(t), *t[:8]))).sort_values(["doc_id", "first"], kind="stable")
+    rows = sample.select("doc_id", "y", places("terms").alias("at")).toPandas().sort_values("doc_id")
     total = sum(counts.values())
     return fit_machine(
         keys, [np.asarray(t, np.int64) for t in rows["at"]], rows["y"].to_numpy(), counts.get(1, 0) / total if total else 0.0, **options)

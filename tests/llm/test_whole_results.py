@@ -3,11 +3,12 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from parcelle.llm import chat, pages, secrets
+from parcelle.llm import chat, pages, secrets, toxicity
 
-from .helpers import documents
+from .helpers import documents, words
 
 PROSE = "The quick brown fox jumps over the lazy dog while seventeen other animals of the forest are watching it from afar. " * 3
 
@@ -68,3 +69,20 @@ def test_hidden_is_an_attribute_and_no_word_of_a_value():
 def test_text_of_formulas_stays():
     page = "<article><p>The sum <math display=block><mrow><mi>a</mi><mo>+</mo><mspace hidden/><mn>1</mn></mrow></math> is known, as said.</p></article>"
     assert pages.main_text(page) == "The sum a+1 is known, as said."
+
+
+# toxicity
+
+def test_sample_has_one_row_for_each_id(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [words(rng, 40) + (" awful" if i % 5 == 0 else "") for i in range(200)]
+    more = [words(rng, 40) for _ in range(300)]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    same = docs.union(documents(spark, more).withColumn("doc_id", F.lit(2).cast("bigint"))).union(docs)
+    sizes = []
+    fit = toxicity.fit_machine
+    monkeypatch.setattr(toxicity, "fit_machine", lambda keys, at, *rest, **options: sizes.append(len(at)) or fit(keys, at, *rest, **options))
+    machines = [toxicity.learn(x, labels, epochs=2) for x in (docs, same, same.repartition(7))]
+    assert sizes[0] == sizes[1] == sizes[2] < 200
+    assert machines[1].keys.tolist() == machines[2].keys.tolist() and np.allclose(machines[1].w, machines[2].w)
