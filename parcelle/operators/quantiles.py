@@ -1,9 +1,10 @@
 """Exact interpolated percentiles for groups of any size, in one lazy plan.
 
-Values fall into slots by a fixed function that keeps their order. Slots are
-counted per group, which combines in the tasks; the counts tell which slot holds
-a wanted rank; only the values of those slots are counted and sorted. No group is
-gathered: a slot is a band of about one percent around a value.
+A wanted rank is found in three levels (``levels``): the values are counted by
+wide range, those of the ranges that hold a wanted rank by narrow range, and
+those of the narrow ranges that hold it one by one. Counts combine in the tasks.
+No group and no range is gathered: a level's running sum meets one row per
+range or value, whose number has a bound that does not grow with the table.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Slots for each doubling of a value.
-SLOTS = 64
+from .levels import NARROW, WIDE, image, within
 
 Quantiles = Mapping[str, tuple[str, float]]  # result column -> (value column, fraction)
 
@@ -32,12 +32,6 @@ def overall_stats(df: DataFrame, quantiles: Quantiles, aggs: Sequence[Column] =
     return _add_selected(one, df.withColumn("_all", F.lit(1)), ["_all"], quantiles).drop("_all")
 
 
-def slot(value: Column) -> Column:
-    """Number of the band that holds a value; larger values never have a lower one, and NaN the highest."""
-    band = F.floor(F.log2(1 + F.abs(value)) * SLOTS)
-    return F.when(F.isnan(value), F.lit(2**63 - 1)).when(value < 0, -band).otherwise(band)
-
-
 def _interpolated(low: Column, high: Column, position: Column) -> Column:
     return low + (position - F.floor(position)) * (high - low)
 
@@ -55,34 +49,36 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def select_percentiles(df: DataFrame, keys: Sequence[str], quantiles: Quantiles) -> DataFrame:
-    """Percentiles of any number of value columns: one pass to count slots, one to count the values of the chosen slots."""
+    """Percentiles of any number of value columns, all in the same three passes; NaN is the highest value.
+
+    Rows meet the chosen ranges of a level by group and wide range, so where the
+    groups are too many to be broadcast the passes share one shuffle.
+    """
     values = list(dict.fromkeys(c for c, _ in quantiles.values()))
     keys, by = list(keys), [*keys, "_c"]
     cells = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(values)]))
-    rows = df.select(*keys, cells.alias("_cell")).select(*keys, "_cell._c", "_cell._v").where("_v is not null").withColumn("_slot", slot(F.col("_v")))
-
-    in_order = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    slots = rows.groupBy(*by, "_slot").agg(F.count(F.lit(1)).alias("_size")).withColumns({
-        "_before": F.sum("_size").over(in_order) - F.col("_size"), "_n": F.sum("_size").over(Window.partitionBy(*by)),
-    })
+    rows = (
+        df.select(*keys, cells.alias("_cell")).select(*keys, "_cell._c", (F.col("_cell._v") + 0.0).alias("_v")).where("_v is not null")
+        .withColumn("_image", image(F.col("_v"))).withColumn("_wide", within(F.col("_image"), WIDE))
+    )
     number = {c: i for i, c in enumerate(values)}
     position = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, (_, p) in quantiles.items()}
     ranks = F.array_distinct(F.flatten(F.array(*[
         F.when(F.col("_c") == number[c], F.array(F.floor(position[name]), F.ceil(position[name]))).otherwise(F.array().cast("array<bigint>"))
         for name, (c, _) in quantiles.items()])))
-    chosen = slots.withColumn(
-        "_ranks", F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size")))
-    ).where(F.size("_ranks") > 0).drop("_size")
 
-    counted = (
-        _null_safe_join(rows, chosen, [*by, "_slot"], "inner")
-        .groupBy(*by, "_slot", "_n", "_before", "_ranks", "_v").agg(F.count(F.lit(1)).alias("_times"))
-    )
-    in_slot = Window.partitionBy(*by, "_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("_before") + F.sum("_times").over(in_slot)
-    hits = counted.withColumn("_end", end).withColumn(
-        "_rank", F.explode(F.filter("_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_times"))))
-    )
+    wide = rows.groupBy(*by, "_wide").agg(F.count(F.lit(1)).alias("_size"))
+    wide = wide.withColumn("_n", F.sum("_size").over(Window.partitionBy(*by))).withColumns({"_base": F.lit(0).cast("long"), "_ranks": ranks})
+    first = F.shiftleft("_wide", WIDE)
+    chosen = _holding(wide, by, "_wide").withColumns({"_from": first, "_to": first + ((1 << WIDE) - 1)})
+
+    narrow = _inside(rows, chosen, by).groupBy(*by, "_wide", "_n", "_base", "_ranks", within(F.col("_image"), NARROW).alias("_narrow")).agg(
+        F.count(F.lit(1)).alias("_size"))
+    first = F.shiftleft("_narrow", NARROW)
+    chosen = _holding(narrow, [*by, "_wide"], "_narrow").withColumns({"_from": first, "_to": first + ((1 << NARROW) - 1)}).drop("_narrow")
+
+    single = _inside(rows, chosen, by).groupBy(*by, "_wide", "_n", "_base", "_ranks", "_from", "_v").agg(F.count(F.lit(1)).alias("_size"))
+    hits = _holding(single, [*by, "_wide", "_from"], "_v").withColumn("_rank", F.explode("_ranks"))
 
     def at(name: str, rank: Column) -> Column:
         return F.max(F.when((F.col("_c") == number[quantiles[name][0]]) & (F.col("_rank") == rank), F.col("_v")))
@@ -95,3 +91,17 @@ def select_percentiles(df: DataFrame, keys: Sequence[str], quantiles: Quantiles)
         )
     ))
     return found.select(*keys, *(_interpolated(F.col(f"_low_{n}"), F.col(f"_high_{n}"), F.col(f"_at_{n}")).alias(n) for n in quantiles))
+
+
+def _holding(counts: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """The counted ranges that hold a wanted rank, with those ranks; ``_base`` becomes the number of values before the range."""
+    running = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_end", F.col("_base") + F.sum("_size").over(running)).withColumn("_base", F.col("_end") - F.col("_size"))
+    held = F.filter("_ranks", lambda r: (r >= F.col("_base")) & (r < F.col("_end")))
+    return placed.withColumn("_ranks", held).where(F.size("_ranks") > 0).drop("_size", "_end")
+
+
+def _inside(rows: DataFrame, chosen: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows beside the chosen range they lie in; the bounds are no join keys, so every level deals rows out alike."""
+    joined = _null_safe_join(rows, chosen, [*by, "_wide"], "inner")
+    return joined.where((F.col("_image") >= F.col("_from")) & (F.col("_image") <= F.col("_to")))

@@ -2,12 +2,15 @@
 
 The ledger is a table of events; nothing is updated in place. A source is done
 once it has a ``success`` event; ``running`` and ``error`` mean it is tried again.
+``EventLog`` keeps them in a shared folder, so that a run that is killed leaves
+its ``running`` events behind.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,33 @@ def append(ledger: DataFrame, *events: DataFrame) -> DataFrame:
     return ledger
 
 
+class EventLog:
+    """Events as files of a folder: an append is one committed write, and a read sees all committed ones.
+
+    The plan of a read is one scan, however many events were appended.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def read(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(COLUMNS).parquet(self.folder)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], COLUMNS)
+
+    def append(self, events: DataFrame) -> None:
+        names = [f.name for f in self.spark.createDataFrame([], COLUMNS).schema]
+        events.select(*names).hint("rebalance").write.mode("append").parquet(self.folder)
+
+    def record(self, source: str, status: str, started: datetime, rows: int | None = None, error: str | None = None) -> None:
+        """One event; all but ``running`` end now."""
+        finished = None if status == RUNNING else datetime.now()
+        self.append(event(self.spark, source, status, started, rows, finished, error))
+
+
 def latest_status(ledger: DataFrame) -> DataFrame:
     """Current state per source: a finished event outranks the start it answers."""
     when = F.struct("started_at", F.coalesce("finished_at", F.lit(datetime(1970, 1, 1)).cast("timestamp")))

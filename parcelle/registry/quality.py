@@ -114,6 +114,24 @@ def dq_bronze_nonempty(s: Star):
     return readers.file_report(s.spark, path, expected, folder)
 
 
+@q("""SELECT 'zoning ' || r_name AS source, count(code_insee) > 0 AS present, count(code_insee) > 0 AS usable
+    FROM region LEFT JOIN g_communes ON reg = r_name GROUP BY r_name
+    UNION ALL SELECT 'archive', true, true UNION ALL SELECT 'empty', true, false UNION ALL SELECT 'ABSENT', false, false""")
+def dq_source_files(s: Star):
+    """Zoning text by region, a compressed archive and an empty file landed; one expected source never arrived."""
+    path = shared_folder(s.spark, "landed")
+    folders = s.communes.select(F.concat_ws(";", "code_insee", "nom_commune").alias("line"), F.concat(F.lit("zoning "), "reg").alias("source"))
+    folders.write.partitionBy("source").text(f"{path}/zoning")
+    s.units.select(F.concat_ws(";", "uu2020", "nom_uu")).coalesce(1).write.option("compression", "gzip").text(f"{path}/archive")
+    s.units.select("nom_uu").where("false").coalesce(1).write.text(f"{path}/empty")
+    names = s.table("region").select(F.concat(F.lit("zoning "), "r_name").alias("source"))
+    zoning = names.withColumn("source", F.concat(F.lit("source="), "source"))
+    others = s.spark.createDataFrame([("archive",), ("empty",), ("ABSENT",)], "source string")
+    found = readers.source_report(s.spark, f"{path}/zoning", zoning).withColumn("source", F.substring_index("source", "=", -1))
+    found = found.unionByName(readers.source_report(s.spark, path, others))
+    return found.select("source", (F.col("files") > 0).alias("present"), "usable")
+
+
 @q("""SELECT annee, count(*) AS n FROM g_prices WHERE annee NOT IN (2021, 2022, 2023, 2024, 2025) GROUP BY 1""")
 def dq_accepted_values(s: Star):
     return quality.unexpected_values(s.gold.prices, "annee", quality.PRICE_YEARS)
@@ -202,7 +220,10 @@ def ledger_append(s: Star):
         Star.source_name().alias("source"), F.lit("error").alias("status"), F.lit(None).cast("bigint").alias("rows_loaded"),
         at.alias("started_at"), at.alias("finished_at"), F.lit("failed").alias("error_msg"),
     )
-    state = ledger.latest_status(ledger.append(s.ledger, failed))
+    log = ledger.EventLog(s.spark, shared_folder(s.spark, "ledger"))
+    log.append(s.ledger)
+    log.append(failed)
+    state = ledger.latest_status(log.read())
     return state.join(failed.select("source"), "source", "left_semi")
 
 

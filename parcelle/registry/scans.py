@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_round
-from ..operators.relational import insert_ignore, union_by_name, upsert
+from ..operators.relational import union_by_name
 from ..plans import marts
 from ..plans.dashboard import ad_hoc
 from ..session import shared_folder
 from ..sources import readers, sinks
+from ..sources.keyed import KeyedTable
 from ..sources.starschema import YEAR_FLOOR, Star, code5
 from .base import Section, pad, rnd
 
 QUERIES = q = Section()
+#: Buckets of the keyed tables.
+BUCKETS = 8
 
 SALES_BY_YEAR = f"""SELECT annee, type_local, count(*) AS n, {rnd('sum(valeur_fonciere)', 2)} AS total
     FROM g_sales GROUP BY ALL"""
@@ -40,9 +43,13 @@ def scan_hive_partitioned(s: Star):
 @q("""SELECT DISTINCT annee FROM (SELECT annee FROM g_sales UNION ALL SELECT annee FROM g_rents
     UNION ALL SELECT annee FROM g_incomes)""")
 def detect_years(s: Star):
-    # The type column stands for folder names that are no year.
-    not_years = s.sales.select(F.col("type_local").alias("annee"))
-    return readers.years_in(s.sales, s.rents, s.incomes, not_years)
+    """Years of three sources landed by year, from the folders' names; the sale types stand for folders that are no year."""
+    path = shared_folder(s.spark, "landed")
+    not_years = s.sales.select(F.col("type_local").alias("annee")).distinct()
+    for name, source in {"sales": s.sales, "rents": s.rents, "incomes": s.incomes}.items():
+        years = source.select(F.col("annee").cast("string")).distinct().union(not_years)
+        years.withColumn("landed", F.lit(True)).write.partitionBy("annee").parquet(f"{path}/{name}")
+    return readers.years_in_folder(s.spark, path)
 
 
 @q("SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL")
@@ -128,7 +135,10 @@ def sink_truncate_load(s: Star):
 def sink_insert_ignore(s: Star):
     old = s.communes.where("reg <> 'ASIA'").select("code_insee", "nom_commune", F.lit(False).alias("fresh"))
     new = s.communes.select("code_insee", F.upper("nom_commune").alias("nom_commune"), F.lit(True).alias("fresh"))
-    return insert_ignore(old, new, ["code_insee"])
+    table = KeyedTable(s.spark, shared_folder(s.spark, "keyed"), old.schema, ["code_insee"], BUCKETS)
+    table.insert_ignore(old)
+    table.insert_ignore(new)
+    return table.read()
 
 
 @q(f"""SELECT coalesce(o.code_insee, n.code_insee) AS code_insee, coalesce(o.name, n.name) AS name,
@@ -143,7 +153,10 @@ def sink_upsert_update(s: Star):
     )
     code = F.when(F.col("code_insee").rlike("^.{4}[05]"), F.concat(F.lit("N"), "code_insee")).otherwise(F.col("code_insee"))
     new = s.sales.groupBy(code.alias("code_insee")).agg(F.max("valeur_fonciere").alias("score")).withColumn("name", F.lit("from sales"))
-    return upsert(old, new.select("code_insee", "name", "score"), ["code_insee"], keep=["name"])
+    table = KeyedTable(s.spark, shared_folder(s.spark, "keyed"), old.schema, ["code_insee"], BUCKETS)
+    table.insert_ignore(old)
+    table.upsert(new, keep=["name"])
+    return table.read()
 
 
 @q("SELECT code_insee, reg FROM g_communes")

@@ -54,16 +54,21 @@ def read_delimited(
 
 
 def file_formats(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(path, encoding, header) of text files, in one pass over all of them.
+    """(path, encoding, header) of text files with a line, in one pass over the lines of all of them.
 
     A file that is no UTF-8 is read as ISO-8859-1, which decodes any byte; a
-    third choice would never be reached.
+    third choice would never be reached. Lines are read as their bytes, and no
+    character of either encoding holds the byte of a line end, so files are
+    split like any text and none is held whole. The header is the first line of
+    the split that begins the file.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths if isinstance(paths, str) else list(paths))
-    valid = F.is_valid_utf8(F.col("content").cast("string"))
-    text = F.when(valid, F.decode("content", ENCODINGS[0])).otherwise(F.decode("content", ENCODINGS[1]))
-    encoding = F.when(valid, F.lit(ENCODINGS[0])).otherwise(F.lit(ENCODINGS[1]))
-    return files.select("path", encoding.alias("encoding"), F.regexp_extract(text, r"^[^\r\n]*", 0).alias("header"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths if isinstance(paths, str) else list(paths))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())  # order of the lines of a file
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line"), F.is_valid_utf8("value").alias("valid"), place.alias("place"))
+    files = lines.groupBy("path").agg(F.bool_and("valid").alias("valid"), F.min_by("line", "place").alias("first"))
+    encoding = F.when(F.col("valid"), F.lit(ENCODINGS[0])).otherwise(F.lit(ENCODINGS[1]))
+    header = F.when(F.col("valid"), F.decode("first", ENCODINGS[0])).otherwise(F.decode("first", ENCODINGS[1]))
+    return files.select("path", encoding.alias("encoding"), header.alias("header"))
 
 
 def fitting_encoding(spark: SparkSession, path: str) -> str:
@@ -109,3 +114,25 @@ def file_report(spark: SparkSession, path: str, expected: DataFrame, name: Colum
     )
     rows = F.coalesce(F.col("row_count"), F.lit(0))
     return expected.join(found, "file_name", "left").select("file_name", rows.alias("row_count"), (rows > 0).alias("usable"))
+
+
+def source_report(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
+    """(source, files, bytes, empty_files, usable) for each expected source, from file names and sizes alone.
+
+    A source is a folder under ``root``, with files of any format at any depth.
+    It is usable if it has a file and no file is empty; one without a folder has
+    no files. No file is opened. Readers leave empty files out, so those are the
+    listed names beyond the files that a reader sees; the driver has the names
+    from listing the folder.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+
+    def source(path: Column) -> Column:
+        return F.substring_index(F.substring_index(path, f"/{root.rstrip('/').rsplit('/', 1)[-1]}/", -1), "/", 1).alias("source")
+
+    names = spark.createDataFrame([(name,) for name in reader.inputFiles()], "path string").select(source(F.url_decode("path")))
+    named = names.groupBy("source").agg(F.count(F.lit(1)).alias("files"))
+    seen = reader.select(source(F.col("path")), "length").groupBy("source").agg(F.count(F.lit(1)).alias("seen"), F.sum("length").alias("bytes"))
+    found = expected.select("source").join(named, "source", "left").join(seen, "source", "left")
+    files, filled, size = (F.coalesce(c, F.lit(0).cast("long")) for c in ("files", "seen", "bytes"))
+    return found.select("source", files.alias("files"), size.alias("bytes"), (files - filled).alias("empty_files"), ((files > 0) & (files == filled)).alias("usable"))

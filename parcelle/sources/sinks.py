@@ -6,10 +6,11 @@ none; ``publish`` keeps the old content until the new one is complete.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -35,11 +36,28 @@ def _by_partition(df: DataFrame, by: str):
     return df.hint("rebalance", by).write.mode("overwrite").partitionBy(by)
 
 
-def publish(df: DataFrame, name: str, folder: str) -> None:
-    """A new version beside the old one, then the table points to it: a failed write changes nothing."""
-    spark, path = df.sparkSession, f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM parquet.`{path}`")
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store Spark writes to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _folders(spark: SparkSession, folder: str) -> list[str]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return [s.getPath().getName() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place) if s.isDirectory()]
+
+
+def publish(df: DataFrame, name: str, folder: str, keep: int = 2) -> None:
+    """A new version beside the old one, then the table points to it: a failed write changes nothing.
+
+    Of the versions under ``folder`` the last ``keep`` stay, so that a reader of
+    the version before can finish.
+    """
+    spark, version = df.sparkSession, f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{folder}/{version}")
+    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM parquet.`{folder}/{version}`")
+    for old in sorted(_folders(spark, folder))[:-keep]:
+        remove_folder(spark, f"{folder}/{old}")
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:

@@ -13,7 +13,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -61,25 +61,47 @@ def load_pending_years(
     or ``error`` with the reason; a file that failed is tried again next time,
     and the others are still loaded. Read the table with ``loaded_sales``.
     """
-    years = years_in_folder(spark, source)
-    name = F.concat(F.lit("silver.fact_transactions_"), F.col("annee").cast("string")).alias("source")
-    due = ledger.pending(years.select("annee", name), log).orderBy("annee").collect()  # one row per file year
-    for file in due:
+    for file in _due(spark, source, log):
         started = datetime.now()
         log = ledger.append(log, ledger.event(spark, file.source, ledger.RUNNING, started))
-        try:
-            # The partition column is the file's year; the cleaned table has the sale's own.
-            raw = read_years(spark, source, [file.annee]).drop("annee")
-            part = f"{target}/file_year={file.annee}"
-            fact_transactions(raw, communes).write.mode("overwrite").parquet(part)
-            rows = spark.read.parquet(part).count()
-            done = ledger.event(spark, file.source, ledger.SUCCESS, started, rows, datetime.now())
-        except (PySparkException, Py4JJavaError) as error:
-            done = ledger.event(spark, file.source, ledger.ERROR, started, None, datetime.now(), str(error)[:500])
-        log = ledger.append(log, done)
+        status, rows, reason = _loaded(spark, source, file.annee, communes, target)
+        log = ledger.append(log, ledger.event(spark, file.source, status, started, rows, datetime.now(), reason))
     return log
 
 
+def load_logged_years(spark: SparkSession, source: str, communes: DataFrame, target: str, log: ledger.EventLog) -> None:
+    """As ``load_pending_years``, with every event written to the log at once.
+
+    ``running`` is on disk before a file is touched. If the driver is killed, the
+    next run finds the file without success and loads it anew; the half-written
+    partition is overwritten.
+    """
+    for file in _due(spark, source, log.read()):
+        started = datetime.now()
+        log.record(file.source, ledger.RUNNING, started)
+        status, rows, reason = _loaded(spark, source, file.annee, communes, target)
+        log.record(file.source, status, started, rows, reason)
+
+
+def _due(spark: SparkSession, source: str, log: DataFrame) -> list[Row]:
+    """Yearly files without success, as (annee, source); one row per file year."""
+    years = years_in_folder(spark, source)
+    name = F.concat(F.lit("silver.fact_transactions_"), F.col("annee").cast("string")).alias("source")
+    return ledger.pending(years.select("annee", name), log).orderBy("annee").collect()
+
+
+def _loaded(spark: SparkSession, source: str, year: int, communes: DataFrame, target: str) -> tuple[str, int | None, str | None]:
+    """Cleans one yearly file into its partition; (status, rows, reason)."""
+    try:
+        # The partition column is the file's year; the cleaned table has the sale's own.
+        raw = read_years(spark, source, [year]).drop("annee")
+        part = f"{target}/file_year={year}"
+        fact_transactions(raw, communes).write.mode("overwrite").parquet(part)
+        return ledger.SUCCESS, spark.read.parquet(part).count(), None
+    except (PySparkException, Py4JJavaError) as error:
+        return ledger.ERROR, None, str(error)[:500]
+
+
 def loaded_sales(spark: SparkSession, target: str) -> DataFrame:
     """The sales of all loaded files; a sale that two files hold counts once, as in a full load."""
     held = spark.read.parquet(target)

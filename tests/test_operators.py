@@ -1,13 +1,14 @@
 """Operators: exactness on skewed groups, ranks, merges, matching, plans."""
 
 import random
+import struct
 
 import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from parcelle.operators import matching, profile, quantiles, ranking, relational, validation
+from parcelle.operators import levels, matching, profile, quantiles, ranking, relational, validation
 from tests.test_functions import slow_partial_ratio
 
 
@@ -35,10 +36,11 @@ def _expected(rows):
     return out
 
 
-@pytest.mark.parametrize("slots", [1, 64, 5000])
-def test_percentiles_of_a_skewed_table(skewed, monkeypatch, slots):
-    """The slots decide how much is sorted, not the result."""
-    monkeypatch.setattr(quantiles, "SLOTS", slots)
+@pytest.mark.parametrize("wide,narrow", [(20, 0), (61, 60), (34, 30)])
+def test_percentiles_of_a_skewed_table(skewed, monkeypatch, wide, narrow):
+    """The ranges decide how much is counted at a time, not the result."""
+    monkeypatch.setattr(quantiles, "WIDE", wide)
+    monkeypatch.setattr(quantiles, "NARROW", narrow)
     got = quantiles.group_stats(
         skewed, ["k"], {n: ("v", p) for n, p in FRACTIONS.items()}, [F.count(F.lit(1)).alias("n")]
     ).collect()
@@ -49,12 +51,30 @@ def test_percentiles_of_a_skewed_table(skewed, monkeypatch, slots):
             assert mine == pytest.approx(theirs) if theirs is not None else mine is None
 
 
-def test_slots_keep_the_order_of_values(spark):
+def test_image_keeps_the_order_of_values(spark):
     rng = random.Random(4)
-    values = sorted([rng.uniform(-1, 1) * 10 ** rng.randint(-12, 300) for _ in range(3000)] + [0.0, -0.0, float("inf"), float("-inf")])
-    frame = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
-    found = [r[0] for r in frame.select(quantiles.slot(F.col("v"))).collect()]
-    assert found == sorted(found) and len(set(found)) > 1000
+    edges = [m * 2.0**e for e in (-1074, -1073, -1023, -1022, -1021, -1, 0, 1, 52, 53, 1022, 1023) for m in (1.0, 1.5, 1.0 + 2.0**-52, 2.0 - 2.0**-52)]
+    values = [0.0, -0.0, float("inf"), 1.7976931348623157e308, 5e-324, *edges, *(rng.uniform(0, 1) * 10 ** rng.randint(-320, 308) for _ in range(3000))]
+    values = sorted(values + [-v for v in values]) + [float("nan")]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").coalesce(1).select(levels.image(F.col("v"))).collect()]
+    assert got == sorted(got) and len(set(got)) > 5900
+    assert got.count(0) == values.count(0.0) and got[0] < got[1 + got.count(got[0])] and got[-1] > got[-2] > got[-5]
+    assert [r[0] for r in spark.createDataFrame([(None,)], "v double").select(levels.image(F.col("v"))).collect()] == [None]
+
+
+@pytest.mark.parametrize("value,rows", [("id / 1e8", 1_000_000), ("1000 + id / 1e5", 1_000_000), ("id % 7", 100_000), ("(id - 50000) * 1e290", 100_000), ("123.25", 100_000)])
+def test_no_running_sum_meets_a_large_part_of_dense_values(spark, value, rows):
+    """Many values near zero, within a percent, or equal: same percentiles, and small levels."""
+    df = spark.range(rows).select(F.expr(f"cast({value} as double)").alias("v"))
+    wanted = {"a": ("v", 0.25), "b": ("v", 0.5), "c": ("v", 0.999)}
+    got = quantiles.overall_stats(df, wanted).first()
+    exact = df.agg(*(F.expr(f"percentile(v, {p})").alias(n) for n, (_, p) in wanted.items())).first()
+    assert tuple(got) == pytest.approx(tuple(exact), rel=1e-12)
+    x = levels.image(F.col("v"))
+    sizes = df.select(levels.within(x, levels.WIDE).alias("w"), levels.within(x, levels.NARROW).alias("n"), "v").distinct()
+    wide, narrow = sizes.agg(F.count_distinct("w")).first()[0], sizes.groupBy("w").agg(F.count_distinct("n").alias("c"))
+    most = max(wide, narrow.agg(F.max("c")).first()[0], sizes.groupBy("n").count().agg(F.max("count")).first()[0])
+    assert most <= rows / 5  # and bounded for any number of rows
 
 
 def test_overall_percentiles_of_nothing(spark):
@@ -82,17 +102,37 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     assert got == {t: min((edit(t, n), n) for n in names) for t in (n[::-1] + "x" for n in names[:10])}
 
 
-def test_ranks_equal_the_window_functions(spark):
+@pytest.mark.parametrize("unique", [False, True])
+def test_ranks_equal_the_window_functions(spark, unique):
     rng = random.Random(5)
-    rows = [(rng.choice("ab"), rng.choice([None, 1, 2, 2, 3, rng.randint(0, 50)])) for _ in range(500)] + [("alone", 3)]
-    df = spark.createDataFrame(rows, "p string, v int")
-    w = Window.partitionBy("p").orderBy(F.asc_nulls_last("v"))
-    both = ranking.with_rank(ranking.with_percent_rank(df, ["p"], "v", "pr"), ["p"], "v", "r")
+    draw = (lambda i: i * 0.37 - 50) if unique else (lambda i: rng.choice([None, 1.0, 2.0, -0.0, 0.0, float("nan"), float(rng.randint(-50, 50))]))
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1, None]), draw(i)) for i in range(900)] + [("alone", 1, 3.0), (None, None, None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "p string, k int, v double")
+    w = Window.partitionBy("p", "k").orderBy(F.asc_nulls_last("v"))
+    both = ranking.with_rank(ranking.with_percent_rank(df, ["p", "k"], "v", "pr"), ["p", "k"], "v", "r")
     checked = both.select("*", F.rank().over(w).alias("er"), F.percent_rank().over(w).alias("epr"))
     assert checked.count() == len(rows)
     assert checked.where((F.col("r") != F.col("er")) | (F.abs(F.col("pr") - F.col("epr")) > 1e-12)).count() == 0
 
 
+def test_ranks_of_large_integers_and_without_partition(spark):
+    rows = [(2**60 + i % 7,) for i in range(50)] + [(-(2**62),), (None,), (5,)]
+    got = ranking.with_rank(spark.createDataFrame(rows, "v long"), [], "v", "r").collect()
+    values = sorted((v is None, v or 0) for v, in rows)
+    assert sorted(r["r"] for r in got) == sorted(values.index((v is None, v or 0)) + 1 for v, in rows)
+
+
+def test_no_running_sum_over_all_values_of_a_partition(spark):
+    """400 000 unique values in one partition: each running sum meets ranges of them."""
+    df = spark.range(400_000).select(F.lit(None).cast("string").alias("p"), (F.col("id") * 0.25).alias("v"))
+    got = ranking.with_rank(df, ["p"], "v", "r")
+    assert got.where(F.col("r") != F.col("v") * 4 + 1).count() == 0 and got.count() == 400_000
+    x = levels.image(F.col("v"))
+    sizes = df.select(levels.within(x, levels.WIDE).alias("w"), levels.within(x, levels.NARROW).alias("n"))
+    assert max(sizes.distinct().groupBy("w").count().agg(F.max("count")).first()[0], sizes.select("w").distinct().count()) < 20_000
+
+
 def test_dedup_groups_missing_values_and_is_stable(spark):
     rows = [("a", None, 2, "x"), ("a", None, 1, "y"), ("a", 3, 9, None), ("a", 3, 9, "z"), ("b", None, 5, "q")]
     df = spark.createDataFrame(rows, "k string, rooms int, t int, c string")
