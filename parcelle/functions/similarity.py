@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from pyspark.sql import functions as F
@@ -59,3 +60,70 @@ def best_of(names: pd.Series, candidates: pd.Series) -> pd.DataFrame:
         scores.append(best)
         places.append(place)
     return pd.DataFrame({"score": scores, "place": pd.Series(places, dtype="int32")})
+
+
+#: Letters of the shorter name that fit one machine word, and pairs that are compared at a time.
+BITS, BLOCK = 63, 512
+
+
+def _codes(names: list[str]) -> np.ndarray:
+    """Code points, one name a row, filled up with zeros."""
+    out = np.zeros((len(names), max(map(len, names))), np.uint32)
+    for row, name in zip(out, names):
+        row[: len(name)] = np.frombuffer(name.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return out
+
+
+def _best_windows(shorts: list[str], longs: list[str]) -> np.ndarray:
+    """``_best_window`` of many pairs: all windows of all pairs take their t-th letter in one step."""
+    m, n = (np.array([len(x) for x in names])[:, None] for names in (shorts, longs))
+    short, long = _codes(shorts), _codes(longs)
+    width = short.shape[1]
+    masks = np.zeros((len(shorts), long.shape[1] + 2 * width), np.uint64)  # letters before and behind a name match nothing
+    inner = masks[:, width : width + long.shape[1]]
+    for i in range(width):
+        inner |= ((short[:, i : i + 1] == long) & (long > 0) & (i < m)).astype(np.uint64) << np.uint64(i)
+    whole = (np.uint64(1) << m.astype(np.uint64)) - np.uint64(1)
+    ends = np.arange(1, int((m + n).max()))[None, :]
+    rows, at = np.broadcast_to(whole, (len(shorts), ends.shape[1])).copy(), np.arange(len(shorts))[:, None]
+    for t in range(width):
+        place = np.where(t < m, np.clip(ends - m + t + width, 0, masks.shape[1] - 1), 0)
+        hit = rows & masks[at, place]
+        rows = ((rows + hit) | (rows - hit)) & whole
+    size = np.minimum(ends, n) - np.maximum(ends - m, 0)
+    matched = m - np.bitwise_count(rows).astype(np.int64)
+    return np.where(ends < m + n, 200.0 * matched / np.maximum(m + size, 1), 0.0).max(1)
+
+
+def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """``partial_ratio`` of each pair."""
+    out, todo = np.zeros(len(a)), []
+    for i, (x, y) in enumerate(zip(a, b)):
+        short, long = (x, y) if len(x) <= len(y) else (y, x)
+        if not short:
+            out[i] = 0.0 if long else 100.0
+        elif short in long:
+            out[i] = 100.0
+        elif len(short) > BITS or "\0" in long:
+            out[i] = partial_ratio(x, y)
+        else:
+            todo += [(i, short, long)] + ([(i, long, short)] if len(x) == len(y) else [])
+    todo.sort(key=lambda p: (len(p[2]), len(p[1])))  # neighbours need little filling
+    for first in range(0, len(todo), BLOCK):
+        places, shorts, longs = zip(*todo[first : first + BLOCK])
+        np.maximum.at(out, list(places), _best_windows(list(shorts), list(longs)))
+    return out
+
+
+@F.pandas_udf(DoubleType())
+def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """``partial_ratio`` of two columns, many pairs at a time; null for null.
+
+    The same recurrence in higher-order functions took 5 ms a pair, a thousand
+    times as long.
+    """
+    known = (a.notna() & b.notna()).to_numpy()
+    out = pd.Series(np.full(len(a), np.nan), dtype="Float64")
+    out[known] = partial_ratios(a[known].tolist(), b[known].tolist())
+    out[~known] = pd.NA
+    return out

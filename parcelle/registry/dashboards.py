@@ -107,7 +107,7 @@ SEARCH = f"""(SELECT DISTINCT ON (code_insee) * FROM (SELECT code_insee, nom_com
 
 
 def _search(s: Star):
-    mapped = s.mapping.select("observatory_b", "id_agglomeration", "uu2020")
+    mapped = s.silver("mapping").select("observatory_b", "id_agglomeration", "uu2020")
     return dashboard.search(s.gold.ratios, s.agglomerations, mapped, s.communes, 600_000, nombre_pieces="4P+")
 
 

@@ -100,7 +100,7 @@ def _table_rules() -> str:
 
 @q(_table_rules())
 def dq_table_rules(s: Star):
-    return quality.check_tables(_tables(s), quality.SILVER_RULES)
+    return quality.check_tables(_tables(s) | {"mapping_uu_agglomeration": s.silver("mapping")}, quality.SILVER_RULES)
 
 
 @q("""SELECT r_name AS file_name, count(code_insee) AS row_count, count(code_insee) > 0 AS usable

@@ -19,6 +19,7 @@ from ..functions.codes import stable_id, zero_pad
 from ..plans import marts
 from ..plans.mapping import map_agglomerations
 from ..session import shared_folder
+from .layer import Layer, input_version
 from .readers import read_table
 
 # Which star-schema label plays which label of the housing data.
@@ -79,8 +80,9 @@ def agglomeration_name() -> Column:
     )
 
 
-#: Where a session has written the marts of a folder.
-_WRITTEN: dict[tuple[str, str], str] = {}
+#: Where a session has written the marts of a version of a folder, and keeps its silver layer.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+_LAYERS: dict[tuple[str, str], str] = {}
 
 
 @dataclass(frozen=True)
@@ -212,8 +214,8 @@ class Star:
 
     @cached_property
     def gold(self) -> Gold:
-        """The five marts as written tables: written once for a session and folder, then only read."""
-        known = (self.spark.sparkContext.applicationId, self.folder)
+        """The five marts as written tables: written once for a session and version of the folder, then only read."""
+        known = (self.spark.sparkContext.applicationId, self.folder, self.version)
         if known not in _WRITTEN:
             location = shared_folder(self.spark, "marts")
             schema = "marts_" + hashlib.md5(self.folder.encode()).hexdigest()[:8]
@@ -222,6 +224,18 @@ class Star:
         read = lambda name: self.spark.read.parquet(f"{_WRITTEN[known]}/{name}")
         return Gold(read("prix_m2_par_ville"), read("ratio_loyer_revenu"), read("dynamisme_marche"), read("evolution_tension"), read("inegalites"))
 
+    @cached_property
+    def version(self) -> str:
+        """Of the folder's files: a changed file makes the written tables anew."""
+        return input_version(self.spark, self.folder)
+
+    def silver(self, name: str) -> DataFrame:
+        """A cleaned table as written once for a version of the inputs."""
+        known = (self.spark.sparkContext.applicationId, self.folder)
+        if known not in _LAYERS:
+            _LAYERS[known] = shared_folder(self.spark, "silver")
+        return Layer(self.spark, _LAYERS[known]).table(name, self.version, lambda: getattr(self, name))
+
     @cached_property
     def mapping(self) -> DataFrame:
         return map_agglomerations(self.rents, self.agglomerations, self.bridge, self.communes, self.units)

@@ -10,6 +10,7 @@ from parcelle.operators.relational import dedup, insert_ignore, upsert
 from parcelle.plans import ledger
 from parcelle.sources import readers, sinks
 from parcelle.sources.keyed import KeyedTable
+from parcelle.sources.layer import Layer, input_version
 from parcelle.streaming import incremental
 from tests.test_silver import communes, file_of, rows, sale  # noqa: F401
 
@@ -150,3 +151,28 @@ def test_years_come_from_folders(spark):
     found = queries()["detect_years"](spark, "/root/testdata/sf0.001")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "l_" not in plan and "o_orderdate" not in plan and found.count() > 3
+
+
+def test_layer_builds_once_per_version(spark, tmp_path):
+    source, built = tmp_path / "in", []
+    spark.range(3).write.parquet(str(source))
+
+    def table():
+        def build():
+            built.append(1)
+            return spark.read.parquet(str(source))
+        return Layer(spark, str(tmp_path / "layer")).table("t", input_version(spark, str(source)), build)
+
+    assert table().count() == 3 and table().count() == 3 and len(built) == 1
+    for i in range(3):
+        spark.range(1).write.mode("append").parquet(str(source))
+        assert table().count() == 4 + i
+    assert len(built) == 4 and table().count() == 6 and len(built) == 4
+    assert len([p for p in (tmp_path / "layer" / "t").iterdir() if p.is_dir()]) == 2
+
+
+def test_failed_build_leaves_no_entry(spark, tmp_path):
+    layer = Layer(spark, str(tmp_path / "layer"))
+    with pytest.raises(Exception, match="lost"):
+        layer.table("t", "1", lambda: spark.range(2).select(F.raise_error(F.lit("lost")).cast("int").alias("x")))
+    assert layer.entries().count() == 0 and layer.table("t", "1", lambda: spark.range(2)).count() == 2
