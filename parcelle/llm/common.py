@@ -62,6 +62,8 @@ def numbered(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
     limit = 1 << NUMBER_BITS
     if rows == 0:
         return docs.select(F.col("doc_id").alias("n"), *names)
+    if rows > limit:
+        raise ValueError(f"{rows} rows do not fit numbers of {NUMBER_BITS} bits")
     if rows == given and -limit <= low and high < limit:
         repeated = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count()
         if not repeated:

@@ -175,6 +175,13 @@ def adjacent_reach(batches: Iterator[pd.DataFrame], column: str, width: int) ->
         yield held.assign(reach=np.array([len(held[column].iloc[0]) // width], np.int32))
 
 
+def place(n: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Number and offset in one long, in their order; refuses offsets that would lie in the next document."""
+    if len(offset) and offset.max() >= 1 << OFFSET_BITS:
+        raise ValueError(f"a text of more than {1 << OFFSET_BITS} symbols")
+    return (n << OFFSET_BITS) + offset
+
+
 def repeated_runs(docs: DataFrame, alphabet: Alphabet, shape: Shape, purpose: str, earlier_only: bool, limit: int = 1 << 20) -> DataFrame:
     """(n, first, last): runs of window starts that are repeated, of docs (n, text) with unique n.
 
@@ -183,9 +190,6 @@ def repeated_runs(docs: DataFrame, alphabet: Alphabet, shape: Shape, purpose: st
     the second for the borders only. Cores and runs are compared by two 64-bit
     hashes together.
     """
-    def place(n: np.ndarray, offset: np.ndarray) -> np.ndarray:
-        return (n << OFFSET_BITS) + offset
-
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             n = batch["n"].to_numpy()

@@ -2,23 +2,25 @@
 
 Only DataFrame functions; all work on a row stays in the row.
 
-A token is tested for what random bytes in its encoding look like: a
-chi-squared test of uniform symbols, a runs test about the middle of the
-alphabet and a lag-one serial correlation. The smallest of the three tail
-probabilities times three is its randomness. Short tokens of ordinary text
-pass such tests by chance more often than long ones, so the threshold is set
-per encoding and length band: each token has a decoy, the ordinary characters
-just before it, equally many, put through the same tests; the lowest threshold
-at which the decoys that pass are at most ``max_fdr`` of the tokens that pass
-is taken, or none. Candidate tokens and matches of the fixed patterns are no
-ordinary characters, so lists of keys do not become their own decoys.
+A token is tested for what random bytes in its encoding look like: chi-squared
+tests of uniform symbols, over all symbols and over two coarse divisions of them
+(the commonest letters of prose against the rest, lower case against the rest),
+a runs test about the middle of the alphabet and a lag-one serial correlation.
+The smallest of the five tail probabilities times five is its randomness. Short
+identifiers pass such tests by chance more often than long ones, so the
+threshold is set per encoding and length band: each token has a decoy, an
+identifier of its length, case and digits made of the words before it, put
+through the same tests; the lowest threshold at which the decoys that pass are
+at most ``max_fdr`` of the tokens that pass is taken, or none. Candidate tokens
+and matches of the fixed patterns are no ordinary words, so lists of keys do not
+become their own decoys.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import free_name, table
@@ -41,7 +43,11 @@ ENCODINGS = (
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+$", UPPER + LOWER + DIGIT + "+/"),
     ("base64url", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+$", UPPER + LOWER + DIGIT + "-_"),
 )
-GRID = (0.01, 0.02, 0.05, 0.1, 0.2, 0.5)
+#: The commonest letters of prose in European languages.
+COMMON = "etaoinsr"
+#: Decoys that a false-discovery share is read from at least.
+LEAST_DECOYS = 20
+GRID = (0.01, 0.02, 0.03, 0.05, 0.07, 0.1, 0.15, 0.2, 0.35, 0.5)
 BANDS = 12
 _BLOCK = 512
 _SPAN = "struct<start:bigint,kind:int,end:bigint>"
@@ -131,7 +137,7 @@ def _upper_tail(z: Column) -> Column:
 
 
 def _randomness(token: Column, encoding: Column) -> Column:
-    """Three times the smallest tail probability of the three tests, at most 1, of a token of two or more symbols.
+    """Five times the smallest tail probability of the five tests, at most 1, of a token of two or more symbols.
 
     Letter case does not count where the encoding has one case.
     """
@@ -141,6 +147,8 @@ def _randomness(token: Column, encoding: Column) -> Column:
     alphabets = [e[2] for e in ENCODINGS]
     alphabet, a = of(alphabets), of([float(len(x)) for x in alphabets])
     half = of(["".join("0" if i < len(x) // 2 else "1" for i in range(len(x))) for x in alphabets])
+    common = of([sum(c.lower() in COMMON for c in x) / len(x) for x in alphabets])
+    lower = of([sum(c.islower() for c in x) / len(x) if UPPER in x and LOWER in x else 0.0 for x in alphabets])
     fold = of([1 if x == x.lower() else 2 if x == x.upper() else 0 for x in alphabets])
     count = lambda s, part: (F.length(s) - F.length(F.replace(s, F.lit(part), F.lit("")))).cast("double") / len(part)
 
@@ -153,6 +161,11 @@ def _randomness(token: Column, encoding: Column) -> Column:
         k = a - 1
         z_chi = (F.cbrt(F.greatest(a / n * squares - n, F.lit(0.0)) / k) - (1 - 2 / (9 * k))) / F.sqrt(2 / (9 * k))
 
+        def share(members: str, expected: Column) -> Column:
+            """Deviation of the number of these symbols: the root of the chi-squared over two cells."""
+            found = n - F.length(F.call_function("translate", s, F.lit(members), F.lit("")))
+            return F.when((expected > 0) & (expected < 1), (found - n * expected) / F.sqrt(n * expected * (1 - expected))).otherwise(0.0)
+
         def runs(bits: Column) -> Column:
             ones = count(bits, "1")
             mean = 2 * ones * (n - ones) / n + 1
@@ -170,8 +183,9 @@ def _randomness(token: Column, encoding: Column) -> Column:
         z_runs = _let(F.call_function("translate", s, alphabet, half), runs)
         z_serial = _let(F.transform(symbols, lambda c: F.position(c, alphabet).cast("double")), serial)
         return _let(
-            F.array(_upper_tail(z_chi), 2 * _upper_tail(F.abs(z_runs)), 2 * _upper_tail(F.abs(z_serial))),
-            lambda tails: F.least(F.lit(1.0), 3 * F.array_min(tails)))
+            F.array(_upper_tail(z_chi), _upper_tail(share(COMMON + COMMON.upper(), common)), 2 * _upper_tail(F.abs(share(LOWER, lower))),
+                    2 * _upper_tail(F.abs(z_runs)), 2 * _upper_tail(F.abs(z_serial))),
+            lambda tails: F.least(F.lit(1.0), 5 * F.array_min(tails)))
 
     return F.when(token.isNotNull(), _let(F.when(fold == 1, F.lower(token)).when(fold == 2, F.upper(token)).otherwise(token), battery))
 
@@ -179,7 +193,10 @@ def _randomness(token: Column, encoding: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Tokens of an encoding: array of (start, end, encoding, band, p, decoy).
 
-    decoy is null where too little ordinary text is in the three lengths before the token.
+    A decoy is what passes by mistake: an identifier. Words of the ordinary text
+    in the three lengths before the token are run together, each with a capital
+    if the token has capitals, and end in the token's digits. It is null where
+    that text is too short. Tokens of less than 20 characters are not tested.
     """
     def encoding(token: Column) -> Column:
         return reduce(lambda out, e: F.when(token.rlike(e[1][1]), F.lit(e[0])).otherwise(out), reversed(list(enumerate(ENCODINGS))), F.lit(None).cast("int"))
@@ -191,8 +208,9 @@ def tokens(text: Column) -> Column:
     def tested(m: Column, ordinary: Column) -> Column:
         n = F.length(m["match"])
         lead = F.substring(ordinary, F.greatest(F.lit(1), m["start"].cast("int") + 1 - 3 * n), F.least(3 * n, m["start"].cast("int")))
-        plain = F.regexp_replace(lead, "[^A-Za-z0-9]", "")
-        decoy = F.when(F.length(plain) >= n, F.right(plain, n))
+        cased = F.when(m["match"].rlike("[A-Z]"), F.initcap(lead)).otherwise(F.lower(lead))
+        plain, digits = F.regexp_replace(cased, "[^A-Za-z0-9]", ""), F.regexp_replace(m["match"], "[^0-9]", "")
+        decoy = F.when(F.length(plain) >= n, F.concat(F.right(plain, n - F.length(digits)), digits))
         return F.struct(
             m["start"].alias("start"), m["end"].alias("end"), m["encoding"].alias("encoding"),
             F.least(F.lit(BANDS), F.floor(F.log2(n.cast("double"))).cast("int")).alias("band"),
@@ -204,14 +222,25 @@ def tokens(text: Column) -> Column:
 def thresholds(tested: DataFrame, max_fdr: float = 0.05) -> DataFrame:
     """One row: a map from encoding * 100 + band to the lowest accepted randomness. ``tested`` has the array ``tokens``.
 
-    Counts per encoding, band and step of the grid: a few hundred rows at any size of the corpus.
+    At that randomness the decoys that pass are at most ``max_fdr`` of the tokens
+    that pass, among the tokens that have a decoy. That says little of few: below
+    LEAST_DECOYS the counts of the encoding are taken, then those of all tokens,
+    and if these are too few as well nothing is accepted. Counts per encoding,
+    band and step of the grid: a few hundred rows at any size of the corpus.
     """
-    t = tested.select(F.explode("tokens").alias("t")).select((F.col("t.encoding") * 100 + F.col("t.band")).alias("key"), "t.p", "t.decoy")
-    passed = t.groupBy("key").agg(*[F.count_if(F.col(c) >= g).alias(f"{c}{i}") for i, g in enumerate(GRID) for c in ("p", "decoy")])
+    t = tested.select(F.explode("tokens").alias("t")).select("t.encoding", "t.band", "t.p", "t.decoy")
+    own = F.col("decoy").isNotNull()
+    counts = t.groupBy("encoding", "band").agg(F.count_if(own).alias("n"), *[
+        F.count_if(own & (F.col(c) >= g)).alias(f"{c}{i}") for i, g in enumerate(GRID) for c in ("p", "decoy")])
+    levels = (Window.partitionBy("encoding", "band"), Window.partitionBy("encoding"), Window.partitionBy())
     limit = F.lit(None).cast("double")
-    for i, g in reversed(list(enumerate(GRID))):
-        limit = F.when((F.col(f"p{i}") > 0) & (F.col(f"decoy{i}") <= max_fdr * F.col(f"p{i}")), F.lit(g)).otherwise(limit)
-    return passed.select("key", limit.alias("limit")).filter("limit is not null").agg(
+    for level in reversed(levels):
+        step = F.lit(None).cast("double")
+        for i, g in reversed(list(enumerate(GRID))):
+            p, decoy = (F.sum(f"{c}{i}").over(level) for c in ("p", "decoy"))
+            step = F.when((p > 0) & (decoy <= max_fdr * p), F.lit(g)).otherwise(step)
+        limit = F.when(F.sum("n").over(level) >= LEAST_DECOYS, step).otherwise(limit)
+    return counts.select((F.col("encoding") * 100 + F.col("band")).alias("key"), limit.alias("limit")).filter("limit is not null").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "limit")))).alias("limits"))
 
 

@@ -114,3 +114,24 @@ def test_sketch_estimates_high_similarity(spark):
     got = spark.createDataFrame(rows, f"share int, a {kind}, b {kind}").select("share", near_dup.similar("a", "b", 85).alias("ok")).collect()
     assert all(r["ok"] for r in got if r["share"] >= 86) and not any(r["ok"] for r in got if r["share"] <= 70)
     assert sum(r["ok"] for r in got if r["share"] == 78) <= 24
+
+
+def test_numbers_that_do_not_fit_are_refused(spark, monkeypatch):
+    from parcelle.llm import common
+
+    docs = spark.createDataFrame([(i, "a") for i in range(9)], "doc_id bigint, text string")
+    monkeypatch.setattr(common, "NUMBER_BITS", 3)
+    with pytest.raises(ValueError, match="9 rows"):
+        common.numbered(docs)
+    assert common.numbered(docs.limit(8)).count() == 8
+
+
+def test_offsets_that_do_not_fit_are_refused():
+    from parcelle.llm import repeats
+    from parcelle.llm.common import NUMBER_BITS, OFFSET_BITS
+
+    numbers = np.array([-(1 << NUMBER_BITS), 0, 5, (1 << NUMBER_BITS) - 1])
+    ends = repeats.place(numbers, np.array([(1 << OFFSET_BITS) - 1] * 4))
+    assert (repeats.place(numbers, np.zeros(4, np.int64)) == numbers * (1 << OFFSET_BITS)).all() and (ends >> OFFSET_BITS == numbers).all()
+    with pytest.raises(ValueError, match="symbols"):
+        repeats.place(numbers, np.array([0, 0, 1 << OFFSET_BITS, 0]))

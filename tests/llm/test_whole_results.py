@@ -46,6 +46,24 @@ def test_decoys_are_ordinary_text(spark):
         assert [t["decoy"] is None for t in r["t"]] == ([True] * 5, [False], [False, False], [], [])[r["doc_id"]]
 
 
+def test_identifiers_are_no_secrets(spark):
+    """Ordinary identifiers alone, or after prose, stay; keys among them are found."""
+    rng = random.Random(7)
+    parts = "Get User Name List Item Order Create Update Delete Account Customer Invoice Report Status Handler Factory Service Manager".split()
+    name = lambda: "".join(rng.sample(parts, rng.randint(4, 6))) + str(rng.randrange(10, 100))
+    for lead in ("", PROSE):
+        texts = [lead + name() for _ in range(400)]
+        found = sum(len(v) for v in random_found(spark, texts).values())
+        assert found == 0, found
+    symbols = secrets.UPPER + secrets.LOWER + secrets.DIGIT
+    keys = ["".join(rng.choice(symbols) for _ in range(38)) + "aB1" for _ in range(300)]
+    names = [name() for _ in range(300)]
+    prose = lambda: " ".join(rng.sample(PROSE.split(), 40))
+    got = random_found(spark, [f"{prose()} {x} end" for x in keys + names])
+    hits, false = sum(got[i] == [k] for i, k in enumerate(keys)), sum(bool(got[300 + i]) for i in range(300))
+    assert hits >= 0.9 * 300 and false <= 0.05 * (hits + false), (hits, false)
+
+
 # chat
 
 def test_texts_are_unescaped_one_by_one(spark):
