@@ -13,7 +13,7 @@ import html
 import re
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,11 +24,12 @@ from .common import table
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|iframe|object|select|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(title)\b[^>]*>.*?</title\s*>"
-    r"|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
+    r"|<(!\[CDATA\[)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(?:((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)(?:>|\Z)|([^>]*)(?:>|\Z))",
     re.S | re.I,
 )
+#: What ends a part whose text is taken or dropped as a whole; without an end the opening is like any other markup.
+_ENDS = {"title": re.compile(r"</title\s*>", re.I), "cdata": re.compile(r"\]\]>")}
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _HINTS = frozenset(("class", "id", "role"))
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
@@ -54,10 +55,12 @@ SCOPES = frozenset("ul ol dl table article section div main body nav aside heade
 BOILER_TAGS = frozenset("nav footer aside form button menu dialog".split())
 CONTENT_TAGS = frozenset("article main".split())
 BOILER_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|nav(?:igation|bar)?|menu|breadcrumbs?|footer|"
+    r"(?:^|[\s_-])(ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|nav(?:igation|bar)?|menu|breadcrumbs?|footer|"
     r"header|masthead|sidebar|side|rail|widget|related|recommend(?:ed|ations)?|share|sharing|social|cookies?|consent|notice|gdpr|popup|modal|"
     r"newsletter|subscribe|subscription|signup|login|search|comments?|comment-list|replies|reply|disqus|discussion|pager|pagination|legal|"
-    r"copyright|toolbar|skip|tags|toc)(?:$|[\s_-])", re.I)
+    r"copyright|toolbar|skip|tags|toc)(?=$|[\s_-])", re.I)
+#: Of these, the words that also name parts of an article; below content they only take back the region's weight.
+UNSURE_WORDS = frozenset("side header rail share sharing search replies reply discussion legal copyright skip tags toc promotion promotions".split())
 CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|main|body|story|text)(?:$|[\s_-])", re.I)
 BIAS, PER_WORD, MOST_WORDS, PER_LINK, PER_SENTENCE = -0.6, 0.05, 40, -4.0, 1.0
 HEADING, ITEM, REGION, WORDS = 0.6, -0.8, 6.0, 4.0
@@ -77,64 +80,119 @@ class Block:
     link: float
     tag: str
     parent: int
+    outer: int
     region: float
-    path: tuple[int, ...] = field(default=())
+
+
+class Open:
+    """The open elements: (tag, region, hidden, open links), with the places of each tag and a list of the containers.
+
+    Each question takes a time that does not depend on the depth.
+    """
+
+    def __init__(self):
+        self.stack: list[tuple[str, float, bool, int]] = [("body", 0.0, False, 0)]
+        self.boxes: list[tuple[str, float, int]] = [("body", 0.0, 0)]  # tag, region, number
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, tag: str, region: float, number: int, hidden: bool, links: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, region, hidden, links))
+        if tag not in INLINE:
+            self.boxes.append((tag, region, number))
+
+    def cut(self, upto: int) -> None:
+        while len(self.stack) > upto:
+            tag = self.stack.pop()[0]
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.boxes.pop()
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag, 0 if there is none."""
+        return (self.places.get(tag) or (0,))[-1]
+
+    def within(self, names: tuple[str, ...], scope: frozenset[str]) -> int:
+        """The innermost place of the names, 0 if there is none or an element of the scope is open inside it."""
+        place = max(map(self.last, names))
+        return place if place and all(self.last(t) <= place for t in scope) else 0
+
+    def holds_container(self, upto: int) -> bool:
+        return any(self.stack[i][0] not in INLINE for i in range(upto, len(self.stack)))
+
+
+def hint(name: str, words: str, region: float) -> float:
+    """Region of an element, given the words of its class, id and role and the region without them."""
+    found = {w.lower() for w in BOILER_WORDS.findall(words)}
+    if found and name not in CONTENT_TAGS:
+        return 0.0 if region > 0 and found <= UNSURE_WORDS else min(region, -WORDS)
+    return WORDS if not found and region == 0 and CONTENT_WORDS.search(words) else region
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks in page order: runs of text between block-level tags. Scripts, styles, the title and hidden parts give none."""
+    """Text blocks in page order: runs of text between block-level tags. Scripts, styles, the title and hidden parts give none.
+
+    Takes a time in proportion to the page's length, however deep it is nested or badly closed.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, float, int, bool, int]] = [("body", 0.0, 0, False, 0)]  # tag, region, number, hidden, open links
+    tree = Open()
+    stack = tree.stack
     serial, parts, linked, total = 0, [], 0, 0
+    endless: set[str] = set()
 
     def flush() -> None:
         nonlocal parts, linked, total
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip() if parts else ""
         if text:
-            holder = next((s for s in reversed(stack) if s[0] not in INLINE), stack[0])
-            out.append(Block(text, linked / max(1, total), holder[0], holder[2], holder[1], tuple(s[2] for s in stack if s[0] not in INLINE)))
+            tag, region, number = tree.boxes[-1]
+            out.append(Block(text, linked / max(1, total), tag, number, tree.boxes[-2][2] if len(tree.boxes) > 1 else -1, region))
         parts, linked, total = [], 0, 0
 
     def add(text: str) -> None:
         nonlocal linked, total
-        if text and not stack[-1][3]:
+        if text and not stack[-1][2]:
             parts.append(text)
             n = len(text) - text.count(" ")
             total += n
-            linked += n if stack[-1][4] else 0
+            linked += n if stack[-1][3] else 0
 
     def close(upto: int) -> None:
-        if any(s[0] not in INLINE for s in stack[upto:]):
+        if tree.holds_container(upto):
             flush()
-        del stack[upto:]
+        tree.cut(upto)
 
-    def find(names: tuple[str, ...], scope: frozenset[str]) -> int:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in scope:
-                break
-        return 0
+    def end_of(kind: str, start: int) -> re.Match | None:
+        """The end after start; where there is none, there is none after any later start either."""
+        found = None if kind in endless else _ENDS[kind].search(page, start)
+        if found is None:
+            endless.add(kind)
+        return found
 
     at = 0
-    for m in _MARKUP.finditer(page):
+    while m := _MARKUP.search(page, at):
         add(page[at:m.start()])
         at = m.end()
         name = m.group(4)
         if name is None:
-            if m.group(0).startswith("<![CDATA["):
-                add(html.escape(m.group(0)[9:-3]))
+            if m.group(2):
+                if end := end_of("cdata", at):
+                    add(html.escape(page[at:end.start()]))
+                    at = end.end()
+                else:
+                    at = (page.find(">", at) + 1) or len(page)
             elif m.group(1):
                 flush()
             continue
         name = name.lower()
         if m.group(3):
-            if name == "p" and not find(("p",), SCOPES):
+            if name == "p" and not tree.within(("p",), SCOPES):
                 flush()
-            i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if i:
+            if i := tree.last(name):
                 close(i)
             continue
+        if name == "title" and (end := end_of("title", at)):
+            at = end.end()
+            continue
         if name in ("html", "head", "body"):
             flush()
             continue
@@ -142,30 +200,26 @@ def blocks(page: str) -> list[Block]:
             if name not in ("wbr", "img"):
                 add(" ") if name == "br" else flush()
             continue
-        if name in CLOSES_P and (i := find(("p",), SCOPES)):
+        if name in CLOSES_P and (i := tree.within(("p",), SCOPES)):
             close(i)
-        if name in SAME and (i := find(SAME[name], SCOPES - {name})):
+        if name in SAME and (i := tree.within(SAME[name], SCOPES - {name})):
             close(i)
         if name not in INLINE:
             flush()
         serial += 1
-        attributes = m.group(5)
+        attributes = m.group(5) if m.group(5) is not None else m.group(6)
         region = stack[-1][1]
-        if name in BOILER_TAGS or name == "header" and not any(s[0] in CONTENT_TAGS for s in stack):
+        if name in BOILER_TAGS or name == "header" and not any(map(tree.last, CONTENT_TAGS)):
             region = -REGION
         elif name in CONTENT_TAGS and region >= 0:
             region = REGION
         pairs = [(n.lower(), a or b or c) for n, a, b, c in _ATTRIBUTE.findall(attributes)] if attributes else []
-        if pairs:
-            words = " ".join(value for n, value in pairs if n in _HINTS)
-            if words:
-                if BOILER_WORDS.search(words):
-                    region = min(region, -WORDS) if name not in CONTENT_TAGS else region
-                elif CONTENT_WORDS.search(words) and region == 0:
-                    region = WORDS
-        hidden = stack[-1][3] or is_hidden(pairs)
+        words = " ".join(value for n, value in pairs if n in _HINTS)
+        if words:
+            region = hint(name, words, region)
+        hidden = stack[-1][2] or is_hidden(pairs)
         if not attributes.endswith("/") or name in INLINE - MATH or name in CLOSES_P:
-            stack.append((name, region, serial, hidden, stack[-1][4] + (name == "a")))
+            tree.push(name, region, serial, hidden, stack[-1][3] + (name == "a"))
     add(page[at:])
     flush()
     return out
@@ -183,15 +237,14 @@ def log_odds(b: Block) -> float:
 def edges(row: list[Block]) -> list[tuple[int, int, float]]:
     """Smoothness edges: each block with the next one, and with the next one under the same parent.
 
-    A neighbour counts less the fewer containers both share.
+    A neighbour counts less unless both are in one container, or the containers are in one or one in the other.
     """
     out, last = [], {}
     for i, b in enumerate(row):
         if i:
             a = row[i - 1]
-            common = sum(x == y for x, y in zip(a.path, b.path))
-            depth = max(len(a.path), len(b.path))
-            out.append((i - 1, i, ADJACENT if a.region == b.region and common >= depth - 1 else DISTANT))
+            near = a.parent == b.parent or a.outer in (b.parent, b.outer) or b.outer == a.parent
+            out.append((i - 1, i, ADJACENT if a.region == b.region and near else DISTANT))
         if b.parent in last and last[b.parent] != i - 1:
             out.append((last[b.parent], i, SIBLING))
         last[b.parent] = i
@@ -281,7 +334,10 @@ def main_text(page: str | None) -> str:
 
 
 def with_main_text(pages: DataFrame, name: str = "text") -> DataFrame:
-    """pages with the main text of html; empty where there is none, also for null. Rows and other columns stay."""
+    """pages with the main text of html; empty where there is none, also for null. Rows and other columns stay.
+
+    A column called ``name``, letter case aside, is replaced.
+    """
     @F.pandas_udf("string")
     def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
