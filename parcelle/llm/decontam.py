@@ -10,17 +10,20 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import free_name, stored, table
 
 WINDOW = 13
-#: Test phrases are searched in blocks of items of at most this many bytes, each block sent to the tasks once.
-BLOCK_BYTES = 8 << 20
+#: Test items are searched in blocks of at most this many bytes, each block in a pass of its own; long items are cut into pieces.
+BLOCK_BYTES = 4 << 20
+PIECE_WORDS = 4096
 SHARD_BYTES = 4 << 20
 SAMPLE = 8
 #: Bytes of words to lower case, all other ASCII to space; bytes above 127 belong to words.
@@ -107,23 +110,36 @@ class FMIndex:
 
 
 class Phrases:
-    """The distinct windows of a block of test items: word numbers, and the items of each window."""
+    """The distinct windows of a block of test items: word numbers, and the items of each window.
+
+    All in flat arrays, about 250 bytes for a word of the block.
+    """
 
     def __init__(self, items: list[tuple[str, str | None]]):
         self.words: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
+        self.names = sorted({name for name, _ in items})
+        code = {name: i for i, name in enumerate(self.names)}
+        rows: dict[int, list[tuple[np.ndarray, int]]] = defaultdict(list)
         for name, text in items:
-            numbers = [self.words.setdefault(w, len(self.words) + 1) for w in words_of(text)]
-            size = min(WINDOW, len(numbers))
-            for i in range(len(numbers) - size + 1 if size else 0):
-                owners[tuple(numbers[i:i + size])].add(name)
-        self.by_size: dict[int, tuple[np.ndarray, list[list[str]]]] = {}
-        for size in sorted({len(w) for w in owners}):
-            some = [w for w in owners if len(w) == size]
-            self.by_size[size] = np.array(some, np.int64), [sorted(owners[w]) for w in some]
-
-    def find(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int, list[list[str]]]]:
-        """(places, windows, size, items by window) of all occurrences in word numbers, where 0 is any other word.
+            numbers = np.array([self.words.setdefault(w, len(self.words) + 1) for w in words_of(text)], np.int32)
+            if len(numbers):
+                size = min(WINDOW, len(numbers))
+                rows[size].append((np.lib.stride_tricks.sliding_window_view(numbers, size), code[name]))
+        #: For each size: the distinct windows, and where each one's items start in the array of item codes.
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size, found in sorted(rows.items()):
+            owner = np.repeat([c for _, c in found], [len(w) for w, _ in found])
+            windows, which = np.unique(np.concatenate([w for w, _ in found]), axis=0, return_inverse=True)
+            pairs = np.unique(which.reshape(-1).astype(np.int64) * len(code) + owner)
+            starts = np.searchsorted(pairs // len(code), np.arange(len(windows) + 1))
+            self.by_size[size] = windows, starts, pairs % len(code)
+
+    def items_of(self, size: int, window: int) -> list[str]:
+        _, starts, codes = self.by_size[size]
+        return [self.names[c] for c in codes[starts[window]:starts[window + 1]]]
+
+    def find(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """(places, windows, size) of all occurrences in word numbers, where 0 is any other word.
 
         Runs shorter than the shortest window hold no occurrence and are not indexed.
         """
@@ -141,11 +157,11 @@ class Phrases:
         text = numbers[np.minimum(place, len(numbers) - 1)]
         text[offset[1:] - 1] = 0
         index = FMIndex(text, len(self.words))
-        for size, (windows, items) in self.by_size.items():
+        for size, (windows, _, _) in self.by_size.items():
             which, low, high = index.search(windows)
             count = high - low
             rows = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)
-            yield place[index.locate(rows)], np.repeat(which, count), size, items
+            yield place[index.locate(rows)], np.repeat(which, count), size
 
 
 def scan_shard(texts: list[str | None], blocks: list[Phrases]) -> list[tuple[int, list[str], list[tuple[int, int]]]]:
@@ -160,12 +176,12 @@ def scan_shard(texts: list[str | None], blocks: list[Phrases]) -> list[tuple[int
         flat = np.zeros(start[-1], np.int64)
         for at, words in zip(start, split):
             flat[at:at + len(words)] = [number(w, 0) for w in words]
-        for places, windows, size, items in block.find(flat):
+        for places, windows, size in block.find(flat):
             np.add.at(cover, places, 1)
             np.add.at(cover, places + size, -1)
             owner = np.searchsorted(start, places, "right") - 1
             for text, window in np.unique(np.stack((owner, windows), 1), axis=0).tolist():
-                found[text].update(items[window])
+                found[text].update(block.items_of(size, window))
     hit = np.concatenate(([0], (np.cumsum(cover)[:-1] > 0).view(np.int8), [0]))
     edge = np.flatnonzero(np.diff(hit))
     spans: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -175,47 +191,121 @@ def scan_shard(texts: list[str | None], blocks: list[Phrases]) -> list[tuple[int
     return [(int(n), sorted(found[i]) if i in found else [], spans.get(i, [])) for i, n in enumerate(sizes)]
 
 
-def phrase_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list:
-    """Broadcast blocks of test items, each of at most block_bytes (or one item); the driver holds one at a time."""
-    context, out, items, size = benchmark.sparkSession.sparkContext, [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    for row in rows.toLocalIterator():
-        if items and size + len(row["text"] or "") > block_bytes:
-            out.append(context.broadcast(Phrases(items)))
+def item_pieces(benchmark: DataFrame) -> DataFrame:
+    """(item, text) of folded words: long items in pieces of PIECE_WORDS words, each sharing WINDOW - 1 with the next one.
+
+    The pieces of an item have its windows and no others. Items without words have none.
+    """
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out, size = [], 0
+            for name, text in zip(batch["item"], batch["text"]):
+                words = words_of(text)
+                for i in range(0, max(1, len(words) - WINDOW + 1), PIECE_WORDS - WINDOW + 1) if words else ():
+                    out.append((name, b" ".join(words[i:i + PIECE_WORDS]).decode("utf-8", "surrogatepass")))
+                    size += len(out[-1][1])
+                    if size > BLOCK_BYTES:
+                        yield pd.DataFrame(out, columns=["item", "text"])
+                        out, size = [], 0
+            yield pd.DataFrame(out, columns=["item", "text"])
+
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
+    return rows.mapInPandas(cut, "item string, text string")
+
+
+def phrase_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Phrases]:
+    """Blocks of pieces of at most block_bytes of UTF-8 (or one piece), one at a time; the driver reads them by partitions of the table."""
+    items, size = [], 0
+    for row in item_pieces(benchmark).withColumn("bytes", F.octet_length("text")).toLocalIterator():
+        if items and size + row["bytes"] > block_bytes:
+            yield Phrases(items)
             items, size = [], 0
-        items.append((row["item"] or "", row["text"]))
-        size += len(row["text"] or "")
-    return out + ([context.broadcast(Phrases(items))] if items else [])
+        items.append((row["item"], row["text"]))
+        size += row["bytes"]
+    if items:
+        yield Phrases(items)
+
+
+def shards(texts: pd.Series, block: Phrases) -> list[tuple[int, list[str], list[tuple[int, int]]]]:
+    """scan_shard over shards of bounded size."""
+    rows, shard, size = [], [], 0
+    for text in texts:
+        shard.append(text)
+        size += len(text or "")
+        if size > SHARD_BYTES:
+            rows += scan_shard(shard, [block])
+            shard, size = [], 0
+    return rows + (scan_shard(shard, [block]) if shard else [])
+
 
+def as_spans(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+    return [{"first": a, "last": b} for a, b in spans]
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, name: str = "found") -> DataFrame:
+
+FOUND = "n_words bigint, items array<string>, spans array<struct<first:int,last:int>>"
+
+
+def merged_spans(spans) -> list[dict[str, int]]:
+    """Sorted spans of one document, with overlapping and touching ones joined."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((s["first"], s["last"]) for s in spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return as_spans(out)
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, name: str = "found", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with the struct ``name``: n_words, items (ids as strings, sorted) and spans (first, last word, end exclusive).
 
     Whole texts; null has no words. Windows are 13 words, or a whole shorter
     item; items without words match nothing, null ids read as empty. Rows stay
-    as they are, repeated ones too. A shard is a batch of texts of bounded
-    size, within a task: nothing is shuffled.
-    """
-    blocks = phrase_blocks(benchmark)
+    as they are, repeated ones too; a column called ``name``, letter case
+    aside, is replaced. A shard is a batch of texts of bounded size, within a
+    task: nothing is shuffled where the test items fit one block.
 
-    @F.pandas_udf("n_words bigint, items array<string>, spans array<struct<first:int,last:int>>")
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        phrases = [b.value for b in blocks]
-        for batch in batches:
-            rows, shard, size = [], [], 0
-            for text in batch:
-                shard.append(text)
-                size += len(text or "")
-                if size > SHARD_BYTES:
-                    rows += scan_shard(shard, phrases)
-                    shard, size = [], 0
-            rows += scan_shard(shard, phrases) if shard else []
-            yield pd.DataFrame({
-                "n_words": [r[0] for r in rows], "items": [r[1] for r in rows],
-                "spans": [[{"first": a, "last": b} for a, b in r[2]] for r in rows],
-            })
-
-    return docs.withColumn(name, scan(F.col("text")))
+    More test items take one pass over the documents for each block, so that
+    the driver and a task hold one block at any time. Each pass stores what it
+    finds; findings are merged per row at the end.
+    """
+    context = docs.sparkSession.sparkContext
+    blocks = phrase_blocks(benchmark, block_bytes)
+    first = next(blocks, None) or Phrases([])
+    second = next(blocks, None)
+    if second is None:
+        one = context.broadcast(first)
+
+        @F.pandas_udf(FOUND)
+        def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = shards(batch, one.value)
+                yield pd.DataFrame({"n_words": [r[0] for r in found], "items": [r[1] for r in found], "spans": [as_spans(r[2]) for r in found]})
+
+        return docs.withColumn(name, scan(F.col("text")))
+
+    key = free_name(docs, "row_key")
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows")  # keys differ when computed again
+    passes = []
+    for number, block in enumerate(chain((first, second), blocks)):
+        sent = context.broadcast(block)
+
+        def scan_rows(batches: Iterator[pd.DataFrame], sent=sent, number=number) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = [(k, *r) for k, r in zip(batch["k"], shards(batch["text"], sent.value)) if r[1] or not number]
+                if not found:
+                    continue
+                yield pd.DataFrame({
+                    "k": [r[0] for r in found], "n_words": [r[1] for r in found], "items": [r[2] for r in found], "spans": [as_spans(r[3]) for r in found]})
+
+        passes.append(stored(rows.select(F.col(key).alias("k"), F.col("text").cast("string").alias("text")).mapInPandas(scan_rows, f"k bigint, {FOUND}"), "pass"))
+        sent.destroy()
+    joined = reduce(DataFrame.unionByName, passes).groupBy("k").agg(
+        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
+    merge = F.pandas_udf(lambda column: column.map(merged_spans), "array<struct<first:int,last:int>>", F.PandasUDFType.SCALAR)
+    joined = joined.select(F.col("k").alias(key), F.struct("n_words", "items", merge("spans").alias("spans")).alias(name))
+    others = [F.col(f"`{c}`") for c in rows.columns if c.lower() not in (key.lower(), name.lower())]
+    return rows.select(key, *others).join(joined, key).drop(key)
 
 
 def hit_words(found: Column) -> Column:

@@ -190,10 +190,25 @@ def test_contamination_like_brute_force(spark):
 
 def test_blocks_of_test_items_do_not_change_the_result(spark):
     bench = spark.createDataFrame([(i, words(random.Random(i), 20)) for i in range(9)], "item_id bigint, text string")
-    assert len(decontam.phrase_blocks(bench, 150)) > 3
-    blocks = [b.value for b in decontam.phrase_blocks(bench, 150)]
+    blocks = list(decontam.phrase_blocks(bench, 150))
+    assert len(blocks) > 3
     texts = [words(random.Random(i), 20) + " zz " + words(random.Random(i + 1), 20) for i in range(8)]
-    assert decontam.scan_shard(texts, blocks) == decontam.scan_shard(texts, [b.value for b in decontam.phrase_blocks(bench)])
+    assert decontam.scan_shard(texts, blocks) == decontam.scan_shard(texts, list(decontam.phrase_blocks(bench)))
+
+
+def test_one_pass_for_each_block_finds_the_same(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [words(rng, 200, 3000), words(rng, 13, 3000), "short item", "", None, words(rng, 90, 3000), "short item here"]
+    texts = awkward_texts() + [
+        f"{words(rng, 30)} {items[0]} {items[5]} {words(rng, 30)}", f"x {items[1]} short item here", " ".join(items[0].split()[20:60]), " ".join(items[5].split()[-14:])]
+    bench = spark.createDataFrame([*enumerate(items), (None, items[1])], "item_id bigint, text string")
+    docs = documents(spark, texts + texts[-2:]).withColumn("Found", F.lit("x")).withColumn("k", F.lit(1))
+    plain = lambda x: sorted(map(repr, x.select("doc_id", "k", "found").collect()))
+    whole = plain(decontam.find_contamination(docs, bench))
+    monkeypatch.setattr(decontam, "PIECE_WORDS", 40)
+    assert sum(1 for _ in decontam.item_pieces(bench).collect()) > len(items)
+    split = decontam.find_contamination(docs, bench, block_bytes=300)
+    assert split.columns == ["doc_id", *[c for c in docs.columns if c not in ("doc_id", "Found")], "found"] and plain(split) == whole
 
 
 # rules
