@@ -8,6 +8,7 @@ ordered CASE expression.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,9 +86,10 @@ def base_failed() -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """All conditions (feature, '>' or '<=', threshold) hold: reject."""
+    """All conditions (feature, '>' or '<=', threshold) hold: reject (label 0) or keep (label 1)."""
 
     conditions: tuple[tuple[str, str, float], ...]
+    label: int = 0
 
     def column(self) -> Column:
         test = F.lit(True)
@@ -98,15 +100,23 @@ class Rule:
 
 
 def learn_rules(
-    labelled: DataFrame, cuts: int = 40, max_rules: int = 8, max_conditions: int = 3, min_precision: float = 0.97, min_rows: int = 5,
+    labelled: DataFrame, cuts: int = 40, max_rules: int | None = None, max_conditions: int = 3, min_precision: float = 0.97, min_rows: int = 5,
+    min_share: float = 0.005,
 ) -> list[Rule]:
-    """An ordered list of rules that reject rows with label 0 of (statistics, label, prune).
-
-    Sequential covering: a rule grows by the condition with the best FOIL gain
-    on the grow rows, until it covers no good row; conditions are dropped from
-    its end while that raises (p - n) / (p + n) on the prune rows (a third by
-    hash); it is kept if its precision on all remaining rows is at least
-    ``min_precision`` over ``min_rows``; the rows it covers then leave.
+    """An ordered list of rules for either label, learned from rows of (statistics, label, prune).
+
+    Sequential covering. For each label a rule grows by the condition with the
+    best FOIL gain on the grow rows, until it covers no row of the other label
+    or has ``max_conditions``; conditions are dropped from its end while that
+    raises (p - n) / (p + n) on the prune rows (a third by hash). Of the two the
+    one of better worth is taken, a reject rule before a keep rule of the same
+    worth; the rows it covers then leave, so later rules only see what earlier
+    ones left.
+    A rule must have ``min_precision`` on all remaining rows, cover ``min_rows``
+    and ``min_share`` of its label's rows, and leave uncovered all but a share
+    of 1 - ``min_precision`` of the other label's remaining rows. The list ends
+    when neither label has such a rule, or at ``max_rules`` if that is given;
+    ``uncovered`` tells what it leaves. Rows no rule covers are kept.
     Each step is one aggregation over all labelled rows; only its counts, a
     fixed number for the number of candidate thresholds, reach the driver.
     Rows with null or other labels are ignored; without rows the list is empty.
@@ -118,63 +128,81 @@ def learn_rules(
     # Thresholds from both classes: quantiles of all rows and of the bad rows only.
     marks = x.agg(*[F.percentile_approx(f"f_{k}", shares, 2000).alias(f"a_{k}") for k in names],
                   *[F.percentile_approx(F.when(F.col("label") == 0, F.col(f"f_{k}")), shares, 2000).alias(f"b_{k}") for k in names]).first()
-    tests = [(k, side, t) for k in names for t in sorted({*(marks[f"a_{k}"] or []), *(marks[f"b_{k}"] or [])}) for side in (">", "<=")]
+    limits = {k: sorted({*(marks[f"a_{k}"] or []), *(marks[f"b_{k}"] or [])}) for k in names}
+    tests = [(k, side, t) for k in names for t in limits[k] for side in (">", "<=")]
     if not tests:
         return []
     rules: list[Rule] = []
     left = F.lit(True)
-    bad, grow = F.col("label") == 0, ~F.col("prune")
+    grow = ~F.col("prune")
 
     def count(*conditions: Column) -> list[int]:
         return [v or 0 for v in x.filter(left).agg(*[F.count_if(c) for c in conditions]).first()]
 
-    def bin_of(value: Column, limits: list[float]) -> Column:
-        return F.size(F.filter(F.array(*[F.lit(t) for t in limits]), lambda t: value > t))
+    def of(label: int) -> Column:
+        return F.col("label") == label
+
+    def bin_of(value: Column, marks: list[float]) -> Column:
+        return F.size(F.filter(F.array(*[F.lit(t) for t in marks]), lambda t: value > t))
 
     def histogram(inside: Column) -> list[tuple[int, int]]:
-        """(bad, good) grow rows of every test: counts between neighbouring thresholds, summed on the driver."""
-        exprs, limits = [], {}
-        for k in names:
-            limits[k] = sorted({t for n, _, t in tests if n == k})
-            exprs.append(bin_of(F.col(f"f_{k}"), limits[k]))
-        counts = x.filter(left & grow & inside).select("label", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), e.alias("bin")) for k, e in zip(names, exprs)])).alias("s"))
+        """Grow rows of labels 0 and 1 of every test: counts between neighbouring thresholds, summed on the driver."""
+        bins = [bin_of(F.col(f"f_{k}"), limits[k]) for k in names]
+        counts = x.filter(left & grow & inside).select("label", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), e.alias("bin")) for k, e in zip(names, bins)])).alias("s"))
         found = {(r["k"], r["bin"], r["label"]): r["count"] for r in counts.groupBy("s.k", "s.bin", "label").count().collect()}
         out = []
-        for k, side, t in tests:
-            at = limits[k].index(t)
-            bins = range(at + 1, len(limits[k]) + 1) if side == ">" else range(at + 1)
-            out.append(tuple(sum(found.get((k, b, y), 0) for b in bins) for y in (0, 1)))
+        for k in names:
+            upto = [[sum(found.get((k, b, y), 0) for b in range(at + 1)) for y in (0, 1)] for at in range(len(limits[k]) + 1)]
+            for at in range(len(limits[k])):
+                out += [tuple(upto[-1][y] - upto[at][y] for y in (0, 1)), tuple(upto[at])]
         return out
 
-    from math import log2
-
-    while len(rules) < max_rules:
+    def grown(label: int) -> list[tuple[str, str, float]]:
+        """Conditions for a label in the order in which they were added."""
         chosen: list[tuple[str, str, float]] = []
-        p0, n0 = count(bad & grow, ~bad & grow)
-        if p0 < min_rows:
-            break
-        while n0 and len(chosen) < max_conditions:
-            counts = histogram(Rule(tuple(chosen)).column())
+        p0, n0 = count(of(label) & grow, of(1 - label) & grow)
+        while n0 and p0 >= min_rows and len(chosen) < max_conditions:
+            counts = [(c[label], c[1 - label]) for c in histogram(Rule(tuple(chosen)).column())]
             gain = lambda c: c[0] * (log2(c[0] / (c[0] + c[1])) - log2(p0 / (p0 + n0))) if c[0] >= min_rows else 0.0
             best = max(range(len(tests)), key=lambda i: (gain(counts[i]), -i))
             if gain(counts[best]) <= 1e-9:
                 break
             chosen.append(tests[best])
             p0, n0 = counts[best]
-        if not chosen:
-            break
-        heads = [Rule(tuple(chosen[:k])) for k in range(1, len(chosen) + 1)]
-        seen = count(*[c for r in heads for c in (bad & ~grow & r.column(), ~bad & ~grow & r.column(), bad & r.column(), ~bad & r.column())])
+        return chosen
+
+    def pruned(label: int) -> tuple[float, Rule] | None:
+        """The best beginning of the grown rule with its worth, or none if it does not qualify."""
+        chosen = grown(label)
+        heads = [Rule(tuple(chosen[:k]), label) for k in range(1, len(chosen) + 1)]
+        if not heads:
+            return None
+        own, other = of(label), of(1 - label)
+        others, *seen = count(other, *[c for r in heads for c in (own & ~grow & r.column(), other & ~grow & r.column(), own & r.column(), other & r.column())])
         worth = lambda k: (seen[4 * k] - seen[4 * k + 1]) / max(1, seen[4 * k] + seen[4 * k + 1])
         best = max(range(len(heads)), key=lambda k: (worth(k), k))
         covered, wrong = seen[4 * best + 2], seen[4 * best + 3]
-        if covered < min_rows or covered < min_precision * (covered + wrong):
+        enough = covered >= max(min_rows, min_share * total[label]) and covered >= min_precision * (covered + wrong)
+        return (worth(best), heads[best]) if enough and wrong <= (1 - min_precision) * others else None
+
+    total = count(of(0), of(1))
+    while max_rules is None or len(rules) < max_rules:
+        found = [r for r in (pruned(0), pruned(1)) if r]
+        if not found:
             break
-        rules.append(heads[best])
-        left = left & ~heads[best].column()
+        rule = max(found, key=lambda r: (r[0], -r[1].label))[1]
+        rules.append(rule)
+        left = left & ~rule.column()
     return rules
 
 
+def uncovered(labelled: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Per label: rows, rows that no rule covers, and rows that a rule gives the other label."""
+    rule = verdict(rules)
+    return labelled.filter(F.col("label").isin(0, 1)).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(rule.isNull()).alias("n_uncovered"), F.count_if(label_of(rule, rules) != F.col("label")).alias("n_wrong"))
+
+
 def verdict(rules: list[Rule]) -> Column:
     """Ordered conditional: number of the first rule that holds, or null."""
     out = F.when(F.lit(False), F.lit(0))
@@ -183,6 +211,11 @@ def verdict(rules: list[Rule]) -> Column:
     return out
 
 
+def label_of(number: Column, rules: list[Rule]) -> Column:
+    """Label of a rule by its number; null without a rule."""
+    return F.get(F.array(*[F.lit(r.label) for r in rules]).cast("array<int>"), number - 1)
+
+
 def apply_rules(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, list[Rule]]:
     """Statistics, base_failed, rule and kept of every document, and the learned list.
 
@@ -195,7 +228,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFram
     rules = learn_rules(labelled, **options)
     rule = verdict(rules)
     out = stats.withColumn("base_failed", base_failed()).withColumn("rule", rule)
-    return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()), rules
+    return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce(label_of(F.col("rule"), rules), F.lit(1)) == 1)), rules
 
 
 def op10_quality_rules(spark, folder: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import random
 import re
+import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from parcelle.llm import chat, pages, secrets, toxicity
+from parcelle.llm import chat, pages, rules, secrets, toxicity
 
 from .helpers import documents, words
 
@@ -104,3 +106,70 @@ def test_sample_has_one_row_for_each_id(spark, monkeypatch):
     machines = [toxicity.learn(x, labels, epochs=2) for x in (docs, same, same.repartition(7))]
     assert sizes[0] == sizes[1] == sizes[2] < 200
     assert machines[1].keys.tolist() == machines[2].keys.tolist() and np.allclose(machines[1].w, machines[2].w)
+
+
+@pytest.mark.parametrize("unit, rest", [
+    ("<div>x ", ""), ("<title>x ", ""), ("<span><h1>y ", ""), ("<![CDATA[ z", ""), ("<a ", ""), ("<b>x", ""), ("<a '>k", ""), ("<ul><li>x", ""), ("<p>Words, here.</p><p class=ad>no</p>", "")])
+def test_pages_of_a_megabyte_take_seconds(unit, rest):
+    began = time.time()
+    pages.main_text(unit * (1_000_000 // len(unit)) + rest)
+    assert time.time() - began < 30
+
+
+def test_article_text_survives_words_of_a_class():
+    long = "The court held that it, in all its parts, applies."
+    assert pages.main_text(f'<article><h1>T</h1><section class="legal"><p>{long}</p></section><p>After that, {long}</p></article>') == f"T {long} After that, {long}"
+    for name in ("share-price header", "tags-list toc", "search"):
+        assert pages.main_text(f'<article><div class="{name}"><p>{long}</p></div><div class="comments"><p>{long}</p></div></article>') == long
+    assert pages.main_text(f'<article><p>{long}</p><div class="share">Share: <a href="a">one</a> <a href="b">two</a></div></article>') == long
+    assert pages.main_text(f'<div class="legal"><p>{long}</p></div>') == ""
+
+
+def test_unclosed_parts_of_a_page():
+    assert pages.main_text("<article><title>gone</title><p>One, two.</p><title>Kept, here.") == "One, two. Kept, here."
+    assert pages.main_text("<article><p>One, <![CDATA[two & <b>]]> three.</p><![CDATA[ lost>Four, five.") == "One, two & <b> three. Four, five."
+    assert pages.main_text("<article><p>One, two.</p><a title='x>Three, four.</a></article>") == "One, two. Three, four."
+
+
+# rules
+
+def plain_list(rows, found):
+    """First rule that holds, by plain comparisons; None where there is none."""
+    value = {
+        "n_words": lambda r: r["n_words"], "mean_word": lambda r: r["word_chars"] / max(1, r["n_words"]),
+        "symbol_share": lambda r: r["n_symbols"] / max(1, r["word_chars"]), "symbols_per_word": lambda r: r["n_symbols"] / max(1, r["n_words"]),
+        "dup_lines_per_word": lambda r: r["n_dup_lines"] / max(1, r["n_words"]), "repeat_share": lambda r: r["n_repeat_words"] / max(1, r["n_words"]),
+        "upper_share": lambda r: r["n_upper"] / max(1, r["word_chars"]), "mark_share": lambda r: r["n_marks"] / max(1, r["word_chars"]),
+    }
+    holds = lambda r, rule: all((value[n](r) > t) if side == ">" else (value[n](r) <= t) for n, side, t in rule.conditions)
+    return [next((i for i, rule in enumerate(found, 1) if holds(r, rule)), None) for r in rows]
+
+
+def test_list_has_both_labels_and_ends_by_its_criteria(spark):
+    rng = random.Random(11)
+
+    def row(i):
+        """Good: few symbols, or many symbols and long words. Some labels are noise."""
+        symbols, size, upper = rng.choice([0, 1, 40]), rng.choice([4, 12]), rng.randrange(200)
+        label = int(symbols < 40 or size == 12)
+        return i, 100, 100 * size, symbols, 0, 0, upper, 0, label if rng.random() > 0.004 else 1 - label, rng.random() < 0.33
+
+    names = ["doc_id", *rules.STATISTICS, "n_upper", "n_marks", "label", "prune"]
+    frame = spark.createDataFrame([row(i) for i in range(900)] + [(-1, 60, 100, 0, 0, 0, 0, 0, None, False)], ", ".join(
+        f"{n} {'boolean' if n == 'prune' else 'bigint'}" for n in names)).cache()
+    found = rules.learn_rules(frame)
+    assert {r.label for r in found} == {0, 1} and all(len(r.conditions) <= 3 for r in found)
+    got = frame.withColumn("rule", rules.verdict(found)).collect()
+    assert [r["rule"] for r in got] == plain_list(got, found)
+    # Each rule has its precision on what earlier rules left, and enough rows.
+    known = [r for r in got if r["label"] is not None]
+    for i, rule in enumerate(found, 1):
+        own = [r["label"] for r in known if r["rule"] == i]
+        assert own.count(rule.label) >= 0.97 * len(own) and own.count(rule.label) >= max(5, 0.005 * sum(r["label"] == rule.label for r in known))
+    # What is left over is told.
+    for r in rules.uncovered(frame, found).collect():
+        same = [x for x in known if x["label"] == r["label"]]
+        assert (r["n_rows"], r["n_uncovered"]) == (len(same), sum(x["rule"] is None for x in same))
+        assert r["n_wrong"] == sum(x["rule"] is not None and found[x["rule"] - 1].label != x["label"] for x in same)
+    assert len(rules.learn_rules(frame, max_rules=1)) == 1
+    assert rules.uncovered(frame, []).agg(F.sum("n_uncovered")).first()[0] == len(known)
