@@ -12,6 +12,11 @@
 4. In buckets that hold more than one component after that, all members
    outside the bucket's largest component meet all members of other
    components. So any two members of a bucket are in one component or compared.
+5. Buckets with more than ``FEW`` members outside the largest component, such as
+   texts of one template that stay below the threshold, would need a square of
+   pairs. Their members meet by rare shingles instead (``meet_by_prefix``): with
+   shingles in the order of their frequency, rarest first, two similar sets
+   share one among the first few of each. This loses no pair at all.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from math import ceil, log
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, numbered, stored, table
@@ -35,8 +40,12 @@ ROWS, MISS = 5, 1e-7
 SKETCH_LONGS = 16
 #: A sample holds the shingles whose hash is below 2 ** -level of the range; level 0 up to this many shingles.
 SAMPLE = 2048
-#: Standard deviations of the estimate by which a pair must miss the threshold to be left out.
+#: Standard deviations of the estimate by which a pair must miss the threshold to be left out. A pair at the threshold
+#: whose sets are whole samples is left out with a probability below 1e-5, for any sizes (a test adds up the exact
+#: distribution). Of larger sets both the sample and the bits vary, each with this allowance of its own.
 SIGMAS = 5.0
+#: Members outside its largest component up to which all pairs of a bucket are tried; each row then meets at most these.
+FEW = 200
 
 
 def band_count(share: int) -> int:
@@ -205,7 +214,51 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataF
     return stored(pairs.join(left, "a").join(right, "b").mapInPandas(compare, "a bigint, b bigint"), "links")
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) -> DataFrame:
+def prefixes(crowded: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
+    """(key, n, root, size, short) of the rows (n, root): the shingles by which similar sets must meet.
+
+    Sets of sizes a <= b that reach the threshold have at least ceil(2sa / (100 + s))
+    and at least ceil(sb / 100) shingles in common. If all shingles stand in one
+    order, the first common one is therefore followed by that many less one in
+    either set: ``low`` counts a set's shingles from the end, and keeps those
+    with enough behind them to be the first common one of the larger set, of the
+    smaller set if ``short``. Shingles of a single row stand first and are no keys.
+    """
+    def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingles = Shingler(size)
+        for batch in (b.iloc[k:k + 100] for b in batches for k in range(0, len(b), 100)):
+            yield pd.DataFrame({"n": batch["n"], "root": batch["root"], "shingles": [shingles(t).view(np.int64) for t in batch["text"]]})
+
+    sets = stored(docs.select("n", "text").join(crowded, "n").mapInPandas(to_sets, "n bigint, root bigint, shingles array<bigint>"), "crowded_sets")
+    single = sets.select("n", "root", F.size("shingles").cast("long").alias("size"), F.explode("shingles").alias("key"))
+    frequent = stored(single.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "frequencies")
+    low = F.row_number().over(Window.partitionBy("n").orderBy(F.col("rows").desc(), F.col("key").desc()))
+    placed = single.join(frequent, "key").withColumn("low", low)
+    return placed.filter(F.col("low") * 100 >= F.col("size") * share).select(
+        "key", "n", "root", "size", (F.col("low") * (100 + share) >= F.col("size") * (2 * share)).alias("short"))
+
+
+def meet_by_prefix(crowded: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
+    """Pairs (a, b) of the rows (n, root) of different roots, among them all whose full sets reach the threshold.
+
+    At each shingle, rows of the largest component meet only rows outside it.
+    """
+    keys = stored(prefixes(crowded, docs, size, share), "prefixes")
+    parts = stored(keys.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows")), "prefix_parts")
+    largest = parts.groupBy("key").agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count(F.lit(1)).alias("parts"))
+    met = stored(keys.join(stored(largest.filter("parts > 1").select("key", "largest"), "largest_parts"), "key"), "met")
+    outside = met.filter("root <> largest")
+    pairs = None
+    for smaller, larger in ((outside, met), (met.filter("root = largest"), outside)):
+        x = smaller.filter("short").select("key", F.col("n").alias("x"), F.col("root").alias("x_root"), F.col("size").alias("x_size"))
+        y = larger.select("key", F.col("n").alias("y"), F.col("root").alias("y_root"), F.col("size").alias("y_size"))
+        fit = (F.col("x_root") != F.col("y_root")) & (F.col("x_size") <= F.col("y_size")) & (F.col("y_size") * share <= F.col("x_size") * 100)
+        found = x.join(y, "key").filter(fit).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        pairs = found if pairs is None else pairs.union(found)
+    return pairs.distinct()
+
+
+def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE, few: int = FEW) -> DataFrame:
     """(n, doc_id, n_shingles, root_id, kept) of every row of numbered docs.
 
     ``root_id`` is the doc_id of the first row of the component. Texts without
@@ -231,15 +284,20 @@ def near_duplicates(docs: DataFrame, size: int = 3, share: int = SHARE) -> DataF
 
     placed = members.join(roots.withColumnRenamed("node", "n"), "n", "left").select("key", "n", F.coalesce("root", "n").alias("root"))
     parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows"))
-    largest = parts.groupBy("key").agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    open_rows = placed.join(stored(largest.select("key", "largest"), "largest"), "key")
+    largest = parts.groupBy("key").agg(
+        F.max_by("root", F.struct("rows", "root")).alias("largest"), (F.sum("rows") - F.max("rows")).alias("others")).filter("others > 0")
+    largest = stored(largest, "largest")
+    open_rows = placed.join(largest.filter(F.col("others") <= few).drop("others"), "key")
     open_rows = stored(open_rows.join(reps.select("n", "sketch"), "n"), "open")
     left = at_levels(open_rows.filter("root <> largest").drop("largest"), "x")
     right = at_levels(open_rows, "y")
     once = (F.col("y_root") == F.col("y_largest")) | (F.col("x_n") < F.col("y_n"))
     apart = left.join(right, ["key", "level"]).filter((F.col("x_root") != F.col("y_root")) & once & similar_at_level(share))
-    more = apart.select(F.least("x_n", "y_n").alias("a"), F.greatest("x_n", "y_n").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    again = confirmed(more, docs, size, share)
+    more = apart.select(F.least("x_n", "y_n").alias("a"), F.greatest("x_n", "y_n").alias("b"))
+    crowded = stored(placed.join(largest.filter(F.col("others") > few), "key").select("n", "root").distinct(), "crowded")
+    if not crowded.isEmpty():
+        more = more.union(with_sketches(meet_by_prefix(crowded, docs, size, share), reps, share))
+    again = confirmed(more.distinct().join(tried, ["a", "b"], "left_anti"), docs, size, share)
     if not again.isEmpty():
         joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(again)
         roots = components(joined)
