@@ -215,14 +215,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataF
 
 
 def prefixes(crowded: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
-    """(key, n, root, size, short) of the rows (n, root): the shingles by which similar sets must meet.
+    """(key, n, root, size, low) of the rows (n, root): the shingles by which similar sets must meet.
 
-    Sets of sizes a <= b that reach the threshold have at least ceil(2sa / (100 + s))
-    and at least ceil(sb / 100) shingles in common. If all shingles stand in one
+    Sets of sizes a <= b that reach the threshold have at least s(a + b) / (100 + s)
+    shingles in common, which is sb / 100 or more. If all shingles stand in one
     order, the first common one is therefore followed by that many less one in
-    either set: ``low`` counts a set's shingles from the end, and keeps those
-    with enough behind them to be the first common one of the larger set, of the
-    smaller set if ``short``. Shingles of a single row stand first and are no keys.
+    either set. ``low`` counts a set's shingles from the end; those with too few
+    behind them for any partner are left out. Shingles of a single row stand
+    first and are no keys.
     """
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(size)
@@ -234,26 +234,39 @@ def prefixes(crowded: DataFrame, docs: DataFrame, size: int, share: int) -> Data
     frequent = stored(single.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "frequencies")
     low = F.row_number().over(Window.partitionBy("n").orderBy(F.col("rows").desc(), F.col("key").desc()))
     placed = single.join(frequent, "key").withColumn("low", low)
-    return placed.filter(F.col("low") * 100 >= F.col("size") * share).select(
-        "key", "n", "root", "size", (F.col("low") * (100 + share) >= F.col("size") * (2 * share)).alias("short"))
+    return placed.filter(F.col("low") * 100 >= F.col("size") * share).select("key", "n", "root", "size", "low")
+
+
+def size_class(size: Column) -> Column:
+    """Classes of sizes at most two per cent apart."""
+    return F.floor(F.log(size.cast("double")) * 50)
 
 
 def meet_by_prefix(crowded: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
     """Pairs (a, b) of the rows (n, root) of different roots, among them all whose full sets reach the threshold.
 
-    At each shingle, rows of the largest component meet only rows outside it.
+    Rows meet where a shingle may be their first common one: both must have
+    s(a + b) / (100 + s) shingles from there on. The larger row goes to the size
+    classes of the partners that its own place allows, so a row far down its
+    prefix meets much smaller ones only. At each shingle, rows of the largest
+    component meet only rows outside it.
     """
     keys = stored(prefixes(crowded, docs, size, share), "prefixes")
     parts = stored(keys.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows")), "prefix_parts")
     largest = parts.groupBy("key").agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count(F.lit(1)).alias("parts"))
-    met = stored(keys.join(stored(largest.filter("parts > 1").select("key", "largest"), "largest_parts"), "key"), "met")
-    outside = met.filter("root <> largest")
+    met = keys.join(stored(largest.filter("parts > 1").select("key", "largest"), "largest_parts"), "key")
+    least, most = F.ceil(F.col("size") * share / 100), F.least("size", F.floor(F.col("low") * (100 + share) / share) - F.col("size"))
+    y = stored(
+        met.filter(least <= most).withColumn("class", F.explode(F.sequence(size_class(least), size_class(most)))), "larger")
+    x = stored(met.filter(F.col("low") * (100 + share) >= F.col("size") * (2 * share)).withColumn("class", size_class(F.col("size"))), "smaller")
+    inside, outside = F.col("root") == F.col("largest"), F.col("root") != F.col("largest")
     pairs = None
-    for smaller, larger in ((outside, met), (met.filter("root = largest"), outside)):
-        x = smaller.filter("short").select("key", F.col("n").alias("x"), F.col("root").alias("x_root"), F.col("size").alias("x_size"))
-        y = larger.select("key", F.col("n").alias("y"), F.col("root").alias("y_root"), F.col("size").alias("y_size"))
-        fit = (F.col("x_root") != F.col("y_root")) & (F.col("x_size") <= F.col("y_size")) & (F.col("y_size") * share <= F.col("x_size") * 100)
-        found = x.join(y, "key").filter(fit).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    for smaller, larger in ((x.filter(outside), y), (x.filter(inside), y.filter(outside))):
+        p = smaller.select("key", "class", *[F.col(c).alias(f"x_{c}") for c in ("n", "root", "size", "low")])
+        q = larger.select("key", "class", *[F.col(c).alias(f"y_{c}") for c in ("n", "root", "size", "low")])
+        common = (F.col("x_size") + F.col("y_size")) * share <= F.least("x_low", "y_low") * (100 + share)
+        fit = (F.col("x_root") != F.col("y_root")) & (F.col("x_size") <= F.col("y_size")) & common
+        found = p.join(q, ["key", "class"]).filter(fit).select(F.least("x_n", "y_n").alias("a"), F.greatest("x_n", "y_n").alias("b"))
         pairs = found if pairs is None else pairs.union(found)
     return pairs.distinct()
 
