@@ -254,10 +254,11 @@ def meet_by_prefix(crowded: DataFrame, docs: DataFrame, size: int, share: int) -
     keys = stored(prefixes(crowded, docs, size, share), "prefixes")
     parts = stored(keys.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows")), "prefix_parts")
     largest = parts.groupBy("key").agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count(F.lit(1)).alias("parts"))
-    met = keys.join(stored(largest.filter("parts > 1").select("key", "largest"), "largest_parts"), "key")
     least, most = F.ceil(F.col("size") * share / 100), F.least("size", F.floor(F.col("low") * (100 + share) / share) - F.col("size"))
+    met = keys.filter(least <= most).join(stored(largest.filter("parts > 1").select("key", "largest"), "largest_parts"), "key")
+    met = stored(met, "met")
     y = stored(
-        met.filter(least <= most).withColumn("class", F.explode(F.sequence(size_class(least), size_class(most)))), "larger")
+        met.withColumn("class", F.explode(F.sequence(size_class(least), size_class(most)))), "larger")
     x = stored(met.filter(F.col("low") * (100 + share) >= F.col("size") * (2 * share)).withColumn("class", size_class(F.col("size"))), "smaller")
     inside, outside = F.col("root") == F.col("largest"), F.col("root") != F.col("largest")
     pairs = None
