@@ -51,6 +51,41 @@ def test_percentiles_of_a_skewed_table(skewed, monkeypatch, wide, narrow):
             assert mine == pytest.approx(theirs) if theirs is not None else mine is None
 
 
+@pytest.mark.parametrize("buckets,small", [(1, 0), (1 << 16, 0), (1 << 16, 900), (3, 1000), (1 << 16, 1 << 16)])
+def test_percentiles_of_sorted_and_of_counted_groups(skewed, monkeypatch, buckets, small):
+    """The rows up to which groups are sorted decide how they are read, not the result."""
+    monkeypatch.setattr(quantiles, "BUCKETS", buckets)
+    monkeypatch.setattr(quantiles, "SMALL", small)
+    rows = skewed.withColumn("w", -F.col("v") * 3)
+    wanted = {n: ("v", p) for n, p in FRACTIONS.items()} | {"other": ("w", 0.25)}
+    got = quantiles.group_stats(rows, ["k"], wanted, [F.count(F.lit(1)).alias("n")])
+    assert got.columns == ["k", "n", *FRACTIONS, "other"]
+    expected, got = _expected([tuple(r) for r in skewed.collect()]), got.collect()
+    other = {k: v[1] for k, v in _expected([(r.k, r.w) for r in rows.collect()]).items()}
+    other |= {k: float(np.quantile([r.w for r in rows.collect() if r.k == k and r.w is not None], 0.25)) for k in other if k != "void"}
+    assert {r.k for r in got} == set(expected) and len(got) == len(expected)
+    for r in got:
+        for mine, theirs in zip((r.n, *(r[n] for n in FRACTIONS), r.other), (*expected[r.k], other[r.k])):
+            assert mine == pytest.approx(theirs) if theirs is not None else mine is None
+
+
+@pytest.mark.parametrize("small", [0, 1 << 16])
+def test_group_keys_and_values_without_plain_order(spark, monkeypatch, small):
+    monkeypatch.setattr(quantiles, "SMALL", small)
+    nan = float("nan")
+    df = spark.createDataFrame([(0.0, 1.0), (-0.0, 3.0), (nan, -0.0), (nan, 0.0), (nan, nan), (None, None), (None, 2.0)], "k double, v double")
+    got = {str(r.k): (r.mid, r.top) for r in quantiles.group_stats(df, ["k"], {"mid": ("v", 0.5), "top": ("v", 1.0)}).collect()}
+    assert set(got) == {"0.0", "nan", "None"} and got["0.0"] == (2.0, 3.0) and got["None"] == (2.0, 2.0)
+    assert got["nan"][0] == 0.0 and got["nan"][1] != got["nan"][1]
+
+
+def test_rows_of_small_groups_are_shuffled_once(spark):
+    """Every level of ranges dealt them out again, with a row for each range: four times the bytes."""
+    df = spark.range(1000).select((F.col("id") % 100).alias("k"), F.rand(1).alias("v"))
+    plan = quantiles._sorted_stats(df, ["k"], {"m": ("v", 0.5)}, [F.avg("v").alias("a")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+
+
 def test_image_keeps_the_order_of_values(spark):
     rng = random.Random(4)
     edges = [m * 2.0**e for e in (-1074, -1073, -1023, -1022, -1021, -1, 0, 1, 52, 53, 1022, 1023) for m in (1.0, 1.5, 1.0 + 2.0**-52, 2.0 - 2.0**-52)]
