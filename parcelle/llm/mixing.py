@@ -3,15 +3,18 @@
 Every source has a weight schedule over training time 0..1. Its integral up
 to t, scaled to the source's target, is the source's cumulative demand; the
 inverse of that integral turns a document's place in its source into the time
-at which it is due. Documents are then range-sorted by that time.
+at which it is due. Documents are then range-sorted by that time, and the query
+reads its figures from the order so written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import stored, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2.0
@@ -57,14 +60,16 @@ def due(fraction: Column, place: Column, ramps=RAMPS) -> Column:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, ramps=RAMPS) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, passes.
+    """One row per document: doc_id, source, size, source_size, target, start, passes.
 
     ``passes`` lists (pass, words, position) for every time the document is
     taken: whole in full passes over its source, and in the last pass until
     the target is met, so that a source's words sum to its rounded target. The
     order within a source is that of md5(doc_id), then doc_id and size, so
     reruns agree. Size is the word count; null text has size 0 and no pass. A
-    null source is a source of its own. Repeated rows count each.
+    null source is a source of its own. Repeated rows count each. ``start`` is
+    the number of words before the document in its source: with the source it
+    tells all documents with words apart.
 
     Cumulative sizes: sums per source and hash range, then a running sum
     inside each range; a source with a third of the corpus is 4096 ranges.
@@ -96,22 +101,29 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = L
         return F.struct(p.alias("pass"), words.alias("words"), due(middle / F.col("demand"), F.col("place"), ramps).alias("position"))
 
     passes = F.filter(F.transform(F.sequence(F.lit(0), F.col("full")), one), lambda r: r["words"] > 0)
-    return placed.select("doc_id", "source", "size", "source_size", "target", passes.alias("passes"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", "start", passes.alias("passes"))
+
 
+def training_order(mixed: DataFrame, untaken: bool = False, also: Sequence[str] = ()) -> DataFrame:
+    """One row per document and pass, range-sorted by position: (position, doc_id, source, pass, words) and the columns ``also``.
 
-def training_order(mixed: DataFrame) -> DataFrame:
-    """One row per document and pass, range-sorted by position: (position, doc_id, source, pass, words)."""
-    rows = mixed.select("doc_id", "source", F.explode("passes").alias("p")).select(
-        F.col("p.position").alias("position"), "doc_id", "source", F.col("p.pass").alias("pass"), F.col("p.words").alias("words"))
-    return rows.orderBy("position", "doc_id", "pass")
+    With ``untaken`` a document without a pass has a row too, behind all others
+    and without position, pass and words.
+    """
+    each = F.explode_outer if untaken else F.explode
+    rows = mixed.select("doc_id", "source", *also, each("passes").alias("p")).select(
+        F.col("p.position").alias("position"), "doc_id", "source", F.col("p.pass").alias("pass"), F.col("p.words").alias("words"), *also)
+    return rows.orderBy(F.asc_nulls_last("position"), "doc_id", "pass")
 
 
 def op7_mixing(spark, folder: str) -> DataFrame:
-    from .common import table
-
-    mixed = mix(table(spark, folder, "documents"))
-    taken = F.aggregate("passes", F.lit(0).cast("long"), lambda total, p: total + p["words"])
-    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.round(F.array_min(F.transform("passes", lambda p: p["position"])), 9).alias("first_position"))
+    """Every document with what the stored training order holds of it."""
+    sizes = ["size", "source_size", "target"]
+    order = stored(training_order(mix(table(spark, folder, "documents")), untaken=True, also=[*sizes, "start"]), "training-order")
+    taken = order.filter("position is not null").groupBy("doc_id", "source", "start", *sizes).agg(
+        F.sum("words").alias("taken"), F.round(F.min("position"), 9).alias("first_position"))
+    none = order.filter("position is null").select("doc_id", *sizes, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("double").alias("first_position"))
+    return taken.select(*none.columns).unionByName(none)
 
 
 _SIZED = """SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,

@@ -61,6 +61,26 @@ def test_positions_follow_the_schedules(spark):
     assert shares == pytest.approx([0.625, 0.5, 0.375], abs=0.01)
 
 
+def test_query_reads_the_written_order(spark, tmp_path, monkeypatch):
+    texts = [t for t in awkward_texts() * 2] + ["a b c"] * 30
+    rows = [(i % 5 if i % 3 else None, t, None if i % 11 == 0 else f"s{i % 7 // 2}") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    orders = []
+    monkeypatch.setattr(mixing, "stored", lambda frame, purpose: orders.append(frame) or frame)
+    got = registered.QUERIES["op7_mixing"](spark, str(tmp_path)).collect()
+    [order] = orders
+    positions = [r["position"] for r in order.collect()]
+    known = [x for x in positions if x is not None]
+    assert known and known == sorted(known) and None not in positions[: len(known)] and len(known) < len(positions)
+    assert "rangepartitioning" in order._jdf.queryExecution().executedPlan().toString()
+    want = []
+    for r in mixing.mix(docs).collect():
+        first = min((p["position"] for p in r["passes"]), default=None)
+        want.append((r["doc_id"], r["size"], r["source_size"], r["target"], sum(p["words"] for p in r["passes"]), first if first is None else round(first, 9)))
+    assert len(got) == len(rows) and sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+
+
 @tables
 @pytest.mark.parametrize("name", sorted(registered.SQL))
 def test_same_as_sql(spark, name):
