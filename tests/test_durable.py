@@ -7,10 +7,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from parcelle.operators.relational import dedup, insert_ignore, upsert
-from parcelle.plans import ledger
+from parcelle.plans import ledger, marts
+from parcelle.session import shared_folder
 from parcelle.sources import readers, sinks
 from parcelle.sources.keyed import KeyedTable
 from parcelle.sources.layer import Layer, input_version
+from parcelle.sources.starschema import SCHEMAS, YEAR_FLOOR, Star
 from parcelle.streaming import incremental
 from tests.test_silver import communes, file_of, rows, sale  # noqa: F401
 
@@ -176,3 +178,34 @@ def test_failed_build_leaves_no_entry(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         layer.table("t", "1", lambda: spark.range(2).select(F.raise_error(F.lit("lost")).cast("int").alias("x")))
     assert layer.entries().count() == 0 and layer.table("t", "1", lambda: spark.range(2)).count() == 2
+
+
+@pytest.fixture
+def star(spark, tmp_path):
+    """Two nations with a commune each, three years of sales and one rent a year."""
+    day = lambda year: datetime(year, 5, 1)
+    lines = [(o, 1, s, n, 10.0 + n, 1000.0 * n + o, 0.0, 0.0, "AR"[n % 2], "O", day(2000 + o)) for o in (1, 2, 3) for s in (1, 2) for n in range(1, 25)]
+    tables = {
+        "region": [(0, "AFRICA")], "nation": [(0, "N0", 0), (1, "N1", 0)], "supplier": [(1, "S1", 0, 5.0), (2, "S2", 1, 5.0)],
+        "customer": [(1, "C1", 0, 5.0, "FURNITURE"), (2, "C2", 1, 5.0, "BUILDING")],
+        "orders": [(o, c, "F", 100.0 * o + c, day(2000 + o), "1-URGENT") for o in (1, 2, 3) for c in (1, 2)], "lineitem": lines,
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    return Star(spark, str(tmp_path))
+
+
+def test_a_query_has_those_marts_written_that_it_reads(spark, star, monkeypatch):
+    """A check of prices does not wait for the ranks of rents; a mart is written once, after those it needs."""
+    written, materialize = [], marts.materialize
+    monkeypatch.setattr(marts, "materialize", lambda frames, *where: written.extend(frames) or materialize(frames, *where))
+    prices = star.gold.prices.collect()
+    assert prices and written == ["prix_m2_par_ville"]
+    assert star.gold.tension.count() and written[1:] == ["ratio_loyer_revenu", "dynamisme_marche"]
+    again = Star(spark, star.folder)
+    assert again.gold.ratios.count() and again.gold.prices.collect() == prices and len(written) == 3
+    assert again.gold.trend.count() and again.gold.inequality.count() and sorted(written) == sorted(marts.MARTS)
+    marts.write_marts(star.sales, star.communes, star.rents, star.incomes, star.bridge, star.agglomerations, "all_marts", shared_folder(spark, "all"), YEAR_FLOOR)
+    for mart in marts.MARTS:
+        one, other = (sorted(map(str, x.collect())) for x in (again.written(mart), spark.table(f"all_marts.{mart}")))
+        assert one == other
