@@ -86,6 +86,25 @@ def test_rows_of_small_groups_are_shuffled_once(spark):
     assert plan.count("Exchange ") == 1
 
 
+def test_small_groups_are_read_for_their_count_and_for_the_sort_only(spark, tmp_path):
+    """Where no group is large, the levels are not run; where one is, they are."""
+    read, path = spark.sparkContext.accumulator(0), str(tmp_path / "rows")
+    spark.range(2000).selectExpr("id % 50 as k", "double(id) as v").write.parquet(path)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = spark.read.parquet(path).mapInPandas(seen, "k bigint, v double")
+    assert quantiles.group_stats(rows, ["k"], {"mid": ("v", 0.5)}, [F.count(F.lit(1)).alias("n")]).count() == 50
+    found = quantiles.group_stats(rows, ["k"], {"mid": ("v", 0.5)}, [F.count(F.lit(1)).alias("n")])
+    before = read.value
+    assert {(r.k, r.mid, r.n) for r in found.collect()} == {(k, 975.0 + k, 40) for k in range(50)}
+    assert read.value - before == 4000
+
+
+
 def test_image_keeps_the_order_of_values(spark):
     rng = random.Random(4)
     edges = [m * 2.0**e for e in (-1074, -1073, -1023, -1022, -1021, -1, 0, 1, 52, 53, 1022, 1023) for m in (1.0, 1.5, 1.0 + 2.0**-52, 2.0 - 2.0**-52)]
