@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from parcelle.operators.relational import dedup, insert_ignore, upsert
@@ -209,3 +210,19 @@ def test_a_query_has_those_marts_written_that_it_reads(spark, star, monkeypatch)
     for mart in marts.MARTS:
         one, other = (sorted(map(str, x.collect())) for x in (again.written(mart), spark.table(f"all_marts.{mart}")))
         assert one == other
+
+
+def test_names_are_made_for_segments_not_for_customers(spark, star):
+    """A null segment keeps its rents, repeated nations repeat them, as when names were made for each customer."""
+    spark.createDataFrame([(3, "C3", 0, 5.0, None), (4, "C4", None, 5.0, "FURNITURE")], SCHEMAS["customer"]).write.mode("append").parquet(f"{star.folder}/customer.parquet")
+    spark.createDataFrame([(9, c, "F", 1.0, datetime(2001, 5, 1), "1-URGENT") for c in (1, 2, 3, 4)], SCHEMAS["orders"]).write.mode("append").parquet(f"{star.folder}/orders.parquet")
+    spark.createDataFrame([(0, "N0", 0)], SCHEMAS["nation"]).write.mode("append").parquet(f"{star.folder}/nation.parquet")
+    again = Star(spark, star.folder)
+    names = again.agglomerations.where("nom_agglomeration is not null")
+    rents = again.rents.where("loyer_mensuel_median = 1").join(names, "id_agglomeration", "left")
+    got = sorted(map(str, rents.select("observatory_b", "nom_agglomeration").collect()))
+    want = 2 * [("B00", "Agglomération de FURNITURE N0")] + 2 * [("B00", None)] + [("B01", "Eurométropole de AFRICA BUILDING 1")]
+    assert got == sorted(str(Row(observatory_b=a, nom_agglomeration=b)) for a, b in want)
+    # The customers are gathered to their segments before the nations come in.
+    plan = again.agglomerations._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [c_nationkey" in plan
