@@ -46,6 +46,8 @@ SAMPLE = 2048
 SIGMAS = 5.0
 #: Members outside its largest component up to which all pairs of a bucket are tried; each row then meets at most these.
 FEW = 200
+#: Bits of a shingle's hash by which frequencies are counted: 8 MB of them in every task that puts shingles in order.
+PLACE_BITS = 20
 
 
 def band_count(share: int) -> int:
@@ -214,6 +216,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataF
     return stored(pairs.join(left, "a").join(right, "b").mapInPandas(compare, "a bigint, b bigint"), "links")
 
 
+def frequencies(sets: DataFrame) -> np.ndarray:
+    """Occurrences of shingles by the first ``PLACE_BITS`` bits of their hash: a table of fixed size."""
+    place = F.shiftrightunsigned(F.col("key"), 64 - PLACE_BITS).alias("place")
+    counts = sets.select(F.explode("shingles").alias("key")).groupBy(place).agg(F.count(F.lit(1)).alias("rows")).toArrow()
+    found = np.zeros(1 << PLACE_BITS, np.int64)
+    found[counts["place"].to_numpy()] = counts["rows"].to_numpy()
+    return found
+
+
 def prefixes(crowded: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
     """(key, n, root, size, low) of the rows (n, root): the shingles by which similar sets must meet.
 
@@ -223,6 +234,10 @@ def prefixes(crowded: DataFrame, docs: DataFrame, size: int, share: int) -> Data
     either set. ``low`` counts a set's shingles from the end; those with too few
     behind them for any partner are left out. Shingles of a single row stand
     first and are no keys.
+
+    Any order will do, so a shingle's own frequency need not be looked up: the
+    order is by the frequency of its place among ``1 << PLACE_BITS``, which is no
+    less, then by hash. A shingle alone in its place is one of a single row.
     """
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(size)
@@ -230,11 +245,19 @@ def prefixes(crowded: DataFrame, docs: DataFrame, size: int, share: int) -> Data
             yield pd.DataFrame({"n": batch["n"], "root": batch["root"], "shingles": [shingles(t).view(np.int64) for t in batch["text"]]})
 
     sets = stored(docs.select("n", "text").join(crowded, "n").mapInPandas(to_sets, "n bigint, root bigint, shingles array<bigint>"), "crowded_sets")
-    single = sets.select("n", "root", F.size("shingles").cast("long").alias("size"), F.explode("shingles").alias("key"))
-    frequent = stored(single.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "frequencies")
-    low = F.row_number().over(Window.partitionBy("n").orderBy(F.col("rows").desc(), F.col("key").desc()))
-    placed = single.join(frequent, "key").withColumn("low", low)
-    return placed.filter(F.col("low") * 100 >= F.col("size") * share).select("key", "n", "root", "size", "low")
+    frequent = sets.sparkSession.sparkContext.broadcast(frequencies(sets))
+
+    def first_ones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in (b.iloc[k:k + 100] for b in batches for k in range(0, len(b), 100)):
+            for n, root, shingles in zip(batch["n"], batch["root"], batch["shingles"]):
+                keys = np.asarray(shingles, np.int64)
+                rows = frequent.value[keys.view(np.uint64) >> np.uint64(64 - PLACE_BITS)]
+                order = np.lexsort((keys, rows))[::-1]
+                low = np.arange(1, len(keys) + 1)
+                wanted = (low * 100 >= len(keys) * share) & (rows[order] > 1)
+                yield pd.DataFrame({"key": keys[order][wanted], "n": n, "root": root, "size": len(keys), "low": low[wanted]})
+
+    return sets.mapInPandas(first_ones, "key bigint, n bigint, root bigint, size bigint, low bigint")
 
 
 def size_class(size: Column) -> Column:

@@ -92,3 +92,21 @@ def test_sketch_leaves_out_hardly_a_link(spark, share):
             flips += 1
         worst = max(worst, odd[k > most[total]].sum())
     assert worst < 1e-5, worst
+
+
+def test_no_row_for_every_shingle_of_a_crowded_text(spark):
+    """Only the few shingles by which texts may meet become rows: 20 of 137 here, whose own ones no other text has."""
+    docs = numbered(documents(spark, template_texts(60, 19)))
+    rows = docs.select("n", F.col("n").alias("root"))
+    found = near_dup.prefixes(rows, docs, 3, 85)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r["size"] for r in found.collect()} <= {137} and found.filter("low < 117").isEmpty() and found.count() < 60 * 3
+
+
+def test_order_by_shared_places_loses_no_link(spark, monkeypatch):
+    """With two places nearly all shingles count as equally frequent: slower, but the same links."""
+    monkeypatch.setattr(near_dup, "PLACE_BITS", 1)
+    texts = mixed_texts()
+    want = duplicate_roots(texts, 3, 85)
+    got = near_dup.near_duplicates(numbered(documents(spark, texts)), 3, 85, few=2).collect()
+    assert {r["doc_id"]: r["root_id"] for r in got} == {i: root for i, (_, root) in enumerate(want)}
