@@ -226,3 +226,15 @@ def test_names_are_made_for_segments_not_for_customers(spark, star):
     # The customers are gathered to their segments before the nations come in.
     plan = again.agglomerations._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [c_nationkey" in plan
+
+
+def test_rents_meet_their_names_by_key(spark, star):
+    """Files of few bytes hold many rows: the orders and customers were broadcast, and one task joined them all."""
+    plan = star.rents.select("observatory_b", "id_agglomeration").distinct()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin ") == 2
+    spark.createDataFrame([(9, None, "F", 1.0, datetime(2001, 5, 1), "1-URGENT"), (9, 7, "F", 1.0, datetime(2001, 5, 1), "1-URGENT")], SCHEMAS["orders"]).write.mode("append").parquet(f"{star.folder}/orders.parquet")
+    spark.createDataFrame([(1, "C1", 0, 5.0, None), (None, "C0", 0, 5.0, None)], SCHEMAS["customer"]).write.mode("append").parquet(f"{star.folder}/customer.parquet")
+    again = Star(spark, star.folder)
+    named = again.rents.join(again.agglomerations, "id_agglomeration", "left").groupBy("observatory_b", "nom_agglomeration").count()
+    assert rows(named, "observatory_b", "nom_agglomeration", "count") == [
+        ("B00", "Agglomération de FURNITURE N0", 3), ("B00", None, 3), ("B01", "Eurométropole de AFRICA BUILDING 1", 3)]
