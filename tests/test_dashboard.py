@@ -1,9 +1,12 @@
 """Dashboard queries and mart checks on small hand-written marts."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from parcelle.plans import dashboard, quality
+from parcelle.registry.quality import dq_accepted_values
 
 TENSION = ("code_insee string, nom_commune string, code_departement string, annee int, type_local string, nb_transactions bigint,"
            " prix_m2_moyen double, hausse_prix_pct double, score_tension double, categorie_tension string")
@@ -80,6 +83,15 @@ def test_bound_values_are_not_sql(spark, tension):
     assert got.count() == 0
 
 
+def test_accepted_values_of_both_marts(spark, tension):
+    prices = spark.createDataFrame([("01001", 2024), ("01001", 2020), ("01002", 2020), ("01002", None)], "code_insee string, annee int")
+    odd = spark.createDataFrame([("Calme",), ("Calme",), ("tendu",), ("Tendu",), (None,)], "categorie_tension string")
+    bands = tension.select("categorie_tension").unionByName(odd)
+    star = SimpleNamespace(gold=SimpleNamespace(prices=prices, tension=bands))
+    got = {(r.annee, r.categorie_tension): r.n for r in dq_accepted_values(star).collect()}
+    assert got == {(2020, None): 2, (None, "Calme"): 2, (None, "tendu"): 1}
+
+
 def test_mart_checks(spark, tension):
     years = tension.select("code_insee", "nom_commune", "annee", "type_local", "nb_transactions", F.lit(-1.0).alias("prix_m2_median"))
     ratios = spark.createDataFrame([("B1", "a", 2023, "Maison", "Tous", 1.0, 1.0, 250.0), ("B1", "a", 2022, "Maison", "Tous", 1.0, 1.0, None)], RATIOS)
